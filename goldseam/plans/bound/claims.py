@@ -167,7 +167,7 @@ def best_prediction(t: Tables) -> DataFrame:
     WITH predictions AS ({PREDICTIONS_SQL})
     SELECT claim_no, arg_max(damage_label, row(damage_score, image_name)) FILTER (WHERE damage_label IS NOT NULL)
             AS damage_label, count(image_name) AS num_imagenes, round(max(damage_score), 4) AS max_score,
-        round(avg(damage_score), 4) AS avg_score,
+        {sql_mean("damage_score", 4, 4)} AS avg_score,
         string_agg(DISTINCT confidence_level, ',' ORDER BY confidence_level) AS niveles_confianza
     FROM predictions GROUP BY claim_no
     """
@@ -195,7 +195,7 @@ def curated_predictions(t: Tables) -> DataFrame:
     SELECT count(*) AS total_registros, count(DISTINCT claim_no) AS claims_cubiertos,
         count(DISTINCT chassis_no) AS chassis_distintos, count(DISTINCT image_name) AS imagenes_procesadas,
         CAST(sum(CAST(is_reliable AS INTEGER)) AS BIGINT) AS predicciones_confiables,
-        round(avg(damage_score), 4) AS score_promedio, round(min(damage_score), 4) AS score_minimo,
+        {sql_mean("damage_score", 4, 4)} AS score_promedio, round(min(damage_score), 4) AS score_minimo,
         round(max(damage_score), 4) AS score_maximo, min(predicted_at) AS primera_prediccion,
         max(predicted_at) AS ultima_prediccion
     FROM predictions
