@@ -53,7 +53,13 @@ def mean_of_units(units_sum: Column, count: Column, digits: int = 2, carried: in
     return from_units(half_up_quotient(scaled, count), digits)
 
 
+def share(part: Column, total: Column, digits: int = 4) -> Column:
+    """part / total of two counts, rounded half up; NULL when total is 0."""
+    doubled = part.cast("bigint") * F.lit(2 * 10**digits).cast("bigint")
+    whole = total.cast("bigint")
+    return from_units(F.when(whole > 0, F.call_function("div", doubled + whole, whole * 2)), digits)
+
+
 def percent(part: Column, total: Column, digits: int = 2) -> Column:
     """100 * part / total of two counts, rounded half up; NULL when total is 0."""
-    scaled = part.cast("bigint") * F.lit(10 ** (digits + 2)).cast("bigint")
-    return from_units(half_up_quotient(scaled, total), digits)
+    return share(part * 100, total, digits)

@@ -33,29 +33,29 @@ def upsert(target: DataFrame, source: DataFrame, keys: Sequence[str]) -> DataFra
     """The target after a merge: matched rows take the source's values, the others are added.
 
     The source is cast to the target's types first. NULL keys never match, so such source
-    rows are always added. Two source rows of one key raise an error when the plan runs.
+    rows are always added. Several source rows of one key raise an error when the plan runs.
 
-    A target key may be hot. The update is a left join, whose left side adaptive execution
-    can split, and the insert compares with distinct target keys; a full outer join could
-    not be split.
+    A target key may be hot. The update is a left join of two plain shuffles, which adaptive
+    execution can split; the insert compares with distinct target keys, one row per key and
+    map task. A full outer join could not be split.
     """
     source = source.select(*(F.col(f.name).cast(f.dataType).alias(f.name) for f in target.schema.fields))
     payload = other_columns(target, keys)
     has_key = F.lit(True)
     for key in keys:
         has_key = has_key & F.col(key).isNotNull()
+    keyed = source.filter(has_key)
+
+    copies = keyed.groupBy(*keys).agg(F.count(F.lit(1)).alias("n")).agg(F.coalesce(F.max("n"), F.lit(0)))
+    refuse = F.raise_error(F.lit("several source rows for one key")).cast("boolean")
+    unique = F.when(copies.scalar() > 1, refuse).otherwise(F.lit(True))
+    news = keyed.select(*keys, F.struct(*payload).alias("_new")).filter(unique)
 
-    one = F.when(F.count(F.lit(1)) > 1, F.raise_error(F.lit("several source rows for one key")).cast("boolean"))
-    news = (
-        source.filter(has_key)
-        .groupBy(*keys)
-        .agg(F.coalesce(one, F.lit(True)).alias("_found"), F.first(F.struct(*payload)).alias("_new"))
-        # The flag is part of every branch below, so the check cannot be pruned away.
-        .filter("_found")
-    )
     updated = target.join(news, list(keys), "left").select(
         *(
-            F.col(c) if c in set(keys) else F.when(F.col("_found"), F.col("_new")[c]).otherwise(F.col(c)).alias(c)
+            F.col(c)
+            if c in set(keys)
+            else F.when(F.col("_new").isNotNull(), F.col("_new")[c]).otherwise(F.col(c)).alias(c)
             for c in target.columns
         )
     )

@@ -13,6 +13,7 @@ from goldseam.functions.dates import month_label
 from goldseam.functions.fixed_point import exact_mean, exact_sum, percent, to_units
 from goldseam.functions.scores import HIGH, MIDDLE
 from goldseam.operators.aggregates import count_by, count_where, cross_counts, rows, top_groups
+from goldseam.operators.shaping import not_null
 
 # Report labels, decisions and severities, in report order.
 NO_PREDICTION = "Sin predicción"
@@ -82,7 +83,7 @@ def score_against_amount(
     amount_width: float = 5000.0,
 ) -> DataFrame:
     """Complete rows counted on a grid of score and amount per label."""
-    complete = df.dropna(subset=[label, score, amount])
+    complete = not_null(df, [label, score, amount])
     return count_by(
         complete.select(
             label,

@@ -1,8 +1,11 @@
 """Joins that enrich a fact, and checks on how well two frames join.
 
-No join carries a broadcast hint. Spark broadcasts a side when its size is known to be
-below ``autoBroadcastJoinThreshold``; above that it shuffles both sides, and adaptive
-execution splits a partition that one hot key makes too large.
+Spark broadcasts a side when its size is known to be below ``autoBroadcastJoinThreshold``;
+above that it shuffles both sides, and adaptive execution splits a partition that one hot
+key makes too large. It cannot do so when a side comes straight out of an aggregate on the
+join key, as that side needs no shuffle of its own. For those joins find the ``hot_keys``
+of the fact and pass them on: their rows then meet a broadcast of the few rows that belong
+to these keys, and are not shuffled at all.
 """
 
 from __future__ import annotations
@@ -15,17 +18,48 @@ from pyspark.sql import functions as F
 from goldseam.functions.fixed_point import percent
 
 
+def hot_keys(df: DataFrame, key: str, share: float = 1e-4, min_rows: int = 1_000_000) -> list:
+    """Values of ``key`` (None for NULL) that hold more than a share of all rows.
+
+    There are fewer than 1 / share of them. Only the key column is read, and it is counted
+    before it is shuffled.
+    """
+    counts = df.groupBy(key).agg(F.count(F.lit(1)).alias("n"))
+    total = counts.agg(F.sum("n")).scalar()
+    hot = counts.filter((F.col("n") >= min_rows) & (F.col("n") > total * share))
+    return [row[0] for row in hot.select(key).collect()]
+
+
+def _among(key: Column, values: Sequence) -> Column:
+    """True or False, also for a NULL key."""
+    given = [v for v in values if v is not None]
+    found = F.coalesce(key.isin(given), F.lit(False)) if given else F.lit(False)
+    return found | key.isNull() if len(given) < len(values) else found
+
+
+def _split_join(left: DataFrame, left_key: str, right: DataFrame, right_key: str, how: str, hot: Sequence) -> DataFrame:
+    """``left`` joined with ``right``, which has at most one row per key and so few hot rows."""
+    match = left[left_key] == right[right_key]
+    if not hot:
+        return left.join(right, match, how)
+    few = F.broadcast(right.filter(_among(right[right_key], hot)))
+    is_hot = _among(left[left_key], hot)
+    return left.filter(is_hot).join(few, match, how).unionByName(left.filter(~is_hot).join(right, match, how))
+
+
 def enrich(
     fact: DataFrame,
     dim: DataFrame,
     on: Mapping[str, str],
     bring: Mapping[str, str] | Sequence[str],
     how: str = "left",
+    hot: Sequence = (),
 ) -> DataFrame:
     """``fact`` with columns of ``dim`` joined on {fact column: dim column}.
 
     ``bring`` lists the dim columns to add, or maps new names to them. Keys of both sides
-    may have any names, also the same; the dim's keys are not kept unless brought.
+    may have any names, also the same; the dim's keys are not kept unless brought. With
+    ``hot`` keys the join must be on one column, of which the dim repeats no value.
     """
     if not isinstance(bring, Mapping):
         bring = {name: name for name in bring}
@@ -34,14 +68,21 @@ def enrich(
         *(F.col(dim_key).alias(name) for name, (_, dim_key) in keys.items()),
         *(F.col(source).alias(name) for name, source in bring.items()),
     )
+    if hot:
+        ((name, (fact_key, _)),) = keys.items()
+        return _split_join(fact, fact_key, side, name, how, hot).drop(name)
     matches = [fact[fact_key] == side[name] for name, (fact_key, _) in keys.items()]
     return fact.join(side, matches, how).drop(*keys)
 
 
-def orphans(df: DataFrame, other: DataFrame, on: Sequence[str]) -> DataFrame:
-    """Rows of ``df`` without a partner in ``other``; rows with a NULL key are orphans too."""
-    # Distinct keys shrink in the map tasks, so a hot key in ``other`` costs one row each.
-    return df.join(other.select(*on).distinct(), list(on), "left_anti")
+def orphans(df: DataFrame, other: DataFrame, key: str, hot: Sequence = ()) -> DataFrame:
+    """Rows of ``df`` whose key does not occur in ``other``; rows with a NULL key are orphans too.
+
+    Distinct keys of ``other`` shrink in the map tasks, so a hot key there costs one row
+    each. Pass the hot keys of ``df``, if any.
+    """
+    known = other.select(F.col(key).alias("_known")).distinct()
+    return _split_join(df, key, known, "_known", "left_anti", hot)
 
 
 def _key_sizes(df: DataFrame, on: Sequence[str], name: str) -> DataFrame:

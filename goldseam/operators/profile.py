@@ -9,6 +9,7 @@ from pyspark.sql import functions as F
 from pyspark.sql.types import DoubleType, FloatType, NumericType
 
 from goldseam.operators.quantiles import exact_quantiles
+from goldseam.operators.shaping import not_null
 
 DIGITS = 6
 
@@ -128,10 +129,12 @@ def histogram(df: DataFrame, column: str, bins: int = 20) -> DataFrame:
     A column of one value v spans v - 0.5 to v + 0.5.
     """
     value = F.col(column).cast("double")
-    span = df.agg(F.struct(F.min(value).alias("lo"), F.max(value).alias("hi")).alias("s")).scalar()
-    flat = span["lo"] == span["hi"]
-    low = F.when(flat, span["lo"] - 0.5).otherwise(span["lo"])
-    width = F.when(flat, F.lit(1.0)).otherwise(span["hi"] - span["lo"]) / F.lit(float(bins))
+    low, high = F.min(value), F.max(value)
+    flat = low == high
+    start = F.when(flat, low - 0.5).otherwise(low)
+    width = F.when(flat, F.lit(1.0)).otherwise(high - low) / F.lit(float(bins))
+    span = df.agg(F.struct(start.alias("start"), width.alias("width")).alias("s")).scalar()
+    low, width = span["start"], span["width"]
     place = F.least(F.floor((value - low) / width), F.lit(bins - 1)).cast("bigint")
     counts = df.filter(value.isNotNull()).groupBy(place.alias("bin")).agg(F.count(F.lit(1)).alias("n"))
     return (
@@ -149,7 +152,7 @@ def histogram(df: DataFrame, column: str, bins: int = 20) -> DataFrame:
 
 def grid_counts(df: DataFrame, x: str, y: str, x_width: float, y_width: float) -> DataFrame:
     """Rows with both values, counted on a grid: a scatter plot whose size does not grow."""
-    complete = df.dropna(subset=[x, y])
+    complete = not_null(df, [x, y])
     return complete.groupBy(
         F.floor(F.col(x) / x_width).alias("x_bin"), F.floor(F.col(y) / y_width).alias("y_bin")
     ).agg(F.count(F.lit(1)).alias("n"))

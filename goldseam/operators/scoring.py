@@ -12,7 +12,7 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 from pyspark.sql.types import ArrayType, DoubleType
 
-from goldseam.functions.fixed_point import half_up_quotient, percent
+from goldseam.functions.fixed_point import percent, share
 from goldseam.functions.scores import MIDDLE_FROM, argmax, confidence_tier, label_at, softmax
 from goldseam.operators.aggregates import count_by
 from goldseam.operators.joins import enrich
@@ -72,9 +72,6 @@ def class_accuracy(df: DataFrame, label: str, predicted: str) -> DataFrame:
     counts = df.groupBy(label).agg(F.count(F.lit(1)).alias("n"), right.alias("correct"))
     whole = counts.agg(F.struct(F.sum("n").alias("n"), F.sum("correct").alias("correct")).alias("s")).scalar()
 
-    def share(part: Column, total: Column) -> Column:
-        return half_up_quotient(part * 10_000, total).cast("double") / 10_000.0
-
     return counts.select(
         label,
         "n",

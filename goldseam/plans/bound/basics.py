@@ -146,7 +146,8 @@ def labelled_documents(t: Tables) -> DataFrame:
 
 @query("SELECT doc_id, lang, source FROM documents WHERE doc_id NOT IN (SELECT doc_id FROM labels)")
 def orphan_documents(t: Tables) -> DataFrame:
-    return joins.orphans(t.documents.select("doc_id", "lang", "source"), t.labels, ["doc_id"])
+    documents = t.documents.select("doc_id", "lang", "source")
+    return joins.orphans(documents, t.labels, "doc_id", joins.hot_keys(documents, "doc_id"))
 
 
 @query(

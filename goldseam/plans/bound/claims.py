@@ -12,6 +12,7 @@ from pyspark.sql import functions as F
 from goldseam.functions.scores import confidence_tier
 from goldseam.functions.text import name_part
 from goldseam.operators.aggregates import kpi, mean, rows
+from goldseam.operators.joins import hot_keys
 from goldseam.operators.scoring import enrich_predictions
 from goldseam.plans import claims
 from goldseam.plans.bound.registry import Tables, query, sql_mean
@@ -93,7 +94,9 @@ def predictions(t: Tables) -> DataFrame:
 def judged(t: Tables, people: bool = False) -> DataFrame:
     best = claims.best_prediction(predictions(t))
     customers = raw_customers(t) if people else None
-    return claims.judged_claims(claims.claim_base(raw_claims(t), raw_policies(t), customers, best))
+    facts = raw_claims(t)
+    base = claims.claim_base(facts, raw_policies(t), customers, best, hot_keys(facts, "claim_no"))
+    return claims.judged_claims(base)
 
 
 PREDICTIONS_SQL = f"""
@@ -246,8 +249,10 @@ def _enriched(t: Tables) -> DataFrame:
             "total_events": rows(),
         },
     )
-    gold = claims.customer_claim_policy(raw_claims(t), raw_policies(t), raw_customers(t))
-    return claims.with_telematics(gold, telematics)
+    policies = raw_policies(t)
+    return claims.customer_claim_policy(
+        raw_claims(t), policies, raw_customers(t), telematics, hot_keys(policies, "CHASSIS_NO")
+    )
 
 
 @query(
