@@ -12,19 +12,23 @@ from pyspark.sql import functions as F
 
 @dataclass(frozen=True)
 class Rule:
-    """``predicate`` is what a row must meet; a row that lacks one of ``requires`` gets ``when_missing``."""
+    """``predicate`` (SQL text or a column) is what a row must meet.
+
+    A row that lacks one of ``requires`` gets ``when_missing`` instead.
+    """
 
     name: str
-    predicate: Column
+    predicate: Column | str
     reason: str
     requires: tuple[str, ...] = ()
     when_missing: bool = True
 
     def verdict(self) -> Column:
+        test = F.expr(self.predicate) if isinstance(self.predicate, str) else self.predicate
         if not self.requires:
-            return self.predicate
+            return test
         missing = reduce(lambda a, b: a | b, (F.col(c).isNull() for c in self.requires))
-        return F.when(missing, F.lit(self.when_missing)).otherwise(self.predicate)
+        return F.when(missing, F.lit(self.when_missing)).otherwise(test)
 
 
 def apply_rules(

@@ -60,11 +60,18 @@ def topk_scores(t: Tables) -> DataFrame:
     return t.embeddings.select("vec_id", F.array_join(best, ",").alias("best"))
 
 
-def linear_scorer():
-    """A scorer with fixed weights, standing in for a trained model."""
-    classes, features = np.meshgrid(np.arange(len(LABELS)), np.arange(N_FEATURES), indexing="ij")
-    weights = ((classes * 7 + features * 3) % 11 - 5) / 5.0
-    return lambda batch: batch.astype(np.float64) @ weights.T
+def linear_scorer(n_classes: int, n_features: int):
+    """A maker of scorers with fixed weights, standing in for a trained model.
+
+    The inner functions travel to the workers by value, so these need numpy only.
+    """
+
+    def make():
+        classes, features = np.meshgrid(np.arange(n_classes), np.arange(n_features), indexing="ij")
+        weights = ((classes * 7 + features * 3) % 11 - 5) / 5.0
+        return lambda batch: batch.astype(np.float64) @ weights.T
+
+    return make
 
 
 @query(
@@ -79,8 +86,9 @@ def linear_scorer():
     """
 )
 def score_batches(t: Tables) -> DataFrame:
+    scorer = linear_scorer(len(LABELS), N_FEATURES)
     scored = scoring.score_batches(
-        t.embeddings.select("vec_id", "embedding"), linear_scorer, "embedding", LABELS, N_FEATURES
+        t.embeddings.select("vec_id", "embedding"), scorer, "embedding", LABELS, N_FEATURES
     )
     return scored.select("vec_id", "label", "score", F.explode("all_scores").alias("class_label", "class_score"))
 
