@@ -12,7 +12,17 @@ from pyspark.sql import functions as F
 from goldseam.functions.dates import month_label
 from goldseam.functions.fixed_point import exact_mean, exact_sum, percent, to_units
 from goldseam.functions.scores import HIGH, MIDDLE
-from goldseam.operators.aggregates import count_by, count_where, cross_counts, rows, top_groups
+from goldseam.operators.aggregates import (
+    count_by,
+    count_where,
+    counts_with_categories,
+    cross_counts,
+    measures_with_categories,
+    rows,
+    top_groups,
+)
+from goldseam.operators.profile import histogram
+from goldseam.operators.quantiles import exact_quantiles
 from goldseam.operators.shaping import not_null
 
 # Report labels, decisions and severities, in report order.
@@ -51,6 +61,12 @@ def top_makes(df: DataFrame, make: str = "auto_make", amount: str = "claim_total
     return best.select(make, (F.col("units") / 100.0).alias("total_loss"), percent(F.col("units"), among).alias("pct"))
 
 
+def amount_centre(df: DataFrame, amount: str = "claim_total") -> DataFrame:
+    """One row: mean and exact median of the amount."""
+    (median,) = exact_quantiles(df, [amount], [0.5], continuous=True)[amount]
+    return df.agg(exact_mean(amount).alias("mean_total"), F.lit(median).cast("double").alias("median_total"))
+
+
 def claims_per_month(df: DataFrame, day: str = "claim_date", keep_undated: bool = False) -> DataFrame:
     dated = df if keep_undated else df.filter(F.col(day).isNotNull())
     return count_by(dated.select(month_label(day).alias("month")), ["month"])
@@ -153,3 +169,31 @@ def executive_kpis(df: DataFrame) -> DataFrame:
         exact_sum("claim_total").alias("total_amount"),
         exact_sum(at_risk).alias("amount_at_risk"),
     )
+
+
+def dashboards(judged: DataFrame, rules: dict[str, str]) -> dict[str, DataFrame]:
+    """All datasets of the business, prediction and decision views, by name.
+
+    ``judged`` is best the stored table: each dataset then scans the few columns it needs.
+    """
+    return {
+        "claims_by_severity": counts_with_categories(judged, "incident_severity", SEVERITIES),
+        "loss_by_incident_type": loss_by(judged, "incident_type"),
+        "claims_per_hour": claims_per_hour(judged),
+        "top_makes": top_makes(judged),
+        "amount_histogram": histogram(judged, "claim_total"),
+        "amount_centre": amount_centre(judged),
+        "claims_per_month": claims_per_month(judged),
+        "predictions_by_label": counts_with_label(judged, "damage_label", NO_PREDICTION),
+        "predictions_by_confidence": counts_with_label(judged, "confidence_level", NO_CONFIDENCE),
+        "coherence": coherence(judged),
+        "score_by_label": score_by_label(judged),
+        "score_against_amount": score_against_amount(judged),
+        "coverage": coverage(judged),
+        "decisions": counts_with_label(judged, "decision_final", NO_DECISION),
+        "label_by_decision": label_by_decision(judged),
+        "rule_failures": rule_failures(judged, rules),
+        "amount_by_decision": measures_with_categories(judged, "decision_final", DECISIONS, F.col("claim_total")),
+        "failures_by_severity": failures_by_severity(judged),
+        "executive_kpis": executive_kpis(judged),
+    }

@@ -6,7 +6,7 @@ from collections.abc import Sequence
 
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
-from pyspark.sql.types import DoubleType, FloatType, NumericType
+from pyspark.sql.types import DoubleType, FloatType, NumericType, StringType
 
 from goldseam.operators.quantiles import exact_quantiles
 from goldseam.operators.shaping import not_null
@@ -68,6 +68,20 @@ def describe_numeric(df: DataFrame, columns: Sequence[str] | None = None) -> Dat
     return _long_form(df, [F.struct(*_statistics(c, None)) for c in columns])
 
 
+def describe_text(df: DataFrame, columns: Sequence[str] | None = None) -> DataFrame:
+    """Count, minimum and maximum per text column."""
+    columns = columns or [f.name for f in df.schema.fields if isinstance(f.dataType, StringType)]
+    return _long_form(
+        df,
+        [
+            F.struct(
+                F.lit(c).alias("column_name"), F.count(c).alias("n"), F.min(c).alias("min"), F.max(c).alias("max")
+            )
+            for c in columns
+        ],
+    )
+
+
 def summary_numeric(df: DataFrame, columns: Sequence[str] | None = None) -> DataFrame:
     """``describe_numeric`` with exact discrete quartiles."""
     columns = columns or numeric_columns(df)

@@ -9,7 +9,6 @@ from goldseam.operators import insights
 from goldseam.operators.aggregates import count_by, counts_with_categories, measures_with_categories
 from goldseam.operators.joins import enrich
 from goldseam.operators.profile import histogram
-from goldseam.operators.quantiles import exact_quantiles
 from goldseam.plans import claims
 from goldseam.plans.bound.claims import JUDGED_SQL, judged, raw_claims
 from goldseam.plans.bound.registry import Tables, query, sql_mean, sql_pct, sql_sum
@@ -104,11 +103,7 @@ def bi_histogram(t: Tables) -> DataFrame:
     """
 )
 def bi_mean_median(t: Tables) -> DataFrame:
-    amounts = reported(t)
-    (median,) = exact_quantiles(amounts, ["claim_total"], [0.5], continuous=True)["claim_total"]
-    return amounts.agg(
-        insights.exact_mean("claim_total").alias("mean_total"), F.lit(median).cast("double").alias("median_total")
-    )
+    return insights.amount_centre(reported(t))
 
 
 @query(JUDGED_SQL + "SELECT strftime(claim_date, '%Y-%m') AS month, count(*) AS n FROM judged GROUP BY 1")

@@ -62,6 +62,16 @@ def describe_numeric(t: Tables) -> DataFrame:
     return profile.describe_numeric(t.lineitem, NUMBERS)
 
 
+@query(
+    " UNION ALL ".join(
+        f"SELECT '{c}' AS column_name, count({c}) AS n, min({c}) AS min, max({c}) AS max FROM orders"
+        for c in ("o_orderstatus", "o_orderpriority")
+    )
+)
+def describe_text(t: Tables) -> DataFrame:
+    return profile.describe_text(t.orders)
+
+
 @query(
     _sql_stats(
         "quantile_disc({c}, 0.25) AS q1, quantile_disc({c}, 0.5) AS median, quantile_disc({c}, 0.75) AS q3,"

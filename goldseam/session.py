@@ -19,16 +19,24 @@ SESSION_CONF = {
 }
 
 
-def build_session(app_name: str = "goldseam", master: str | None = None, **conf: str) -> SparkSession:
+def partitions_for(shuffle_bytes: int, partition_bytes: int = 128 << 20, least: int = 200) -> int:
+    """Shuffle partitions that keep each near ``partition_bytes``, so that it fits a task's memory."""
+    return max(least, -(-shuffle_bytes // partition_bytes))
+
+
+def build_session(
+    app_name: str = "goldseam", master: str | None = None, shuffle_bytes: int | None = None, **conf: str
+) -> SparkSession:
     """A session with the settings this library is tuned for; ``conf`` adds to or overrides them.
 
-    Shuffle partitions are left to the cluster: set a generous initial number there and
-    let adaptive execution coalesce it.
+    Give the bytes of the largest shuffle to expect (the columns in use of the largest
+    fact). Adaptive execution can merge partitions that turn out small, but not make more.
     """
     builder = SparkSession.builder.appName(app_name)
     if master:
         builder = builder.master(master)
-    for key, value in {**SESSION_CONF, **conf}.items():
+    sizing = {} if shuffle_bytes is None else {"spark.sql.shuffle.partitions": str(partitions_for(shuffle_bytes))}
+    for key, value in {**SESSION_CONF, **sizing, **conf}.items():
         builder = builder.config(key, value)
     return builder.getOrCreate()
 

@@ -5,6 +5,7 @@ from __future__ import annotations
 from collections.abc import Iterable, Sequence
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 from pyspark.sql.types import StructType
 
 
@@ -40,9 +41,17 @@ def read_table(spark: SparkSession, name: str) -> DataFrame:
     return spark.table(name)
 
 
+SMALL = 10_000  # rows
+
+
 def inline_rows(spark: SparkSession, rows: Iterable[Sequence], schema: StructType | str) -> DataFrame:
-    """A small frame of rows given in the program."""
-    return spark.createDataFrame(list(rows), schema)
+    """A frame of rows given in the program, marked for broadcast while it is small.
+
+    Spark does not know the size of such a frame, and would shuffle a large fact to join it.
+    """
+    rows = list(rows)
+    df = spark.createDataFrame(rows, schema)
+    return F.broadcast(df) if len(rows) <= SMALL else df
 
 
 def empty_frame(spark: SparkSession, schema: StructType | str) -> DataFrame:

@@ -14,14 +14,26 @@ def write_layer(df: DataFrame, name: str, fmt: str = "parquet", partition_by: Se
 
     The count is observed during the write, so the input is computed once.
     """
+    return write_checked(df, name, {}, fmt, partition_by)["rows"]
+
+
+def write_checked(
+    df: DataFrame, name: str, rules: Mapping[str, Column], fmt: str = "parquet", partition_by: Sequence[str] = ()
+) -> dict[str, int]:
+    """``write_layer`` that also counts the failures of quality rules in the same pass.
+
+    A rule is the condition of a failing row. Returns {"rows": n, rule: failures, ...}.
+    """
     seen = Observation()
-    writer = df.observe(seen, F.count(F.lit(1)).alias("rows")).write.format(fmt).mode("overwrite")
+    counts = {"rows": F.count(F.lit(1)), **{rule: F.count(F.when(fails, 1)) for rule, fails in rules.items()}}
+    observed = df.observe(seen, *(count.alias(label) for label, count in counts.items()))
+    writer = observed.write.format(fmt).mode("overwrite")
     if fmt == "delta":
         writer = writer.option("overwriteSchema", True)
     if partition_by:
         writer = writer.partitionBy(*partition_by)
     writer.saveAsTable(name)
-    return seen.get["rows"]
+    return seen.get
 
 
 def verify_write(spark: SparkSession, name: str, expected: int) -> None:

@@ -48,7 +48,7 @@ def _rows(table: pa.Table) -> list[tuple]:
 def differences(spark: SparkSession, con, name: str, build, sql: str, folder: str) -> list[str]:
     """What differs, as text; empty when both agree."""
     ours: pa.Table = build(spark, folder).toArrow()
-    theirs: pa.Table = con.execute(sql).to_arrow_table()
+    theirs: pa.Table = con.sql(sql).to_arrow_table()
     found = []
     our_types = {f.name: _kind(f.type) for f in ours.schema}
     their_types = {f.name: _kind(f.type) for f in theirs.schema}

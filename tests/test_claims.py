@@ -3,7 +3,7 @@ from datetime import date, datetime
 import numpy as np
 import pytest
 
-from goldseam.operators.insights import executive_kpis
+from goldseam.operators.insights import dashboards, executive_kpis
 from goldseam.operators.scoring import enrich_predictions
 from goldseam.plans import claims
 from goldseam.sources.sinks import write_layer
@@ -154,3 +154,24 @@ def test_curation_needs_its_columns(frame):
                   "is_reliable BOOLEAN, predicted_at TIMESTAMP"),
             "v",
         )
+
+
+def test_all_layers(spark, folder):
+    spark.sql("CREATE DATABASE IF NOT EXISTS claims")
+    written = claims.run(spark, folder, "claims", size_scorer(), LABELS, "damage@1")
+    assert {t.removeprefix("claims."): w["rows"] for t, w in written.items() if "gold" in t} == {
+        "gold_aggregated_telematics": 1, "gold_customer_claim_policy": 2, "gold_customer_claim_policy_telematics": 2,
+        "gold_claim_images_predictions": 4, "gold_claim_damage_predictions": 4, "gold_claim_predictions_final": 4,
+        "gold_best_predictions": 2, "gold_claim_insights_final": 3,
+    }
+    assert written["claims.silver_claims_clean"]["no_claim_date"] == 1
+    assert written["claims.silver_policies_clean"]["ends_before_start"] == 0
+    views = dashboards(spark.table("claims.gold_claim_insights_final"), claims.REASONS)
+    assert len(views) == 19
+    found = {name: [tuple(r) for r in df.collect()] for name, df in views.items()}
+    assert found["claims_by_severity"] == [
+        (0, "Minor Damage", 1), (1, "Major Damage", 0), (2, "Total Loss", 1), (3, "Trivial Damage", 0),
+    ]
+    assert found["amount_centre"] == [(203.5, 200.0)]
+    assert sum(r[-1] for r in found["amount_histogram"]) == 3
+    assert sorted(found["decisions"]) == [("INVESTIGAR", 1, 33.33), ("LIBERADO", 2, 66.67)]

@@ -61,6 +61,11 @@ def test_summary(frame):
     assert [tuple(r) for r in profile.summary_numeric(df).collect()] == [("x", 4, 2.5, 1.290994, 1.0, 1.0, 2.0, 3.0, 4.0)]
 
 
+def test_describe_text(frame):
+    df = frame([("b", 1), ("a", 2), (None, 3)], "t STRING, k INT")
+    assert [tuple(r) for r in profile.describe_text(df).collect()] == [("t", 2, "a", "b")]
+
+
 def test_correlation_is_pairwise_complete(frame):
     df = frame([(1.0, 2.0, 5.0), (2.0, 4.0, None), (3.0, 6.0, 1.0), (4.0, None, 0.0)], "a DOUBLE, b DOUBLE, c DOUBLE")
     r = {(x["col_a"], x["col_b"]): x["r"] for x in profile.corr_matrix(df).collect()}

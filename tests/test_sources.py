@@ -45,6 +45,17 @@ def test_write_replaces_rows_and_schema_and_counts(spark, frame):
     assert sinks.write_layer(frame([], "k INT"), "layers.empty") == 0
 
 
+def test_write_counts_rule_failures_in_the_same_pass(frame):
+    df = frame([(1, "a"), (None, "b"), (3, None)], "k INT, t STRING")
+    rules = {"no_key": F.col("k").isNull(), "big": F.col("k") > 2}
+    assert sinks.write_checked(df, "layers.checked", rules) == {"rows": 3, "no_key": 1, "big": 1}
+
+
+def test_shuffle_sizing():
+    assert session.partitions_for(0) == 200
+    assert session.partitions_for(10 * 2**40) == 81_920
+
+
 def test_create_insert_and_view(spark, values):
     sinks.create_table(spark, "layers.simple", "id INT, letra STRING, valor DOUBLE")
     sinks.insert_rows(spark, "layers.simple", [(1, "A", 10.5), (2, "B", 20.0)])
