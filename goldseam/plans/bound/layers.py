@@ -270,7 +270,8 @@ def silver_policies(t: Tables) -> DataFrame:
     SELECT l_partkey AS claim_no, l_orderkey AS policy_no, CAST(l_shipdate AS DATE) AS claim_date,
            CASE WHEN l_returnflag <> 'N' THEN CAST(l_shipdate AS DATE) - 900 END AS license_issue_date,
            round(l_extendedprice - 20000, 2) AS total, l_linenumber - 1 AS age
-    FROM lineitem WHERE round(l_extendedprice - 20000, 2) >= 0 AND l_linenumber > 1
+    FROM lineitem WHERE l_partkey IS NOT NULL AND l_orderkey IS NOT NULL
+        AND round(l_extendedprice - 20000, 2) >= 0 AND l_linenumber > 1
     """
 )
 def silver_claims(t: Tables) -> DataFrame:

@@ -8,14 +8,18 @@ from pyspark.sql import functions as F
 
 from goldseam.functions.scores import argmax, softmax, top_positions
 from goldseam.operators import scoring
-from goldseam.operators.aggregates import count_by
 from goldseam.plans.bound.registry import Tables, query, sql_pct
 
 N_FEATURES = 64
 LABELS = [f"class_{c}" for c in range(10)]
 
 
-@query("SELECT p_type, CAST(row_number() OVER (ORDER BY p_type) - 1 AS INTEGER) AS label_id FROM (SELECT DISTINCT p_type FROM part)")
+@query(
+    """
+    SELECT p_type, CAST(row_number() OVER (ORDER BY p_type) - 1 AS INTEGER) AS label_id
+    FROM (SELECT DISTINCT p_type FROM part)
+    """
+)
 def label_index(t: Tables) -> DataFrame:
     return scoring.label_index(t.part, "p_type")
 

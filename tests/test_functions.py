@@ -61,6 +61,25 @@ def test_parse_dates_tries_formats_in_order(frame):
     ]
 
 
+def test_the_quick_look_at_a_date_never_rejects_what_parses(frame):
+    rng = random.Random(9)
+    formats = dates.BIRTH_DATE_FORMATS
+    given = [
+        rng.choice(["{0}/{1}/{2}", "{2}-{1}-{0}", "{0}-{1}-{2}", "{2}/{1}/{0}", "{0}{1}{2}", "{0}/{1}-{2}"]).format(
+            rng.choice(["01", "12", "13", "31", "32", "5", "00"]),
+            rng.choice(["01", "02", "12", "13", "31", "7"]),
+            rng.choice(["1999", "2020", "20", "02020", "+12020", "202"]),
+        )
+        for _ in range(400)
+    ]
+    df = frame([(t,) for t in given], "t STRING")
+    for fmt in formats:
+        plain = F.try_to_timestamp("t", F.lit(fmt)).cast("date")
+        rows = df.select("t", plain.alias("a"), dates.parse_dates("t", [fmt]).alias("b"))
+        assert rows.filter(~F.col("a").eqNullSafe(F.col("b"))).select("t").collect() == []
+    assert df.filter(dates.parse_dates("t").isNotNull()).count() > 30
+
+
 def test_month_buckets(frame):
     df = frame([(date(2021, 3, 9),), (None,)], "d DATE")
     assert [tuple(r) for r in df.select(dates.month_label("d"), dates.month_start("d")).collect()] == [
