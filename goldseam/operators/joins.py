@@ -19,15 +19,17 @@ from goldseam.functions.fixed_point import percent
 
 
 def hot_keys(df: DataFrame, key: str, share: float = 1e-4, min_rows: int = 1_000_000) -> list:
-    """Values of ``key`` (None for NULL) that hold more than a share of all rows.
+    """Values of ``key`` (None for NULL) that hold at least ``min_rows`` and more than a share of all rows.
 
-    There are fewer than 1 / share of them. Only the key column is read, and it is counted
-    before it is shuffled.
+    There are fewer than 1 / share of them, so the largest 1 / share keys hold them all.
+    Only the key column is read, and it is counted before it is shuffled.
     """
-    counts = df.groupBy(key).agg(F.count(F.lit(1)).alias("n"))
-    total = counts.agg(F.sum("n")).scalar()
-    hot = counts.filter((F.col("n") >= min_rows) & (F.col("n") > total * share))
-    return [row[0] for row in hot.select(key).collect()]
+    counts = df.groupBy(key).agg(F.count(F.lit(1)).alias("n")).filter(F.col("n") >= min_rows)
+    largest = counts.orderBy(F.desc("n")).limit(int(1 / share)).collect()
+    if not largest:
+        return []
+    least = df.count() * share
+    return [row[key] for row in largest if row["n"] > least]
 
 
 def _among(key: Column, values: Sequence) -> Column:
