@@ -12,6 +12,9 @@ from pyspark.sql import Column
 from pyspark.sql import functions as F
 
 
+WIDE = "decimal(38,0)"
+
+
 def as_column(value: Column | str) -> Column:
     return F.col(value) if isinstance(value, str) else value
 
@@ -49,17 +52,21 @@ def exact_mean(value: Column | str, digits: int = 2, carried: int = 2) -> Column
 def mean_of_units(units_sum: Column, count: Column, digits: int = 2, carried: int = 2) -> Column:
     if digits < carried:
         raise ValueError("digits must not be fewer than the decimals carried")
-    scaled = units_sum * F.lit(10 ** (digits - carried)).cast("bigint")
-    return from_units(half_up_quotient(scaled, count), digits)
+    if digits > carried:  # the larger numerator may not fit a BIGINT, the quotient does
+        units_sum = units_sum.cast(WIDE) * F.lit(10 ** (digits - carried))
+    return from_units(half_up_quotient(units_sum, count), digits)
+
 
+def share(part: Column, total: Column, digits: int = 4, kind: str = "bigint") -> Column:
+    """part / total of two counts, rounded half up; NULL when total is 0.
 
-def share(part: Column, total: Column, digits: int = 4) -> Column:
-    """part / total of two counts, rounded half up; NULL when total is 0."""
-    doubled = part.cast("bigint") * F.lit(2 * 10**digits).cast("bigint")
-    whole = total.cast("bigint")
+    For sums of units, which may be near the limit of BIGINT, pass ``kind=WIDE``.
+    """
+    doubled = part.cast(kind) * F.lit(2 * 10**digits)
+    whole = total.cast(kind)
     return from_units(F.when(whole > 0, F.call_function("div", doubled + whole, whole * 2)), digits)
 
 
-def percent(part: Column, total: Column, digits: int = 2) -> Column:
+def percent(part: Column, total: Column, digits: int = 2, kind: str = "bigint") -> Column:
     """100 * part / total of two counts, rounded half up; NULL when total is 0."""
-    return share(part * 100, total, digits)
+    return share(part.cast(kind) * 100, total, digits, kind)

@@ -10,7 +10,7 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from goldseam.functions.dates import month_label
-from goldseam.functions.fixed_point import exact_mean, exact_sum, percent, to_units
+from goldseam.functions.fixed_point import WIDE, exact_mean, exact_sum, from_units, percent, to_units
 from goldseam.functions.scores import HIGH, MIDDLE
 from goldseam.operators.aggregates import (
     count_by,
@@ -57,8 +57,9 @@ def top_makes(df: DataFrame, make: str = "auto_make", amount: str = "claim_total
     """The k makes with the largest loss, and their share of the loss of these k."""
     best = top_groups(df, make, F.sum(to_units(amount)), k, "units")
     # k rows at most reach this window.
-    among = F.sum("units").over(Window.partitionBy())
-    return best.select(make, (F.col("units") / 100.0).alias("total_loss"), percent(F.col("units"), among).alias("pct"))
+    among = F.sum(F.col("units").cast(WIDE)).over(Window.partitionBy())
+    pct = percent(F.col("units"), among, kind=WIDE)
+    return best.select(make, from_units(F.col("units")).alias("total_loss"), pct.alias("pct"))
 
 
 def amount_centre(df: DataFrame, amount: str = "claim_total") -> DataFrame:

@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 from collections.abc import Sequence
+from functools import reduce
 
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
@@ -89,17 +90,20 @@ def summary_numeric(df: DataFrame, columns: Sequence[str] | None = None) -> Data
     return _long_form(df, [F.struct(*_statistics(c, quartiles[c])) for c in columns])
 
 
-def corr_matrix(df: DataFrame, columns: Sequence[str] | None = None) -> DataFrame:
-    """Pearson correlation of each pair of numeric columns (lower triangle), pairwise complete."""
+def corr_matrix(df: DataFrame, columns: Sequence[str] | None = None, pairs_per_scan: int = 200) -> DataFrame:
+    """Pearson correlation of each pair of numeric columns (lower triangle), pairwise complete.
+
+    Twenty columns take one scan. Wider frames take several, each of the columns it needs,
+    as one aggregate of thousands of pairs would not compile.
+    """
     columns = columns or numeric_columns(df)
-    pairs = [(a, b) for i, a in enumerate(columns) for b in columns[:i]]
-    return _long_form(
-        df,
-        [
-            F.struct(F.lit(a).alias("col_a"), F.lit(b).alias("col_b"), F.round(F.corr(a, b), DIGITS).alias("r"))
-            for a, b in pairs
-        ],
-    )
+    entries = [
+        F.struct(F.lit(a).alias("col_a"), F.lit(b).alias("col_b"), F.round(F.corr(a, b), DIGITS).alias("r"))
+        for i, a in enumerate(columns)
+        for b in columns[:i]
+    ]
+    scans = [entries[i : i + pairs_per_scan] for i in range(0, len(entries), pairs_per_scan)]
+    return reduce(DataFrame.unionByName, (_long_form(df, part) for part in scans))
 
 
 def iqr_bounds(df: DataFrame, column: str, k: float = 1.5, rel_error: float = 0.0) -> dict[str, float] | None:

@@ -109,3 +109,25 @@ def monthly_sales(
         from_units(F.sum("_amount")).alias("importe_total"),
         mean_of_units(F.sum("_price"), F.sum("_n")).alias("precio_medio"),
     )
+
+
+def monthly_sales_sql(
+    spark: SparkSession, sales: str, products: str, since: datetime, until: datetime, category: str = "All"
+) -> DataFrame:
+    """``monthly_sales`` by SQL text over two tables, with bound parameters."""
+    return spark.sql(
+        """
+        WITH sold AS (
+            SELECT trunc(fecha, 'MONTH') AS mes, producto, sum(cantidad) AS units,
+                sum(cast(cantidad * precio AS DECIMAL(18, 2))) AS amount,
+                sum(cast(precio AS DECIMAL(18, 2))) AS price, count(precio) AS n
+            FROM IDENTIFIER(:sales) WHERE fecha BETWEEN :since AND :until GROUP BY ALL
+        )
+        SELECT mes, categoria, producto, sum(units) AS unidades_vendidas, cast(sum(amount) AS DOUBLE) AS importe_total,
+            cast(round(sum(price) / sum(n), 2) AS DOUBLE) AS precio_medio
+        FROM sold JOIN IDENTIFIER(:products) ON producto = nombre_producto
+        WHERE :category IN ('All', categoria)
+        GROUP BY ALL
+        """,
+        args={"sales": sales, "products": products, "since": since, "until": until, "category": category},
+    )

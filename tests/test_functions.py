@@ -52,6 +52,18 @@ def test_percent_rounds_half_up_and_survives_zero(spark):
     assert pct(5, 5) == 100.0
 
 
+def test_totals_near_the_limit_of_bigint(frame):
+    df = frame([("a", 4.0e16), ("b", 4.0e16), ("b", 1.0e16)], "g STRING, x DOUBLE")
+    out = df.groupBy("g").agg(fixed_point.exact_sum("x"), fixed_point.exact_mean("x"))
+    assert sorted(map(tuple, out.collect())) == [("a", 4.0e16, 4.0e16), ("b", 5.0e16, 2.5e16)]
+    many = frame([(3.0e15,)] * 20, "x DOUBLE").agg(fixed_point.exact_mean("x", 3, 2))
+    assert many.first()[0] == 3.0e15
+    units = F.lit(4 * 10**18)
+    assert df.select(fixed_point.percent(units, units * 2, kind=fixed_point.WIDE)).first()[0] == 50.0
+    with pytest.raises(Exception, match="(?i)overflow"):  # refused, never wrapped
+        df.unionByName(df).agg(fixed_point.exact_sum("x")).first()
+
+
 def test_parse_dates_tries_formats_in_order(frame):
     given = ["02/03/2020", "25/12/2020", "2020-12-25", "25-12-2020", "2020/12/25", "bad", "31/31/2020", None]
     df = frame([(t,) for t in given], "t STRING")

@@ -36,6 +36,14 @@ def test_monthly_sales(sold, products, values):
     assert sales.monthly_sales(sold, products, *SPAN, "Oficina").count() == 0
 
 
+@pytest.mark.parametrize("category", ["All", "Accesorios", "Oficina"])
+def test_monthly_sales_by_sql(spark, sold, products, values, category):
+    sold.createOrReplaceTempView("sold")
+    products.unionByName(products.filter("product_id = 1")).createOrReplaceTempView("listed")
+    frames = sales.monthly_sales(spark.table("sold"), spark.table("listed"), *SPAN, category)
+    assert values(sales.monthly_sales_sql(spark, "sold", "listed", *SPAN, category)) == values(frames)
+
+
 def test_a_product_listed_twice_multiplies_its_sales(sold, products):
     twice = products.unionByName(products)
     row = sales.monthly_sales(sold, twice, *SPAN).filter("producto = 'Mouse'").first()
