@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from collections.abc import Iterable, Mapping, Sequence
+from collections.abc import Callable, Iterable, Mapping, Sequence
 from functools import reduce
 
 from pyspark.sql import Column, DataFrame, Observation, SparkSession
@@ -23,7 +23,11 @@ def write_checked(
     """``write_layer`` that also counts the failures of quality rules in the same pass.
 
     A rule is the condition of a failing row. Returns {"rows": n, rule: failures, ...}.
+    Rows of one partition value are brought together first, so that each task does not
+    leave a small file in every partition; a hot value is split over several files.
     """
+    if partition_by:
+        df = df.hint("rebalance", *partition_by)
     seen = Observation()
     counts = {"rows": F.count(F.lit(1)), **{rule: F.count(F.when(fails, 1)) for rule, fails in rules.items()}}
     observed = df.observe(seen, *(count.alias(label) for label, count in counts.items()))
@@ -36,6 +40,19 @@ def write_checked(
     return seen.get
 
 
+def rewrite_table(spark: SparkSession, name: str, change: Callable[[DataFrame], DataFrame], fmt: str = "parquet") -> int:
+    """Replace a table by a change of itself (update, delete, upsert); returns its rows.
+
+    The next state is written in full beside the table before it takes the table's name, so
+    a failed job leaves the table as it was.
+    """
+    staged = f"{name}__next"
+    rows = write_layer(change(spark.table(name)), staged, fmt)
+    spark.sql(f"DROP TABLE {name}")
+    spark.sql(f"ALTER TABLE {staged} RENAME TO {name}")
+    return rows
+
+
 def verify_write(spark: SparkSession, name: str, expected: int) -> None:
     """Read the table back and raise unless it holds ``expected`` rows."""
     found = spark.table(name).count()

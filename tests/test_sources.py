@@ -84,3 +84,32 @@ def test_shared_folder_follows_the_session(spark):
     folder = session.shared_folder(spark)
     assert folder.rstrip("/") == spark.conf.get("spark.checkpoint.dir", folder).rstrip("/")
     assert session.scratch_path(spark, "x") != session.scratch_path(spark, "x")
+
+
+def test_insert_update_delete_and_merge_a_table(spark, frame, values):
+    sinks.create_table(spark, "layers.ventas", "id STRING, producto STRING, cantidad INT, precio DOUBLE")
+    sinks.insert_rows(spark, "layers.ventas", [("1", "Mouse", 2, 10.0), ("3", "USB", 1, 5.0)])
+    sinks.insert_rows(spark, "layers.ventas", [("A001", "Torre", 3, 120000.5)])
+
+    def update(df):
+        return changes.update_where(df, F.col("id") == "1", {"cantidad": F.lit(5), "precio": F.lit(119000)})
+
+    def delete(df):
+        return changes.delete_where(df, F.col("id") == "A001")
+
+    def merge(df):
+        news = frame([(3, "Monitor", 1, 179.99), (4, "Impresora", 2, 89.99)], "id INT, producto STRING, cantidad INT, precio DOUBLE")
+        return changes.upsert(df, news, ["id"])
+
+    assert [sinks.rewrite_table(spark, "layers.ventas", step) for step in (update, delete, merge)] == [3, 2, 3]
+    assert values(spark.table("layers.ventas")) == [
+        ("1", "Mouse", 5, 119000.0), ("3", "Monitor", 1, 179.99), ("4", "Impresora", 2, 89.99),
+    ]
+    assert sinks.missing_tables(spark, "layers", ["ventas", "ventas__next"]) == ["ventas__next"]
+
+    def broken(df):
+        return df.withColumn("id", F.raise_error(F.lit("no")).cast("string"))
+
+    with pytest.raises(Exception, match="no"):
+        sinks.rewrite_table(spark, "layers.ventas", broken)
+    assert spark.table("layers.ventas").count() == 3
