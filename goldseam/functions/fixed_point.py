@@ -19,6 +19,11 @@ def as_column(value: Column | str) -> Column:
     return F.col(value) if isinstance(value, str) else value
 
 
+def plain_zero(value: Column) -> Column:
+    """-0.0 as 0.0. They are equal, so a minimum may come out as either."""
+    return value + F.lit(0.0)
+
+
 def to_units(value: Column | str, carried: int = 2) -> Column:
     """The number as a BIGINT count of its smallest unit, e.g. 12.34 -> 1234."""
     number = as_column(value).cast("double")

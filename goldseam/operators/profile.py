@@ -9,6 +9,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.types import DoubleType, FloatType, NumericType, StringType
 
+from goldseam.functions.fixed_point import plain_zero
 from goldseam.operators.quantiles import exact_quantiles
 from goldseam.operators.shaping import not_null
 
@@ -56,11 +57,11 @@ def _statistics(column: str, quartiles: Sequence[float | None] | None) -> list:
         F.count(value).alias("n"),
         F.round(F.avg(value), DIGITS).alias("mean"),
         F.round(F.stddev(value), DIGITS).alias("stddev"),
-        F.min(value).alias("min"),
+        plain_zero(F.min(value)).alias("min"),
     ]
     for name, quartile in zip(("q1", "median", "q3"), quartiles or ()):
         fields.append(F.lit(quartile).cast("double").alias(name))
-    return [*fields, F.max(value).alias("max")]
+    return [*fields, plain_zero(F.max(value)).alias("max")]
 
 
 def describe_numeric(df: DataFrame, columns: Sequence[str] | None = None) -> DataFrame:

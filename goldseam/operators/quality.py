@@ -7,7 +7,7 @@ from collections.abc import Mapping, Sequence
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from goldseam.functions.fixed_point import percent
+from goldseam.functions.fixed_point import percent, plain_zero
 
 
 def quality_report(df: DataFrame, rules: Mapping[str, Column]) -> DataFrame:
@@ -51,8 +51,8 @@ def value_ranges(df: DataFrame, columns: Sequence[str]) -> DataFrame:
     entries = [
         F.struct(
             F.lit(c).alias("column_name"),
-            F.min(F.col(c).cast("double")).alias("min_value"),
-            F.max(F.col(c).cast("double")).alias("max_value"),
+            plain_zero(F.min(F.col(c).cast("double"))).alias("min_value"),
+            plain_zero(F.max(F.col(c).cast("double"))).alias("max_value"),
         )
         for c in columns
     ]

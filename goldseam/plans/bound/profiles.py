@@ -52,7 +52,8 @@ def null_profile(t: Tables) -> DataFrame:
 def _sql_stats(extra: str = "") -> str:
     return " UNION ALL ".join(
         f"SELECT '{c}' AS column_name, count({c}) AS n, round(avg({c}), 6) AS mean, "
-        f"round(stddev_samp({c}), 6) AS stddev, min({c}) AS min, {extra.format(c=c)} max({c}) AS max FROM lineitem"
+        f"round(stddev_samp({c}), 6) AS stddev, min({c}) + 0.0::DOUBLE AS min, {extra.format(c=c)} "
+        f"max({c}) + 0.0::DOUBLE AS max FROM lineitem"
         for c in NUMBERS
     )
 
@@ -156,7 +157,8 @@ def quality_keys(t: Tables) -> DataFrame:
 
 @query(
     " UNION ALL ".join(
-        f"SELECT '{c}' AS column_name, CAST(min({c}) AS DOUBLE) AS min_value, CAST(max({c}) AS DOUBLE) AS max_value "
+        f"SELECT '{c}' AS column_name, CAST(min({c}) AS DOUBLE) + 0.0::DOUBLE AS min_value, "
+        f"CAST(max({c}) AS DOUBLE) + 0.0::DOUBLE AS max_value "
         "FROM lineitem"
         for c in (*NUMBERS, "l_linenumber")
     )

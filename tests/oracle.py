@@ -34,6 +34,8 @@ def _kind(t: pa.DataType) -> str:
 def _cell(value):
     if isinstance(value, float) and math.isnan(value):
         return "NaN"
+    if isinstance(value, float) and value == 0:
+        return str(value)  # tells 0.0 from -0.0
     if isinstance(value, Decimal):
         return ("decimal", str(value))
     return value

@@ -42,6 +42,11 @@ def test_keys_ranges_coverage(df, values):
     assert values(quality.key_coverage(df, ["k", "t"])) == [("k", 3, 1, 75.0), ("t", 3, 1, 75.0)]
 
 
+def test_negative_zero_is_shown_as_zero(frame):
+    ranges = quality.value_ranges(frame([(-0.0,), (0.0,)], "v DOUBLE"), ["v"]).first()
+    assert str(ranges["min_value"]) == str(ranges["max_value"]) == "0.0"
+
+
 def test_schema_gates(df):
     assert quality.require_columns(df, ["k"]) is df
     with pytest.raises(ValueError, match="missing columns: path, label"):
