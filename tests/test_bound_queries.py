@@ -22,7 +22,8 @@ def test_agrees_with_sql(spark, con, name):
 def test_entry(spark):
     queries, oracles = __spark_entry__.queries(), __spark_entry__.oracle_sql()
     assert set(oracles) <= set(queries)
-    assert set(queries) - set(oracles) == {"train_classifier"}
+    assert set(QUERIES) - set(ORACLES) == {"train_classifier"}
+    assert set(QUERIES) <= set(queries) and set(ORACLES) <= set(oracles)
     assert __spark_entry__.entry(spark).count() > 0
     assert QUERIES["train_classifier"](spark, FOLDER).count() > 0
 
