@@ -4,7 +4,7 @@ from __future__ import annotations
 
 import public_tokenizers
 
-from goldseam.llm import boosting, bpe, langid, licenses, outliers, toxicity, warc
+from goldseam.llm import boosting, bpe, langid, licenses, outliers, pii, toxicity, warc
 from goldseam.llm.common import table
 from goldseam.llm.registry import ORACLES, QUERIES, query
 from goldseam.session import scratch_path
@@ -66,6 +66,11 @@ def op5(spark, folder):
     return bpe.round_trip(documents(spark, folder), public_tokenizers.path(VOCABULARY))
 
 
+@query("op6_pii")
+def op6(spark, folder):
+    return pii.report(documents(spark, folder))
+
+
 @query("op7_licenses")
 def op7(spark, folder):
     return licenses.scan(documents(spark, folder))

@@ -18,6 +18,7 @@ toxic labels (0 without any).
 from __future__ import annotations
 
 import zlib
+from array import array
 from dataclasses import dataclass
 
 import numpy as np
@@ -106,16 +107,20 @@ def fit(texts: list[bytes], labels: np.ndarray, buckets: int = 1 << 17, dim: int
         return model
     ids: dict[bytes, int] = {}
     docs = [np.array([ids.setdefault(w, len(ids)) for w in words_of(t)], dtype=np.int32) for t in texts]
-    grams = [subwords(w, buckets, least, most) for w in ids] or [[0]]
-    sizes = np.array([len(g) for g in grams])
-    flat, starts = np.concatenate(grams), np.concatenate(([0], np.cumsum(sizes)[:-1]))
-    owner = np.repeat(np.arange(len(sizes)), sizes)
+    flat, sizes = array("i"), array("i")  # compact: the driver holds every n-gram of the sample's words
+    for word in ids or {b"": 0}:
+        grams = subwords(word, buckets, least, most)
+        flat.extend(grams)
+        sizes.append(len(grams))
+    del ids
+    flat, sizes = np.frombuffer(flat, np.int32), np.frombuffer(sizes, np.int32)
+    starts = np.concatenate(([0], np.cumsum(sizes)[:-1]))
     weight = np.where(labels > 0, 0.5 / share, 0.5 / (1 - share)) / len(labels)
     bags = [np.unique(d) for d in docs]
     seen_e, seen_s, seen_b = (np.full(x.shape, 1e-8) for x in (model.embeddings, model.softmax, model.bias))
     for epoch in range(epochs):
         averages = epoch < epochs // 4
-        parts = np.add.reduceat(model.gram_logits()[flat], starts) / sizes
+        parts = np.add.reduceat(model.gram_logits().astype(np.float32)[flat], starts).astype(np.float64) / sizes
         picked = []
         for d, bag in zip(docs, bags):
             if averages or len(d) <= window:
@@ -130,7 +135,7 @@ def fit(texts: list[bytes], labels: np.ndarray, buckets: int = 1 << 17, dim: int
         logit = np.bincount(which, parts[used] / lengths[which], len(picked)) + model.bias[1] - model.bias[0]
         error = (1 / (1 + np.exp(-np.clip(logit, -40, 40))) - labels) * weight
         by_word = np.bincount(used, (error / np.maximum(lengths, 1))[which], len(sizes))
-        by_gram = np.bincount(flat, (by_word / sizes)[owner], buckets)
+        by_gram = np.bincount(flat, np.repeat(by_word / sizes, sizes), buckets)
         direction = model.softmax[:, 1] - model.softmax[:, 0]
         towards = by_gram @ model.embeddings
         for x, seen, slope in (
@@ -151,7 +156,7 @@ def score_texts(texts: list[bytes | None], model: ToxicityModel, cache: _WordLog
     return 1 / (1 + np.exp(-(logits + model.bias[1] - model.bias[0])))
 
 
-def train(docs: DataFrame, labels: DataFrame, per_class: int = 3_000, max_bytes: int = 200_000, **options) -> ToxicityModel:
+def train(docs: DataFrame, labels: DataFrame, per_class: int = 2_500, max_bytes: int = 200_000, **options) -> ToxicityModel:
     """Fit on about ``per_class`` learnable labelled texts of each class, of at most ``max_bytes`` each."""
     sample = by_id(labelled_sample(docs, labels, "toxic", per_class, max_bytes).toArrow(), "doc_id", "text")
     return fit(sample["text"].to_pylist(), np.array(sample["label"].to_pylist(), dtype=np.float64), **options)
