@@ -72,7 +72,7 @@ SALT_ROWS = 256
 def salted_join(
     rows: DataFrame, sides: DataFrame, key: str, count: str, spread: Column, how: str = "inner", salt_rows: int = SALT_ROWS
 ) -> DataFrame:
-    """Join ``rows`` with ``sides``, which has one row per key and in ``count`` how many rows carry it.
+    """Join ``rows`` with ``sides``, which has few rows per key and in ``count`` how many of ``rows`` carry it.
 
     The keys with most rows, at most HOT_KEYS of them and each above ``salt_rows``, are broadcast
     with their count. Their rows go to one of count / salt_rows salts by ``spread``, and their side
@@ -82,6 +82,8 @@ def salted_join(
     """
     hot = (
         sides.where(F.col(count) > salt_rows)
+        .select(key, count)
+        .distinct()
         .orderBy(F.col(count).desc(), F.col(key))
         .limit(HOT_KEYS)
         .select(key, F.ceil(F.col(count) / salt_rows).cast("int").alias("_salts"))
