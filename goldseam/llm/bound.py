@@ -4,7 +4,7 @@ from __future__ import annotations
 
 import public_tokenizers
 
-from goldseam.llm import boosting, bpe, decontamination, langid, licenses, outliers, pii, toxicity, warc
+from goldseam.llm import boosting, bpe, decontamination, jaccard, langid, licenses, outliers, pii, toxicity, warc
 from goldseam.llm.common import table
 from goldseam.llm.registry import ORACLES, QUERIES, query
 from goldseam.session import scratch_path
@@ -81,6 +81,11 @@ def op8(spark, folder):
     return decontamination.contamination(documents(spark, folder), table(spark, folder, "benchmark", "item_id", "text"))
 
 
+@query("op9_jaccard")
+def op9(spark, folder):
+    return jaccard.components(documents(spark, folder))
+
+
 @query("op10_toxicity")
 def op10(spark, folder):
     return toxicity.judge(documents(spark, folder), table(spark, folder, "labels", "doc_id", "toxic"))

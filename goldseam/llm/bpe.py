@@ -332,3 +332,13 @@ def _digests(encoder: Encoder, decoder: Decoder, text: str | None) -> tuple[int,
 def round_trip(docs: DataFrame, path: str) -> DataFrame:
     """doc_id, n_tokens, ids_sha256, decoded_sha256: encoding and decoding in one pass, without the ids leaving the task."""
     return _mapped(docs, "text", path, "n_tokens bigint, ids_sha256 string, decoded_sha256 string", _digests)
+
+
+def _tokens(encoder: Encoder, decoder: Decoder, text: str | None) -> tuple[list[int], int, str]:
+    ids = encoder.encode(text or "")
+    return ids, len(ids), hashlib.sha256(decoder.decode(ids)).hexdigest()
+
+
+def tokens(docs: DataFrame, path: str) -> DataFrame:
+    """doc_id, ids, n_tokens and the digest of what the ids decode to, for training and its checks."""
+    return _mapped(docs, "text", path, "ids array<int>, n_tokens bigint, decoded_sha256 string", _tokens)

@@ -181,3 +181,16 @@ def judge(docs: DataFrame, labels: DataFrame, threshold: float = 0.7, **options)
     return score(docs, train(docs, labels, **options)).select(
         "doc_id", held_out("doc_id").alias("held_out"), "score", (F.col("score") >= threshold).cast("int").alias("predicted")
     )
+
+
+def reject(docs: DataFrame, labels: DataFrame, threshold: float = 0.7, **options) -> DataFrame:
+    """``docs`` without the texts that score ``threshold`` or more; every other row stays as it is."""
+    shared = docs.sparkSession.sparkContext.broadcast(train(docs, labels, **options))
+
+    def kept(batches):
+        cache = _WordLogits(shared.value)
+        for batch in batches:
+            scores = score_texts(batch["text"].cast(pa.binary()).to_pylist(), shared.value, cache)
+            yield batch.filter(pa.array(scores < threshold))
+
+    return docs.mapInArrow(kept, docs.schema)
