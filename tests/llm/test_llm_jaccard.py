@@ -1,0 +1,93 @@
+import random
+import re
+from itertools import combinations
+
+import numpy as np
+import pytest
+
+from goldseam.llm import jaccard
+
+
+def plain(rows, percent=80):
+    sets = []
+    for _, text in rows:
+        text = re.sub("[A-Z]", lambda m: m[0].lower(), text or "")
+        words = re.findall(r"[^\x20\x09-\x0D]+", text)
+        sets.append(frozenset([tuple(words[i : i + 5]) for i in range(len(words) - 4)] if len(words) >= 5 else [tuple(words)] if words else []))
+    parent = list(range(len(rows)))
+
+    def root(x):
+        while parent[x] != x:
+            x = parent[x]
+        return x
+
+    for a, b in combinations(range(len(rows)), 2):
+        if sets[a] and 100 * len(sets[a] & sets[b]) >= percent * len(sets[a] | sets[b]):
+            parent[root(a)] = root(b)
+    groups = {}
+    for k, (i, _) in enumerate(rows):
+        groups.setdefault(root(k), []).append(i)
+    return [(i, len(sets[k]), min((x for x in groups[root(k)] if x is not None), default=None)) for k, (i, _) in enumerate(rows)]
+
+
+def order(rows):
+    return sorted(rows, key=lambda r: tuple((x is None, x or 0) for x in r))
+
+
+def run(spark, rows, percent=80):
+    found = jaccard.components(spark.createDataFrame(rows, "doc_id bigint, text string"), percent)
+    return order(tuple(r) for r in found.select("doc_id", "n_shingles", "component_id").collect())
+
+
+def test_documents(spark, documents):
+    rows = [(r.doc_id, r.text) for r in documents.collect()]
+    assert run(spark, rows) == order(plain(rows))
+
+
+def family(draw, count, words, changes, passage=()):
+    """Copies of a text with some words changed, all with a passage in front."""
+    base = [f"w{draw.randrange(5_000)}" for _ in range(words)]
+    for _ in range(count):
+        text = list(base)
+        for _ in range(draw.randrange(changes + 1)):
+            text[draw.randrange(words)] = f"x{draw.randrange(10**6)}"
+        yield " ".join([*passage, *text])
+
+
+@pytest.mark.parametrize("leaf", [4, 32])
+def test_near_copies_and_common_passages(spark, monkeypatch, leaf):
+    monkeypatch.setattr(jaccard, "LEAF", leaf)
+    draw = random.Random(leaf)
+    passage = [f"p{k}" for k in range(12)]
+    texts = [t for k in range(12) for t in family(draw, 8, 60, 5, passage if k % 2 else ())]
+    texts += list(family(draw, 60, 80, 4)) + list(family(draw, 40, 12, 3, passage * 3)) + ["same text of copies for all"] * 20
+    rows = list(enumerate(texts))
+    draw.shuffle(rows)
+    assert run(spark, rows) == order(plain(rows))
+
+
+def test_another_threshold(spark):
+    draw = random.Random(9)
+    rows = list(enumerate(t for _ in range(10) for t in family(draw, 5, 30, 4)))
+    assert run(spark, rows, 60) == order(plain(rows, 60))
+
+
+def test_odd_rows(spark, odd, none):
+    rows = [(r.doc_id, r.text) for r in odd.collect()]
+    assert run(spark, rows) == order(plain(rows))
+    assert jaccard.components(none).count() == 0
+    kept = jaccard.keep_one(odd)
+    assert kept.columns == odd.columns
+    assert sorted((r.doc_id or 0) for r in kept.collect()) == [0, 0, 1, 2, 3, 4, 5, 6, 7]
+
+
+def test_long_chain_of_links(spark):
+    edges = spark.createDataFrame([(k, k + 1) for k in range(100, 400)] + [(7, 9)], "a bigint, b bigint")
+    found = {r.cid: r.label for r in jaccard.connected(edges).collect()}
+    assert found == {**{k: 100 for k in range(100, 401)}, 7: 7, 9: 7}
+
+
+def test_hashes_do_not_depend_on_the_process():
+    assert jaccard.shingles(b"a b", {}.__class__ and jaccard._WordHashes()).tolist() == jaccard.shingles(b"A\tb\n", jaccard._WordHashes()).tolist()
+    assert len(jaccard.shingles(b"a b c d e f", jaccard._WordHashes())) == 2
+    assert isinstance(jaccard.shingles(None, jaccard._WordHashes()), np.ndarray)
