@@ -1,9 +1,9 @@
-"""Exact sums, means and percentages of numbers that carry a known number of decimals.
+"""Exact sums, means and percentages.
 
 A sum of doubles depends on the order in which tasks deliver their parts, so a mean that
-lies on a rounding tie can change from run to run. Whole numbers of the smallest unit
-(cents) add up exactly in any order, stay in a BIGINT inside the hash aggregate, and are
-faster than DECIMAL sums. An overflow raises under ANSI mode; it never wraps.
+lies on a rounding tie can change from run to run. Sums here are DECIMALs with DECIMALS decimals and
+room for 10^28: no row is rounded, the result is rounded once, and any order of rows gives the
+same. An overflow raises under ANSI mode; it never wraps.
 """
 
 from __future__ import annotations
@@ -12,6 +12,8 @@ from pyspark.sql import Column
 from pyspark.sql import functions as F
 
 
+DECIMALS = 10
+EXACT = f"decimal(38,{DECIMALS})"
 WIDE = "decimal(38,0)"
 
 
@@ -24,42 +26,53 @@ def plain_zero(value: Column) -> Column:
     return value + F.lit(0.0)
 
 
-def to_units(value: Column | str, carried: int = 2) -> Column:
-    """The number as a BIGINT count of its smallest unit, e.g. 12.34 -> 1234."""
+def exact(value: Column | str) -> Column:
+    """A number for an exact sum: all of its decimals up to DECIMALS, in 128 bits.
+
+    NaN and infinity have no such value and stop the job; cleaning turns them into NULL and counts them.
+    """
+    number = as_column(value)
+    wide = number.cast("double")
+    odd = F.isnan(wide) | (F.abs(wide) == F.lit(float("inf")))
+    return F.when(odd, F.raise_error(F.lit("NaN and infinity have no fixed-point value"))).otherwise(number.cast(EXACT))
+
+
+def finer_than(value: Column | str, digits: int = DECIMALS) -> Column:
+    """Quality rule: the number has more decimals than ``digits``, which an exact sum would not see."""
     number = as_column(value).cast("double")
-    units = F.floor(number * F.lit(float(10**carried)) + F.lit(0.5))
-    return F.when(F.isnan(number), F.raise_error(F.lit("NaN has no fixed-point value"))).otherwise(units).cast("bigint")
+    return number != F.round(number, digits)
 
 
-def from_units(units: Column, carried: int = 2) -> Column:
-    return units.cast("double") / F.lit(float(10**carried))
+def units_of(total: Column) -> Column:
+    """An exact sum as a whole number of its last decimal."""
+    return (total * F.lit(10**DECIMALS).cast(WIDE)).cast(WIDE)
+
 
+def rounded(total: Column, digits: int = 2) -> Column:
+    """An exact sum as a double, rounded once, at the end."""
+    return F.round(total, digits).cast("double")
 
-def half_up_quotient(numerator: Column, denominator: Column) -> Column:
-    """numerator / denominator as a BIGINT, ties away from zero; NULL for denominator 0."""
-    safe = F.nullif(denominator, F.lit(0)).cast("bigint")
-    size = F.abs(numerator)
-    rest = size % safe
-    whole = F.call_function("div", size, safe) + F.when(rest >= safe - rest, 1).otherwise(0)
-    return F.when(numerator < 0, -whole).otherwise(whole)
 
+def exact_sum(value: Column | str, digits: int = 2) -> Column:
+    """Aggregate: the exact sum, rounded half up to ``digits``."""
+    return rounded(F.sum(exact(value)), digits)
 
-def exact_sum(value: Column | str, carried: int = 2) -> Column:
-    """Aggregate: the exact sum, as a double."""
-    return from_units(F.sum(to_units(value, carried)), carried)
 
+def exact_mean(value: Column | str, digits: int = 2) -> Column:
+    """Aggregate: the mean, rounded half up to ``digits``."""
+    return mean_of(F.sum(exact(value)), F.count(as_column(value)), digits)
 
-def exact_mean(value: Column | str, digits: int = 2, carried: int = 2) -> Column:
-    """Aggregate: the mean rounded half up to ``digits`` (not fewer than ``carried``)."""
-    return mean_of_units(F.sum(to_units(value, carried)), F.count(as_column(value)), digits, carried)
 
+def mean_of(total: Column, count: Column, digits: int = 2) -> Column:
+    """An exact sum over a count, rounded half up, ties away from zero; NULL for count 0."""
+    units = units_of(total)
+    parts = F.nullif(count, F.lit(0)).cast(WIDE) * F.lit(10 ** (DECIMALS - digits)).cast(WIDE)
+    whole = F.call_function("div", F.abs(units) * 2 + parts, parts * 2)
+    return F.when(units < 0, -whole).otherwise(whole).cast("double") / F.lit(float(10**digits))
 
-def mean_of_units(units_sum: Column, count: Column, digits: int = 2, carried: int = 2) -> Column:
-    if digits < carried:
-        raise ValueError("digits must not be fewer than the decimals carried")
-    if digits > carried:  # the larger numerator may not fit a BIGINT, the quotient does
-        units_sum = units_sum.cast(WIDE) * F.lit(10 ** (digits - carried))
-    return from_units(half_up_quotient(units_sum, count), digits)
+
+def from_units(units: Column, carried: int) -> Column:
+    return units.cast("double") / F.lit(float(10**carried))
 
 
 def share(part: Column, total: Column, digits: int = 4, kind: str = "bigint") -> Column:

@@ -10,7 +10,7 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from goldseam.functions.dates import month_label
-from goldseam.functions.fixed_point import WIDE, exact_mean, exact_sum, from_units, percent, to_units
+from goldseam.functions.fixed_point import WIDE, exact, exact_mean, exact_sum, percent, rounded, units_of
 from goldseam.functions.scores import HIGH, MIDDLE
 from goldseam.operators.aggregates import (
     count_by,
@@ -55,11 +55,11 @@ def claims_per_hour(df: DataFrame, hour: str = "incident_hour") -> DataFrame:
 
 def top_makes(df: DataFrame, make: str = "auto_make", amount: str = "claim_total", k: int = 5) -> DataFrame:
     """The k makes with the largest loss, and their share of the loss of these k."""
-    best = top_groups(df, make, F.sum(to_units(amount)), k, "units")
+    best = top_groups(df, make, F.sum(exact(amount)), k, "loss")
     # k rows at most reach this window.
-    among = F.sum(F.col("units").cast(WIDE)).over(Window.partitionBy())
-    pct = percent(F.col("units"), among, kind=WIDE)
-    return best.select(make, from_units(F.col("units")).alias("total_loss"), pct.alias("pct"))
+    units = units_of(F.col("loss"))
+    pct = percent(units, F.sum(units).over(Window.partitionBy()), kind=WIDE)
+    return best.select(make, rounded(F.col("loss")).alias("total_loss"), pct.alias("pct"))
 
 
 def amount_centre(df: DataFrame, amount: str = "claim_total") -> DataFrame:
@@ -87,7 +87,7 @@ def score_by_label(df: DataFrame, label: str = "damage_label", score: str = "dam
     return (
         df.filter(F.col(label).isNotNull())
         .groupBy(label)
-        .agg(rows().alias("n"), exact_mean(score, 4, 4).alias("mean_score"), F.round(spread, 6).alias("std_score"))
+        .agg(rows().alias("n"), exact_mean(score, 4).alias("mean_score"), F.round(spread, 6).alias("std_score"))
     )
 
 
@@ -148,7 +148,7 @@ def failures_by_severity(
     df: DataFrame, severity: str = "incident_severity", failed: str = "reglas_fallidas"
 ) -> DataFrame:
     known = df.filter(F.col(severity).isNotNull())
-    return known.groupBy(severity).agg(exact_mean(failed, 4, 0).alias("mean_failed"))
+    return known.groupBy(severity).agg(exact_mean(failed, 4).alias("mean_failed"))
 
 
 def executive_kpis(df: DataFrame) -> DataFrame:
@@ -166,7 +166,7 @@ def executive_kpis(df: DataFrame) -> DataFrame:
         percent(investigate, n_rows).alias("to_investigate_pct"),
         predicted.alias("predicted"),
         percent(predicted, n_rows).alias("predicted_pct"),
-        exact_mean("damage_score", 4, 4).alias("mean_score"),
+        exact_mean("damage_score", 4).alias("mean_score"),
         exact_sum("claim_total").alias("total_amount"),
         exact_sum(at_risk).alias("amount_at_risk"),
     )

@@ -121,7 +121,7 @@ def punctuality(flights: DataFrame, airports: DataFrame, aircraft: DataFrame) ->
             "vuelos_a_tiempo": count_where(F.col("estado") == ON_TIME),
             "vuelos_retrasados": count_where(F.col("estado") == DELAYED),
             "vuelos_cancelados": count_where(F.col("estado") == CANCELLED),
-            "duracion_promedio_min": mean("duracion_min", 2, carried=0),
+            "duracion_promedio_min": mean("duracion_min", 2, exact=True),
         },
         {"puntualidad_pct": ("vuelos_a_tiempo", "total_vuelos")},
     )
@@ -135,8 +135,8 @@ def maintenance_cost(maintenance: DataFrame, aircraft: DataFrame) -> DataFrame:
         ["aeronave_id", "modelo", "fabricante", "tipo", "mes", "anio"],
         {
             "total_mantenimientos": present("mantenimiento_id"),
-            "costo_promedio_usd": mean("costo_usd", 2, carried=2),
-            "costo_total_usd": total("costo_usd", 2, carried=2),
+            "costo_promedio_usd": mean("costo_usd", 2, exact=True),
+            "costo_total_usd": total("costo_usd", 2, exact=True),
             "duracion_promedio_hr": mean("duracion_hr"),
             "duracion_total_hr": total("duracion_hr"),
         },

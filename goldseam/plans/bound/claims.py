@@ -110,8 +110,8 @@ PREDICTIONS_SQL = f"""
 BEST_SQL = """
     SELECT claim_no, arg_max(damage_label, row(damage_score, image_name)) FILTER (WHERE damage_label IS NOT NULL)
             AS damage_label,
-        round(max(damage_score), 4) AS damage_score,
-        arg_max(confidence_level, row(damage_score, image_name)) AS confidence_level,
+        round(max(damage_score) FILTER (WHERE damage_label IS NOT NULL), 4) AS damage_score,
+        arg_max_null(confidence_level, row(damage_score, image_name)) FILTER (WHERE damage_label IS NOT NULL) AS confidence_level,
         CAST(sum(CAST(is_reliable AS INTEGER)) AS BIGINT) AS imagenes_confiables, count(*) AS total_imagenes
     FROM predictions GROUP BY claim_no
 """
@@ -169,8 +169,8 @@ def best_prediction(t: Tables) -> DataFrame:
     f"""
     WITH predictions AS ({PREDICTIONS_SQL})
     SELECT claim_no, arg_max(damage_label, row(damage_score, image_name)) FILTER (WHERE damage_label IS NOT NULL)
-            AS damage_label, count(image_name) AS num_imagenes, round(max(damage_score), 4) AS max_score,
-        {sql_mean("damage_score", 4, 4)} AS avg_score,
+            AS damage_label, count(image_name) AS num_imagenes, round(max(damage_score) FILTER (WHERE damage_label IS NOT NULL), 4) AS max_score,
+        {sql_mean("damage_score", 4)} AS avg_score,
         string_agg(DISTINCT confidence_level, ',' ORDER BY confidence_level) AS niveles_confianza
     FROM predictions GROUP BY claim_no
     """
@@ -198,7 +198,7 @@ def curated_predictions(t: Tables) -> DataFrame:
     SELECT count(*) AS total_registros, count(DISTINCT claim_no) AS claims_cubiertos,
         count(DISTINCT chassis_no) AS chassis_distintos, count(DISTINCT image_name) AS imagenes_procesadas,
         CAST(sum(CAST(is_reliable AS INTEGER)) AS BIGINT) AS predicciones_confiables,
-        {sql_mean("damage_score", 4, 4)} AS score_promedio, round(min(damage_score), 4) AS score_minimo,
+        {sql_mean("damage_score", 4)} AS score_promedio, round(min(damage_score), 4) AS score_minimo,
         round(max(damage_score), 4) AS score_maximo, min(predicted_at) AS primera_prediccion,
         max(predicted_at) AS ultima_prediccion
     FROM predictions
@@ -243,7 +243,7 @@ def _enriched(t: Tables) -> DataFrame:
         t.events.withColumnRenamed("user_id", "chassis_no"),
         ["chassis_no"],
         {
-            "avg_speed": mean("value", 2, carried=2),
+            "avg_speed": mean("value", 2, exact=True),
             "max_speed": F.max("value"),
             "min_speed": F.min("value"),
             "total_events": rows(),

@@ -142,7 +142,7 @@ def bi_coherence(t: Tables) -> DataFrame:
 
 @query(
     JUDGED_SQL
-    + f"""SELECT damage_label, count(*) AS n, {sql_mean("damage_score", 4, 4)} AS mean_score,
+    + f"""SELECT damage_label, count(*) AS n, {sql_mean("damage_score", 4)} AS mean_score,
         round(coalesce(stddev_samp(damage_score), 0), 6) AS std_score
     FROM judged WHERE damage_label IS NOT NULL GROUP BY 1"""
 )
@@ -207,7 +207,7 @@ def bi_amount_by_decision(t: Tables) -> DataFrame:
 
 @query(
     JUDGED_SQL
-    + f"""SELECT incident_severity, {sql_mean("reglas_fallidas", 4, 0)} AS mean_failed FROM judged
+    + f"""SELECT incident_severity, {sql_mean("reglas_fallidas", 4)} AS mean_failed FROM judged
     WHERE incident_severity IS NOT NULL GROUP BY 1"""
 )
 def bi_failures_by_severity(t: Tables) -> DataFrame:
@@ -225,7 +225,7 @@ def _sql_decided(decision: str) -> str:
         {sql_pct(_sql_decided("REVISION_MENOR"), "count(*)")} AS minor_review_pct,
         {_sql_decided("INVESTIGAR")} AS to_investigate,
         {sql_pct(_sql_decided("INVESTIGAR"), "count(*)")} AS to_investigate_pct, count(damage_label) AS predicted,
-        {sql_pct("count(damage_label)", "count(*)")} AS predicted_pct, {sql_mean("damage_score", 4, 4)} AS mean_score,
+        {sql_pct("count(damage_label)", "count(*)")} AS predicted_pct, {sql_mean("damage_score", 4)} AS mean_score,
         {sql_sum("claim_total")} AS total_amount,
         CAST(sum(CAST(round(claim_total * 100) AS BIGINT)) FILTER (WHERE decision_final = 'INVESTIGAR') AS DOUBLE) / 100
             AS amount_at_risk

@@ -39,7 +39,7 @@ def kpi_punctuality(t: Tables) -> DataFrame:
             "finished": count_where(status == "F"),
             "open": count_where(status == "O"),
             "pending": count_where(status == "P"),
-            "mean_price": mean("o_totalprice", 2, carried=2),
+            "mean_price": mean("o_totalprice", 2, exact=True),
         },
         {"finished_pct": ("finished", "total_orders")},
     )
@@ -50,7 +50,7 @@ def kpi_punctuality(t: Tables) -> DataFrame:
     SELECT l_suppkey, s_nationkey, p_brand, p_type, CAST(month(l_shipdate) AS INTEGER) AS ship_month,
            CAST(year(l_shipdate) AS INTEGER) AS ship_year, count(l_orderkey) AS total_jobs,
            {sql_mean("l_extendedprice")} AS mean_cost, {sql_sum("l_extendedprice")} AS total_cost,
-           {sql_mean("l_quantity", 2, 0)} AS mean_hours, {sql_sum("l_quantity", 0)} AS total_hours
+           {sql_mean("l_quantity", 2)} AS mean_hours, {sql_sum("l_quantity")} AS total_hours
     FROM lineitem LEFT JOIN supplier ON l_suppkey = s_suppkey LEFT JOIN part ON l_partkey = p_partkey
     GROUP BY ALL
     """
@@ -64,10 +64,10 @@ def kpi_maintenance(t: Tables) -> DataFrame:
         ["l_suppkey", "s_nationkey", "p_brand", "p_type", "ship_month", "ship_year"],
         {
             "total_jobs": present("l_orderkey"),
-            "mean_cost": mean("l_extendedprice", 2, carried=2),
-            "total_cost": total("l_extendedprice", 2, carried=2),
-            "mean_hours": mean("l_quantity", 2, carried=0),
-            "total_hours": total("l_quantity", 0, carried=0),
+            "mean_cost": mean("l_extendedprice", 2, exact=True),
+            "total_cost": total("l_extendedprice", 2, exact=True),
+            "mean_hours": mean("l_quantity", 2, exact=True),
+            "total_hours": total("l_quantity", 0, exact=True),
         },
     )
 
@@ -75,7 +75,7 @@ def kpi_maintenance(t: Tables) -> DataFrame:
 @query(
     f"""
     SELECT user_id, {sql_mean("value")} AS avg_speed, round(max(value), 2) AS max_speed,
-           round(min(value), 2) AS min_speed, {sql_mean("value", 6, 2)} AS avg_position, count(*) AS total_events,
+           round(min(value), 2) AS min_speed, {sql_mean("value", 6)} AS avg_position, count(*) AS total_events,
            min(ts) AS first_event, max(ts) AS last_event
     FROM events GROUP BY user_id
     """
@@ -85,10 +85,10 @@ def telematics_by_user(t: Tables) -> DataFrame:
         t.events,
         ["user_id"],
         {
-            "avg_speed": mean("value", 2, carried=2),
+            "avg_speed": mean("value", 2, exact=True),
             "max_speed": F.round(F.max("value"), 2),
             "min_speed": F.round(F.min("value"), 2),
-            "avg_position": mean("value", 6, carried=2),
+            "avg_position": mean("value", 6, exact=True),
             "total_events": rows(),
             "first_event": F.min("ts"),
             "last_event": F.max("ts"),
@@ -129,7 +129,7 @@ def confidence_tiers(t: Tables) -> DataFrame:
 
 @query(
     f"""
-    SELECT event_type, {TIER_SQL} AS tier, count(*) AS n, {sql_mean("value / 100", 4, 4)} AS mean_score
+    SELECT event_type, {TIER_SQL} AS tier, count(*) AS n, {sql_mean("value / 100", 4)} AS mean_score
     FROM events GROUP BY ALL
     """
 )
@@ -138,7 +138,7 @@ def prediction_distribution(t: Tables) -> DataFrame:
     return kpi(
         scored.withColumn("tier", confidence_tier("score")),
         ["event_type", "tier"],
-        {"n": rows(), "mean_score": mean("score", 4, carried=4)},
+        {"n": rows(), "mean_score": mean("score", 4, exact=True)},
     )
 
 
@@ -168,7 +168,7 @@ def dominant_label(t: Tables) -> DataFrame:
 @query(
     f"""
     SELECT count(*) AS total_rows, count(DISTINCT user_id) AS users, count(DISTINCT event_type) AS kinds,
-           CAST(sum(CAST(value >= 50 AS INTEGER)) AS BIGINT) AS reliable, {sql_mean("value", 4, 2)} AS mean_value,
+           CAST(sum(CAST(value >= 50 AS INTEGER)) AS BIGINT) AS reliable, {sql_mean("value", 4)} AS mean_value,
            min(value) AS min_value, max(value) AS max_value, min(ts) AS first_ts, max(ts) AS last_ts
     FROM events
     """
@@ -179,7 +179,7 @@ def overall_stats(t: Tables) -> DataFrame:
         F.countDistinct("user_id").alias("users"),
         F.countDistinct("event_type").alias("kinds"),
         F.sum((F.col("value") >= 50).cast("int")).alias("reliable"),
-        mean("value", 4, carried=2).alias("mean_value"),
+        mean("value", 4, exact=True).alias("mean_value"),
         F.min("value").alias("min_value"),
         F.max("value").alias("max_value"),
         F.min("ts").alias("first_ts"),
@@ -224,9 +224,9 @@ def monthly_sales_category(t: Tables) -> DataFrame:
 
 @query(
     f"""
-    SELECT o_orderpriority, CAST(sum({sql_units("o_totalprice")}) AS DOUBLE) / 100 AS total
+    SELECT o_orderpriority, {sql_sum("o_totalprice")} AS total
     FROM orders GROUP BY o_orderpriority ORDER BY 2 DESC, 1 LIMIT 3
     """
 )
 def top_priorities(t: Tables) -> DataFrame:
-    return agg.top_groups(t.orders, "o_orderpriority", total("o_totalprice", 2, carried=2), 3)
+    return agg.top_groups(t.orders, "o_orderpriority", total("o_totalprice", 2, exact=True), 3)

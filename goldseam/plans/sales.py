@@ -8,7 +8,7 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from goldseam.functions.dates import month_start
-from goldseam.functions.fixed_point import from_units, mean_of_units, to_units
+from goldseam.functions.fixed_point import exact, exact_sum, mean_of, rounded
 from goldseam.operators.joins import enrich
 from goldseam.operators.shaping import conform, filter_by
 
@@ -49,7 +49,7 @@ def line_totals(df: DataFrame, units: str, price: str, total_as: str = "total_sa
 def sales_by(df: DataFrame, key: str, units: str, total: str) -> DataFrame:
     """Units and amount per key, largest amount first."""
     sums = df.groupBy(key).agg(
-        F.sum(units).alias("total_units"), from_units(F.sum(to_units(total))).alias("total_sales_amount")
+        F.sum(units).alias("total_units"), exact_sum(total).alias("total_sales_amount")
     )
     return sums.orderBy(F.desc("total_sales_amount"), F.asc(key))
 
@@ -61,10 +61,10 @@ def sales_by_dim(df: DataFrame, dim: DataFrame, on: tuple[str, str], key: str, u
     join, and a hot key arrives as one row per map task.
     """
     fact_key, dim_key = on
-    per_key = df.groupBy(fact_key).agg(F.sum(units).alias("_units"), F.sum(to_units(total)).alias("_total"))
+    per_key = df.groupBy(fact_key).agg(F.sum(units).alias("_units"), F.sum(exact(total)).alias("_total"))
     named = enrich(per_key, dim, {fact_key: dim_key}, [key])
     sums = named.groupBy(key).agg(
-        F.sum("_units").alias("total_units"), from_units(F.sum("_total")).alias("total_sales_amount")
+        F.sum("_units").alias("total_units"), rounded(F.sum("_total")).alias("total_sales_amount")
     )
     return sums.orderBy(F.desc("total_sales_amount"), F.asc(key))
 
@@ -91,14 +91,14 @@ def monthly_sales(
     def bound(value: datetime) -> Column:
         return F.lit(value).cast(dict(sales.dtypes)[day])
 
-    amount = to_units(F.col(units) * F.col(price))
+    amount = exact(F.col(units) * F.col(price))
     summed = (
         sales.filter(F.col(day).between(bound(since), bound(until)))
         .groupBy(month_start(day).alias("mes"), product)
         .agg(
             F.sum(units).alias("_units"),
             F.sum(amount).alias("_amount"),
-            F.sum(to_units(price)).alias("_price"),
+            F.sum(exact(price)).alias("_price"),
             F.count(price).alias("_n"),
         )
     )
@@ -106,8 +106,8 @@ def monthly_sales(
     joined = enrich(summed, listed, {product: name}, [group], how="inner")
     return joined.groupBy("mes", group, product).agg(
         F.sum("_units").alias("unidades_vendidas"),
-        from_units(F.sum("_amount")).alias("importe_total"),
-        mean_of_units(F.sum("_price"), F.sum("_n")).alias("precio_medio"),
+        rounded(F.sum("_amount")).alias("importe_total"),
+        mean_of(F.sum("_price"), F.sum("_n")).alias("precio_medio"),
     )
 
 
@@ -119,11 +119,11 @@ def monthly_sales_sql(
         """
         WITH sold AS (
             SELECT trunc(fecha, 'MONTH') AS mes, producto, sum(cantidad) AS units,
-                sum(cast(cantidad * precio AS DECIMAL(18, 2))) AS amount,
-                sum(cast(precio AS DECIMAL(18, 2))) AS price, count(precio) AS n
+                sum(cast(cantidad * precio AS DECIMAL(38, 10))) AS amount,
+                sum(cast(precio AS DECIMAL(38, 10))) AS price, count(precio) AS n
             FROM IDENTIFIER(:sales) WHERE fecha BETWEEN :since AND :until GROUP BY ALL
         )
-        SELECT mes, categoria, producto, sum(units) AS unidades_vendidas, cast(sum(amount) AS DOUBLE) AS importe_total,
+        SELECT mes, categoria, producto, sum(units) AS unidades_vendidas, cast(round(sum(amount), 2) AS DOUBLE) AS importe_total,
             cast(round(sum(price) / sum(n), 2) AS DOUBLE) AS precio_medio
         FROM sold JOIN IDENTIFIER(:products) ON producto = nombre_producto
         WHERE :category IN ('All', categoria)
