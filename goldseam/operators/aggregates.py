@@ -24,18 +24,14 @@ def count_where(condition: Column) -> Column:
     return F.count(F.when(condition, 1))
 
 
-def mean(value: Column | str, digits: int = 2, carried: int | None = None) -> Column:
-    """Rounded mean. Give ``carried`` when the column holds that many decimals: exact ties."""
-    if carried is None:
-        return F.round(F.avg(as_column(value)), digits)
-    return exact_mean(value, digits, carried)
+def mean(value: Column | str, digits: int = 2, exact: bool = False) -> Column:
+    """Rounded mean; ``exact`` ones do not depend on the order of rows."""
+    return exact_mean(value, digits) if exact else F.round(F.avg(as_column(value)), digits)
 
 
-def total(value: Column | str, digits: int = 2, carried: int | None = None) -> Column:
-    """Rounded sum. Give ``carried`` when the column holds that many decimals: exact."""
-    if carried is None:
-        return F.round(F.sum(as_column(value)), digits)
-    return exact_sum(value, carried)
+def total(value: Column | str, digits: int = 2, exact: bool = False) -> Column:
+    """Rounded sum; ``exact`` ones do not depend on the order of rows."""
+    return exact_sum(value, digits) if exact else F.round(F.sum(as_column(value)), digits)
 
 
 def kpi(
@@ -84,15 +80,19 @@ def best_by(
     score: str,
     tie_break: Sequence[str],
     metrics: Mapping[str, Column] | None = None,
+    beside: Mapping[str, Column] | None = None,
 ) -> DataFrame:
     """Per key the value of the row with the highest score, with further aggregates.
 
-    Rows without a value do not compete. Ties go to the largest ``tie_break``, so the
-    answer does not depend on the order of the rows.
+    ``beside`` are other columns of that same row. Rows without a value do not compete, so a key without any
+    has NULL in all of them. Ties go to the largest ``tie_break``, so the answer does not depend on the order of the rows.
     """
     rank = F.when(F.col(value).isNotNull(), F.struct(score, *tie_break))
+    fields = {value: F.col(value), **(beside or {})}
     extra = (metric.alias(name) for name, metric in (metrics or {}).items())
-    return df.groupBy(*keys).agg(F.max_by(value, rank).alias(value), *extra)
+    best = F.max_by(F.struct(*(column.alias(name) for name, column in fields.items())), rank)
+    found = df.groupBy(*keys).agg(best.alias("_best"), *extra)
+    return found.select(*keys, *(F.col("_best")[name].alias(name) for name in fields), *(metrics or {}))
 
 
 def distinct_list(value: Column | str, sep: str = ",") -> Column:
@@ -127,16 +127,18 @@ def counts_with_categories(df: DataFrame, column: str, categories: Sequence[str]
 
 
 def measures_with_categories(
-    df: DataFrame, column: str, categories: Sequence[str], value: Column, carried: int = 2
+    df: DataFrame, column: str, categories: Sequence[str], value: Column, digits: int = 2
 ) -> DataFrame:
     """Mean and sum of a value for the listed categories in list order."""
     metrics = {
-        "mean_value": lambda inside: exact_mean(F.when(inside, value), carried, carried),
-        "total_value": lambda inside: exact_sum(F.when(inside, value), carried),
+        "mean_value": lambda inside: exact_mean(F.when(inside, value), digits),
+        "total_value": lambda inside: exact_sum(F.when(inside, value), digits),
     }
     return _per_category(df, column, categories, metrics)
 
 
 def cross_counts(df: DataFrame, row: str, column: str, values: Sequence[str]) -> DataFrame:
     """Row counts of ``row`` by the listed values of ``column``, zero where there are none."""
-    return df.groupBy(row).pivot(column, list(values)).agg(F.count(F.lit(1))).na.fill(0)
+    counted = df.groupBy(row).pivot(column, list(values)).agg(F.count(F.lit(1)))
+    placed = counted.toDF(row, *(f"_{place}" for place in range(len(values))))  # a value may be named like a column
+    return placed.select(row, *(F.coalesce(f"_{place}", F.lit(0)).alias(value) for place, value in enumerate(values)))

@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 from collections.abc import Sequence
+from decimal import Decimal
 from functools import reduce
 
 from pyspark.sql import DataFrame
@@ -11,7 +12,7 @@ from pyspark.sql.types import DoubleType, FloatType, NumericType, StringType
 
 from goldseam.functions.fixed_point import plain_zero
 from goldseam.operators.quantiles import exact_quantiles
-from goldseam.operators.shaping import not_null
+from goldseam.operators.shaping import finite, not_null
 
 DIGITS = 6
 
@@ -119,7 +120,7 @@ def iqr_bounds(df: DataFrame, column: str, k: float = 1.5, rel_error: float = 0.
     if not found or found[0] is None:
         return None
     q1, q3 = found
-    reach = k * (q3 - q1)
+    reach = (Decimal(str(k)) if isinstance(q3, Decimal) else k) * (q3 - q1)
     return {"q1": q1, "q3": q3, "low": q1 - reach, "high": q3 + reach}
 
 
@@ -145,9 +146,9 @@ def zscore_outliers(df: DataFrame, column: str, limit: float = 3.0, name: str =
 def histogram(df: DataFrame, column: str, bins: int = 20) -> DataFrame:
     """Equal-width bins (bin, bin_from, bin_to, n), all listed; the last bin is closed.
 
-    A column of one value v spans v - 0.5 to v + 0.5.
+    A column of one value v spans v - 0.5 to v + 0.5. NULL, NaN and infinity are in no bin.
     """
-    value = F.col(column).cast("double")
+    value = finite(F.col(column).cast("double"))
     low, high = F.min(value), F.max(value)
     flat = low == high
     start = F.when(flat, low - 0.5).otherwise(low)

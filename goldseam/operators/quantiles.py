@@ -11,11 +11,14 @@ from __future__ import annotations
 
 import math
 from collections.abc import Sequence
+from decimal import Decimal
 from dataclasses import dataclass
 
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
+from goldseam.operators.shaping import FLOATING
+
 _ACCURACY = 10_000  # a sketched rank errs by at most this fraction of the rows
 _MARGIN = 2.5 / _ACCURACY  # so the wanted rank lies this close to the sketched one
 _STEPS = 100  # grid steps inside a bracket; a step is much wider than the sketch's error
@@ -121,8 +124,17 @@ def _narrow(target: _Target, seen: _Measure, few: int) -> None:
         target.high = seen.grid[min(_STEPS, math.ceil(step) + 1)]
 
 
+def _typed(value, kind: str):
+    """A picked value in the column's own type."""
+    if kind.startswith("decimal"):
+        digits = int(kind.rstrip(")").split(",")[1])
+        return Decimal(value).quantize(Decimal(1).scaleb(-digits))
+    return value if kind in FLOATING else int(value)
+
+
 def _pick(df: DataFrame, targets: Sequence[_Target]) -> dict[tuple[str, int], float]:
     """{(column, rank): value}: the values inside the brackets, counted and ranked."""
+    kinds = dict(df.dtypes)
     picked = {(t.column, t.rank): t.low for t in targets if t.is_one_value}
     ranked = [t for t in targets if not t.is_one_value]
     if not ranked:
@@ -133,14 +145,17 @@ def _pick(df: DataFrame, targets: Sequence[_Target]) -> dict[tuple[str, int], fl
         value = _number(df, bracket[0])
         inside = _is_inside(value, bracket)
         anywhere = anywhere | inside
-        entries.append(F.when(inside, F.struct(F.lit(i).alias("bracket"), value.cast("double").alias("value"))))
+        # Numbers without a floating point stay as they are: a double cannot tell large ones apart.
+        whole = F.lit(None) if kinds[bracket[0]] in FLOATING else value
+        fields = (F.lit(i).alias("bracket"), value.cast("double").alias("value"), whole.cast("decimal(38,18)").alias("whole"))
+        entries.append(F.when(inside, F.struct(*fields)))
     counted = (
         df.filter(anywhere)
         .select(F.explode(F.array_compact(F.array(*entries))).alias("e"))
-        .groupBy("e.bracket", "e.value")
+        .groupBy("e.bracket", "e.value", "e.whole")
         .agg(F.count(F.lit(1)).alias("n"))
     )
-    upto = F.sum("n").over(Window.partitionBy("bracket").orderBy("value"))
+    upto = F.sum("n").over(Window.partitionBy("bracket").orderBy("value", "whole"))
     hit = F.lit(False)
     for t in ranked:
         place = t.rank - t.below
@@ -149,7 +164,7 @@ def _pick(df: DataFrame, targets: Sequence[_Target]) -> dict[tuple[str, int], fl
     for row in counted.withColumn("upto", upto).filter(hit).collect():
         for t in ranked:
             if brackets[row["bracket"]] == t.bracket and row["upto"] - row["n"] <= t.rank - t.below < row["upto"]:
-                picked[t.column, t.rank] = row["value"]
+                picked[t.column, t.rank] = _typed(row["value"] if row["whole"] is None else row["whole"], kinds[t.column])
     return picked
 
 
@@ -191,6 +206,8 @@ def exact_quantiles(
             return None
         lo, hi, share = places[column, p]
         low, high = picked[column, lo], picked[column, hi]
-        return low + (high - low) * share
+        if not share or low == high:
+            return low
+        return low + (high - low) * (Decimal(share) if isinstance(low, Decimal) else share)
 
     return {column: [value(column, p) for p in probs] for column in columns}

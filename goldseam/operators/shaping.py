@@ -10,13 +10,24 @@ from pyspark.sql import functions as F
 from goldseam.functions.text import is_blank
 
 
+FLOATING = ("double", "float", "real")
+
+
+def finite(value: Column) -> Column:
+    """A floating number, or NULL for NaN and infinity."""
+    return F.when(~F.isnan(value) & (F.abs(value) < F.lit(float("inf"))), value)
+
+
 def conform(df: DataFrame, types: Mapping[str, str], stamp: str | None = None) -> DataFrame:
-    """Cast columns to their declared types; text that does not fit becomes NULL.
+    """Cast columns to their declared types; text that does not fit becomes NULL, and so do NaN and infinity.
 
     Columns without a declared type pass unchanged. ``stamp`` names a column for the
     time of ingestion.
     """
-    changed = {name: F.col(name).try_cast(to_type) for name, to_type in types.items()}
+    changed = {}
+    for name, to_type in types.items():
+        value = F.col(name).try_cast(to_type)
+        changed[name] = finite(value) if to_type.lower() in FLOATING else value
     if stamp:
         changed[stamp] = F.current_timestamp()
     return df.withColumns(changed)
@@ -58,9 +69,16 @@ def not_blank(df: DataFrame, columns: Sequence[str]) -> DataFrame:
 
 
 def valid_range(df: DataFrame, bounds: Mapping[str, tuple]) -> DataFrame:
-    """Rows with every column inside its (low, high); None leaves a side open, NULL fails."""
+    """Rows with every column inside its (low, high); None leaves a side open.
+
+    NULL fails, and so do NaN, which would sort above every number, and infinity.
+    """
+    kinds = dict(df.dtypes)
     for name, (low, high) in bounds.items():
         df = df.filter(F.col(name).isNotNull())
+        if kinds[name] in FLOATING:
+            df = df.filter(~F.isnan(name))
+            df = df.filter((F.col(name) > float("-inf")) & (F.col(name) < float("inf")))
         if low is not None:
             df = df.filter(F.col(name) >= low)
         if high is not None:
@@ -87,11 +105,15 @@ def dedupe(df: DataFrame, keys: Sequence[str], order_by: Sequence[Column] = ())
     NULL keys form one group. Spark keeps one row per key within each map task
     (WindowGroupLimit) before it shuffles, so copies of a hot key never meet in one task.
     """
-    plain = [
-        F.col(field.name).desc_nulls_last()
-        for field in df.schema.fields
-        if field.name not in set(keys) and "map<" not in field.dataType.simpleString()
-    ]
+    plain = []
+    for field in df.schema.fields:
+        if field.name in set(keys):
+            continue
+        kind = field.dataType.simpleString()
+        if kind.startswith("map<") and "map<" not in kind[4:]:  # maps have no order, their sorted entries do
+            plain.append(F.array_sort(F.map_entries(field.name)).desc_nulls_last())
+        elif "map<" not in kind:
+            plain.append(F.col(field.name).desc_nulls_last())
     ranked = Window.partitionBy(*keys).orderBy(*order_by, *plain)
     return df.withColumn("_place", F.row_number().over(ranked)).filter("_place = 1").drop("_place")
 

@@ -16,10 +16,23 @@ def read_csv(
     sep: str = ",",
     header: bool = True,
 ) -> DataFrame:
-    """CSV files as a frame. Without ``schema`` Spark reads the files twice to guess one."""
+    """CSV files as a frame. Without ``schema`` Spark reads the files twice to guess one.
+
+    With a header and a schema, columns are found by name: the files may hold them in any order,
+    and others beside them. All files of one call must have the same header; one that
+    differs stops the job. Text that does not fit its type becomes NULL. Without a header, columns go by place.
+    """
     reader = spark.read.option("header", header).option("sep", sep)
-    reader = reader.option("inferSchema", True) if schema is None else reader.schema(schema)
-    return reader.csv(path)
+    if schema is None:
+        return reader.option("inferSchema", True).csv(path)
+    if not header:
+        return reader.schema(schema).csv(path)
+    text = reader.option("enforceSchema", False).csv(path)
+    fields = (StructType.fromDDL(schema) if isinstance(schema, str) else schema).fields
+    missing = [f.name for f in fields if f.name not in text.columns]
+    if missing:
+        raise ValueError(f"no such columns in the header: {', '.join(missing)}")
+    return text.select(*(F.col(f"`{f.name}`").try_cast(f.dataType).alias(f.name) for f in fields))
 
 
 def read_parquet(spark: SparkSession, *paths: str, schema: StructType | str | None = None) -> DataFrame:

@@ -40,16 +40,35 @@ def write_checked(
     return seen.get
 
 
-def rewrite_table(spark: SparkSession, name: str, change: Callable[[DataFrame], DataFrame], fmt: str = "parquet") -> int:
+def rewrite_table(spark: SparkSession, name: str, change: Callable[[DataFrame], DataFrame]) -> int:
     """Replace a table by a change of itself (update, delete, upsert); returns its rows.
 
-    The next state is written in full beside the table before it takes the table's name, so
-    a failed job leaves the table as it was.
+    The next state is written in full beside the table first, so a job that fails until then leaves the
+    table as it was. A plain table then steps aside, the next state takes its name, and only then the old one is dropped.
+    A partitioned one is overwritten from the stored next state, in its own format and partitions. A job that
+    dies in this last step leaves a whole state under another name, and the next call begins by taking it.
     """
-    staged = f"{name}__next"
-    rows = write_layer(change(spark.table(name)), staged, fmt)
-    spark.sql(f"DROP TABLE {name}")
-    spark.sql(f"ALTER TABLE {staged} RENAME TO {name}")
+    staged, aside = f"{name}__next", f"{name}__old"
+    if not spark.catalog.tableExists(name) and spark.catalog.tableExists(aside):
+        spark.sql(f"ALTER TABLE {aside} RENAME TO {name}")
+    spark.sql(f"DROP TABLE IF EXISTS {aside}")
+    described = {row["col_name"]: row["data_type"] for row in spark.sql(f"DESCRIBE TABLE EXTENDED {name}").collect()}
+    partitioned = any(column.isPartition for column in spark.catalog.listColumns(name))
+
+    def overwrite() -> None:
+        # Renaming would leave a partitioned table's partitions where they were.
+        spark.table(staged).select(*spark.table(name).columns).write.mode("overwrite").insertInto(name)
+        spark.sql(f"DROP TABLE {staged}")
+
+    if partitioned and spark.catalog.tableExists(staged):
+        overwrite()
+    rows = write_layer(change(spark.table(name)), staged, described["Provider"].lower())
+    if partitioned:
+        overwrite()
+    else:
+        spark.sql(f"ALTER TABLE {name} RENAME TO {aside}")
+        spark.sql(f"ALTER TABLE {staged} RENAME TO {name}")
+        spark.sql(f"DROP TABLE {aside}")
     return rows
 
 

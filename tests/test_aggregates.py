@@ -17,7 +17,7 @@ def test_kpi(flights, values):
         flights,
         ["g"],
         {"n": agg.rows(), "states": agg.present("state"), "ok": agg.count_where(F.col("state") == "ok"),
-         "mean_x": agg.mean("x", 2, carried=2), "sum_x": agg.total("x")},
+         "mean_x": agg.mean("x", 2, exact=True), "sum_x": agg.total("x")},
         {"ok_pct": ("ok", "states")},
     )
     assert values(out) == [(None, 1, 1, 1, 1.0, 1.0, 100.0), ("A", 3, 2, 1, 15.01, 30.01, 50.0), ("B", 1, 1, 0, 5.0, 5.0, 0.0)]
@@ -65,3 +65,15 @@ def test_cross_counts_fill_with_zero(frame, values):
     out = agg.cross_counts(df, "r", "c", ["P", "Q", "R"])
     assert out.columns == ["r", "P", "Q", "R"]
     assert values(out) == [("a", 2, 0, 0), ("b", 0, 1, 0)]
+
+
+def test_best_row_gives_all_its_columns(frame, values):
+    rows = [("c", None, 0.9, "alta"), ("c", "dent", 0.4, "baja"), ("d", None, 0.7, "media")]
+    df = frame(rows, "k STRING, label STRING, score DOUBLE, level STRING")
+    best = agg.best_by(df, ["k"], "label", "score", [], {"n": F.count("*")}, {"score": F.col("score"), "level": F.col("level")})
+    assert values(best.select("k", "label", "score", "level", "n")) == [("c", "dent", 0.4, "baja", 2), ("d", None, None, None, 1)]
+
+
+def test_cross_counts_keep_a_null_row(frame, values):
+    df = frame([(None, "a"), (0, "b"), (0, "b")], "k INT, v STRING")
+    assert values(agg.cross_counts(df, "k", "v", ["a", "b"])) == [(None, 1, 0), (0, 0, 2)]

@@ -1,3 +1,4 @@
+from decimal import Decimal
 import math
 import random
 import statistics
@@ -112,3 +113,16 @@ def test_statistics_do_not_collect_rows_or_cross_join(frame, plan):
     for out in (profile.zscore_outliers(df, "n"), profile.histogram(df, "n")):
         text = plan(out)
         assert "Cartesian" not in text and "NestedLoop" not in text
+
+
+def test_histogram_leaves_nan_out(frame):
+    df = frame([(float("nan"),), (float("inf"),), (0.0,), (1.0,)], "x DOUBLE")
+    assert [(r.bin_from, r.bin_to, r.n) for r in profile.histogram(df, "x", 2).orderBy("bin").collect()] == [(0.0, 0.5, 1), (0.5, 1.0, 1)]
+
+
+def test_quartiles_keep_decimals_and_large_numbers(frame):
+    money = frame([(Decimal(f"{k}.10"),) for k in range(1, 9)], "x DECIMAL(12,2)")
+    assert exact_quantiles(money, ["x"], (0.25, 0.5), continuous=True)["x"] == [Decimal("2.85"), Decimal("4.60")]
+    assert profile.iqr_outliers(money.union(frame([(Decimal("99.10"),)], "x DECIMAL(12,2)")), "x").count() == 1
+    large = frame([(2**53 + 1,), (2**53 + 3,)], "x BIGINT")
+    assert exact_quantiles(large, ["x"], (0.25,))["x"] == [2**53 + 1]

@@ -67,3 +67,18 @@ def test_dedupe_with_map_column(frame):
 def test_sample_rows(frame, n):
     df = frame([(3, "c"), (1, "a"), (2, "b")], "k INT, t STRING")
     assert [r["t"] for r in shaping.sample_rows(df, ["t"], [F.asc("k")], n).collect()] == ["a", "b", "c"][:n]
+
+
+def test_nan_and_infinity_become_null_and_fail_ranges(frame, values):
+    odd = [(float("nan"),), (float("inf"),), (float("-inf"),), (None,), (2.0,)]
+    df = frame(odd, "x DOUBLE")
+    assert values(shaping.conform(df, {"x": "double"})) == [(None,)] * 4 + [(2.0,)]
+    assert values(shaping.conform(frame([("NaN",), ("1.5",)], "x STRING"), {"x": "double"})) == [(None,), (1.5,)]
+    assert values(shaping.valid_range(df, {"x": (0, None)})) == [(2.0,)]
+    assert values(shaping.valid_range(df, {"x": (None, 3)})) == [(2.0,)]
+
+
+def test_dedupe_tells_rows_apart_by_maps(frame):
+    rows = [(1, {"a": 1, "b": 2}), (1, {"a": 3})]
+    found = [shaping.dedupe(frame(r, "k INT, m MAP<STRING, INT>"), ["k"]).first().m for r in (rows, rows[::-1])]
+    assert found[0] == found[1]
