@@ -95,6 +95,26 @@ def best_by(
     return found.select(*keys, *(F.col("_best")[name].alias(name) for name in fields), *(metrics or {}))
 
 
+def overview(
+    df: DataFrame,
+    measures: Mapping[str, Column],
+    distinct: Mapping[str, str] | None = None,
+    order: Sequence[str] | None = None,
+) -> DataFrame:
+    """One row: aggregates {name: measure}, and numbers of distinct values {name: column}.
+
+    Each set of distinct values is counted by its own narrow aggregate. Several distinct counts in one
+    aggregate would copy every row once per set.
+    """
+    counted = {
+        name: df.select(column).where(F.col(column).isNotNull()).distinct().agg(rows()).scalar()
+        for name, column in (distinct or {}).items()
+    }
+    whole = df.agg(*(measure.alias(name) for name, measure in measures.items()))
+    names = order or [*measures, *counted]
+    return whole.select(*(counted[name].alias(name) if name in counted else F.col(name) for name in names))
+
+
 def distinct_list(value: Column | str, sep: str = ",") -> Column:
     """Aggregate: the distinct values as sorted, joined text. For columns of few values."""
     return F.array_join(F.sort_array(F.collect_set(as_column(value))), sep)

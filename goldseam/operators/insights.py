@@ -91,6 +91,13 @@ def score_by_label(df: DataFrame, label: str = "damage_label", score: str = "dam
     )
 
 
+def score_points(
+    df: DataFrame, label: str = "damage_label", score: str = "damage_score", amount: str = "claim_total"
+) -> DataFrame:
+    """The points of score against amount per label: one row per complete row, without a shuffle."""
+    return not_null(df, [label, score, amount]).select(label, score, amount)
+
+
 def score_against_amount(
     df: DataFrame,
     label: str = "damage_label",
@@ -190,6 +197,7 @@ def dashboards(judged: DataFrame, rules: dict[str, str]) -> dict[str, DataFrame]
         "coherence": coherence(judged),
         "score_by_label": score_by_label(judged),
         "score_against_amount": score_against_amount(judged),
+        "score_points": score_points(judged),
         "coverage": coverage(judged),
         "decisions": counts_with_label(judged, "decision_final", NO_DECISION),
         "label_by_decision": label_by_decision(judged),

@@ -246,3 +246,29 @@ def sales_by_segment(t: Tables) -> DataFrame:
 def sales_by_flag(t: Tables) -> DataFrame:
     sold = sales.line_totals(t.lineitem, "l_quantity", "l_extendedprice")
     return sales.sales_by(sold, "l_returnflag", "l_quantity", "total_sales")
+
+
+@query(
+    f"""
+    SELECT l_returnflag, sum(l_quantity) AS total_units,
+        {sql_sum("l_extendedprice * (1 - l_discount) * (1 + l_tax)")} AS total_sales_amount
+    FROM lineitem GROUP BY l_returnflag
+    """
+)
+def charges_by_flag(t: Tables) -> DataFrame:
+    """Amounts of six decimals: no row may be rounded before it is added."""
+    charge = F.col("l_extendedprice") * (1 - F.col("l_discount")) * (1 + F.col("l_tax"))
+    return sales.sales_by(t.lineitem.withColumn("charge", charge), "l_returnflag", "l_quantity", "charge")
+
+
+@query(
+    """
+    SELECT event_id, CASE WHEN event_id % 5 < 3 THEN NULL ELSE value END AS value
+    FROM events
+    """
+)
+def finite_values(t: Tables) -> DataFrame:
+    """NaN and infinity, put in by key, become NULL when typed."""
+    kind = F.col("event_id") % 5
+    odd = F.when(kind == 0, float("nan")).when(kind == 1, float("inf")).when(kind == 2, float("-inf")).otherwise(F.col("value"))
+    return shaping.conform(t.events.select("event_id", odd.alias("value")), {"value": "double"})

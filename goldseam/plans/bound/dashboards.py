@@ -160,6 +160,15 @@ def bi_score_amount(t: Tables) -> DataFrame:
     return insights.score_against_amount(judged(t))
 
 
+@query(
+    JUDGED_SQL
+    + """SELECT damage_label, damage_score, claim_total FROM judged
+    WHERE damage_label IS NOT NULL AND damage_score IS NOT NULL AND claim_total IS NOT NULL"""
+)
+def bi_score_points(t: Tables) -> DataFrame:
+    return insights.score_points(judged(t))
+
+
 @query(
     JUDGED_SQL
     + f""", k AS (SELECT count(*) AS total, count(damage_label) AS predicted,

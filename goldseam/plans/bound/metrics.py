@@ -9,7 +9,7 @@ from pyspark.sql import functions as F
 
 from goldseam.functions.scores import confidence_tier
 from goldseam.operators import aggregates as agg
-from goldseam.operators.aggregates import count_where, kpi, mean, present, rows, total
+from goldseam.operators.aggregates import count_where, kpi, mean, overview, present, rows, total
 from goldseam.operators.joins import enrich
 from goldseam.plans import sales
 from goldseam.plans.bound.registry import Tables, query, sql_mean, sql_pct, sql_sum, sql_units
@@ -174,17 +174,14 @@ def dominant_label(t: Tables) -> DataFrame:
     """
 )
 def overall_stats(t: Tables) -> DataFrame:
-    return t.events.agg(
-        rows().alias("total_rows"),
-        F.countDistinct("user_id").alias("users"),
-        F.countDistinct("event_type").alias("kinds"),
-        F.sum((F.col("value") >= 50).cast("int")).alias("reliable"),
-        mean("value", 4, exact=True).alias("mean_value"),
-        F.min("value").alias("min_value"),
-        F.max("value").alias("max_value"),
-        F.min("ts").alias("first_ts"),
-        F.max("ts").alias("last_ts"),
-    )
+    measures = {
+        "total_rows": rows(),
+        "reliable": F.sum((F.col("value") >= 50).cast("int")),
+        "mean_value": mean("value", 4, exact=True),
+        **{f"{side}_value": pick("value") for side, pick in (("min", F.min), ("max", F.max))},
+        **{f"{side}_ts": pick("ts") for side, pick in (("first", F.min), ("last", F.max))},
+    }
+    return overview(t.events, measures, {"users": "user_id", "kinds": "event_type"})
 
 
 MONTHLY_SQL = f"""

@@ -167,7 +167,7 @@ def test_all_layers(spark, folder):
     assert written["claims.silver_claims_clean"]["no_claim_date"] == 1
     assert written["claims.silver_policies_clean"]["ends_before_start"] == 0
     views = dashboards(spark.table("claims.gold_claim_insights_final"), claims.REASONS)
-    assert len(views) == 19
+    assert len(views) == 20
     found = {name: [tuple(r) for r in df.collect()] for name, df in views.items()}
     assert found["claims_by_severity"] == [
         (0, "Minor Damage", 1), (1, "Major Damage", 0), (2, "Total Loss", 1), (3, "Trivial Damage", 0),
