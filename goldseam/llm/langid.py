@@ -83,7 +83,9 @@ def build(languages: list[str], counts: list[tuple[np.ndarray, np.ndarray]]) ->
     strings, tallies = [], []  # per length k: sorted distinct strings of k bytes; counts x language
     for k in range(1, DEPTH + 1):
         mask = (1 << (8 * k)) - 1
-        known = np.unique(np.concatenate([q & mask for q, _ in counts])) if width else np.zeros(0, np.int64)
+        # What stands before a text is a context too, whether or not some text ends with it.
+        before = [[int.from_bytes(START[:k], "big")]] if k < DEPTH else []
+        known = np.unique(np.concatenate([*(q & mask for q, _ in counts), *before]).astype(np.int64))
         tally = np.zeros((len(known) + 1, width))
         for j, (q, n) in enumerate(counts):
             np.add.at(tally[:, j], np.searchsorted(known, q & mask) + 1, n)
