@@ -74,8 +74,8 @@ def salted_join(
 ) -> DataFrame:
     """Join ``rows`` with ``sides``, which has few rows per key and in ``count`` how many of ``rows`` carry it.
 
-    The keys with most rows, at most HOT_KEYS of them and each above ``salt_rows``, are broadcast
-    with their count. Their rows go to one of count / salt_rows salts by ``spread``, and their side
+    The keys with most rows, at most HOT_KEYS of them and each above ``salt_rows``, are looked up first and
+    broadcast; without any, this is a plain join. Their rows go to one of count / salt_rows salts by ``spread``, and their side
     is repeated once per salt, which adds at most one row to ``sides`` for ``salt_rows`` rows. Any
     other key holds less than one part in HOT_KEYS of all rows. The result is that of a plain
     join; null keys match nothing.
@@ -87,11 +87,16 @@ def salted_join(
         .orderBy(F.col(count).desc(), F.col(key))
         .limit(HOT_KEYS)
         .select(key, F.ceil(F.col(count) / salt_rows).cast("int").alias("_salts"))
+        .collect()
     )
-    left = rows.join(F.broadcast(hot), key, "left").withColumn(
+    if not hot:
+        return rows.join(sides, key, how)
+    kind = sides.schema[key].dataType.simpleString()
+    few = F.broadcast(sides.sparkSession.createDataFrame(hot, f"`{key}` {kind}, _salts int"))
+    left = rows.join(few, key, "left").withColumn(
         "_salt", F.when(F.col("_salts").isNull(), F.lit(0)).otherwise(F.pmod(spread, F.col("_salts")).cast("int"))
     )
-    right = sides.join(F.broadcast(hot), key, "left").withColumn(
+    right = sides.join(few, key, "left").withColumn(
         "_salt", F.explode(F.sequence(F.lit(0), F.coalesce(F.col("_salts"), F.lit(1)) - 1))
     )
     return left.drop("_salts").join(right.drop("_salts"), [key, "_salt"], how).drop("_salt")

@@ -5,13 +5,15 @@ k = n - ceil(threshold n) + 1 of each, in any order of shingles common to all, s
 form a first region; nothing links across. In the order used, shingles common among classes come last, so
 that frequent lines and passages make no regions of their own.
 
-A region of at most LEAF classes is compared directly. A larger one takes pivots; every member
-gets its distances to them and goes to the nearest pivot's Voronoi region, and also to each other region whose
+Every region of more than LEAF classes first compares its members with one pivot, the class that
+shares most shingles: the likely original of a group of near copies. Where all members of a region are connected by that,
+it is finished. Regions of at most DIRECT classes then compare what may still connect something: of sizes
+that can be linked, not connected yet, and meeting in enough regions, since linked classes must meet
+in many. A larger one takes more pivots; every member gets its distances to them and goes to the nearest pivot's Voronoi region, and also to each other region whose
 pivot is nearer than its own plus twice the radius: by the triangle inequality, any partner of the
 classes there lies within that window. Regions join recursively; pairs with pivots are done and pivots leave, so every
 round shrinks a region. Where windows would replicate a region more than twice (in many dimensions they often do)
-it stays whole and only loses its pivots. The first pivot is the class that shares most shingles, the
-likely original of a group of near copies; regions whose members all are connected are finished.
+it stays whole and only loses its pivots.
 
 Results are components: class members, connected by links, by smallest doc_id. Links are decided on 64-bit hashes of
 shingles.
@@ -31,7 +33,8 @@ from pyspark.sql.window import Window
 
 from goldseam.llm.common import salted_join, stored
 
-LEAF = 32
+#: A shingle of more classes is common. A region of up to DIRECT classes is compared without pivots.
+LEAF, DIRECT = 32, 2048
 _LEFT, _RIGHT = np.uint64(0xBF58476D1CE4E5B9), np.uint64(0x94D049BB133111EB)
 
 
@@ -104,14 +107,11 @@ def _compatible(a: Column, b: Column, percent: int) -> Column:
 
 
 def compare(pairs: DataFrame, sets: DataFrame) -> DataFrame:
-    """a, b, both (shared shingles), n_a, n_b of pairs of classes. A class may be in any number of pairs."""
-    sets = sets.select("cid", "codes")
-    often = pairs.groupBy("b").agg(F.count("*").alias("_n"))
-    right = sets.withColumnRenamed("cid", "b").withColumnRenamed("codes", "codes_b").join(often, "b")
-    often = pairs.groupBy("a").agg(F.count("*").alias("_m"))
-    left = sets.withColumnRenamed("cid", "a").withColumnRenamed("codes", "codes_a").join(often, "a")
-    both = salted_join(pairs.select("a", "b"), left, "a", "_m", F.xxhash64("b")).drop("_m")
-    both = salted_join(both, right, "b", "_n", F.xxhash64("a"))
+    """a, b, both (shared shingles), n_a, n_b of pairs of classes. A class may be in any number of pairs:
+    both joins are of two plain shuffles, which adaptive execution splits where a class is hot."""
+    left = sets.select(F.col("cid").alias("a"), F.col("codes").alias("codes_a"))
+    right = sets.select(F.col("cid").alias("b"), F.col("codes").alias("codes_b"))
+    both = pairs.select("a", "b").join(left, "a").join(right, "b")
     return both.select(
         "a", "b", F.size(F.array_intersect("codes_a", "codes_b")).alias("both"), F.size("codes_a").alias("n_a"), F.size("codes_b").alias("n_b")
     )
@@ -124,25 +124,22 @@ def _union(n_a: str = "n_a", n_b: str = "n_b") -> Column:
 def connected(links: DataFrame) -> DataFrame:
     """cid, label: the smallest class id reachable by links (a, b), of every class that has one.
 
-    Every round, each class takes the smallest label around it, then the label of its label. Classes
-    with many links, or many that share a label, are salted.
+    Every round, each class takes the smallest label around it, then the label of its label. The joins are
+    of stored tables, so adaptive execution splits classes with many links and labels of many classes.
     """
     edges = links.select("a", "b").union(links.select(F.col("b").alias("a"), F.col("a").alias("b"))).distinct()
     edges = stored(edges, "jaccard-edges")
-    degree = edges.groupBy(F.col("b").alias("cid")).agg(F.count("*").alias("n"))
     labels = stored(edges.groupBy(F.col("a").alias("cid")).agg(F.least(F.min("b"), F.first("a")).alias("label")), "jaccard-labels")
     while True:
-        around = salted_join(edges.withColumnRenamed("b", "cid"), labels.join(degree, "cid"), "cid", "n", F.xxhash64("a"))
-        smallest = around.groupBy("a").agg(F.min("label").alias("near")).withColumnRenamed("a", "cid")
-        taken = labels.join(smallest, "cid").select("cid", "label", F.least("label", "near").alias("next"))
+        around = edges.join(labels.withColumnRenamed("cid", "b"), "b").groupBy(F.col("a").alias("cid")).agg(F.min("label").alias("near"))
+        taken = labels.join(around, "cid").select("cid", F.col("label").alias("before"), F.least("label", "near").alias("next"))
         taken = stored(taken, "jaccard-labels")
-        sizes = taken.groupBy(F.col("next")).agg(F.count("*").alias("n"))
-        ahead = taken.select(F.col("cid").alias("next"), F.col("next").alias("jump")).join(sizes, "next")
-        jumped = salted_join(taken, ahead, "next", "n", F.xxhash64("cid")).select("cid", F.col("label").alias("before"), F.least("next", "jump").alias("label"))
-        jumped = stored(jumped, "jaccard-labels")
-        if jumped.where(F.col("before") != F.col("label")).isEmpty():
-            return jumped.select("cid", "label")
-        labels = jumped.select("cid", "label")
+        ahead = taken.select(F.col("cid").alias("next"), F.col("next").alias("jump"))
+        labels = taken.join(ahead, "next").select("cid", "before", F.least("next", "jump").alias("label"))
+        labels = stored(labels, "jaccard-labels")
+        if labels.where(F.col("before") != F.col("label")).isEmpty():
+            return labels.select("cid", "label")
+        labels = labels.select("cid", "label")
 
 
 def _labelled(regions: DataFrame, labels: DataFrame | None) -> DataFrame:
@@ -151,9 +148,7 @@ def _labelled(regions: DataFrame, labels: DataFrame | None) -> DataFrame:
     if labels is None:
         regions = regions.withColumn("label", F.col("cid"))
     else:
-        members = regions.groupBy("cid").agg(F.count("*").alias("_n"))
-        sides = members.join(labels, "cid")
-        regions = salted_join(regions, sides, "cid", "_n", F.xxhash64("region"), "left").drop("_n")
+        regions = regions.join(labels, "cid", "left")
         regions = regions.withColumn("label", F.coalesce("label", "cid"))
     # Size and labels of a region combine in the map tasks.
     facts = regions.groupBy("region").agg(
@@ -163,15 +158,15 @@ def _labelled(regions: DataFrame, labels: DataFrame | None) -> DataFrame:
     return salted_join(regions, facts, "region", "size", F.xxhash64("cid"))
 
 
-def _leaf_pairs(members: DataFrame, percent: int) -> DataFrame:
-    """a, b, shared: pairs of members of regions of at most LEAF classes, and in how many of them they meet."""
+def _met_pairs(members: DataFrame, percent: int) -> DataFrame:
+    """a, b, shared: pairs of members of a region that may still connect something, and in how many regions they meet."""
     left = members.select("region", F.col("cid").alias("a"), F.col("n").alias("n_a"), F.col("label").alias("l_a"))
     right = members.select("region", F.col("cid").alias("b"), F.col("n").alias("n_b"), F.col("label").alias("l_b"))
     meet = (F.col("a") < F.col("b")) & (F.col("l_a") != F.col("l_b")) & _compatible(F.col("n_a"), F.col("n_b"), percent)
     return left.join(right, "region").where(meet).groupBy("a", "b").agg(F.count("*").alias("shared"))
 
 
-def _split(regions: DataFrame, distances: DataFrame, radius: float) -> DataFrame:
+def _split(distances: DataFrame, radius: float) -> DataFrame:
     """The members of each region in the Voronoi regions of its pivots, replicated by windows; whole where that does not pay."""
     keys = ["region", "cid", "n", "central"]
     own = distances.groupBy(*keys).agg(F.min("d").alias("nearest"))
@@ -185,101 +180,120 @@ def _split(regions: DataFrame, distances: DataFrame, radius: float) -> DataFrame
     return split.select(F.xxhash64("region", "pivot").alias("region"), *columns).union(kept.select("region", *columns))
 
 
-def links(docs: DataFrame, sets: DataFrame, percent: int) -> DataFrame | None:
-    """Links (a, b) between classes that connect all linked classes (not every pair of a group), or None without any."""
-    classes = stored(sets.where("n > 0").dropDuplicates(["cid"]).select("cid", "n", "codes"), "jaccard-classes")
+def _posted(classes: DataFrame, percent: int) -> tuple[DataFrame, DataFrame, DataFrame]:
+    """Shingles that two classes have posted, with their frequency; per class with any, its light and common ones
+    and how many a prefix still misses without the common ones; and the postings."""
     posted = classes.select("cid", F.explode("codes").alias("s"))
     shared = stored(posted.groupBy("s").agg(F.count("*").alias("df")).where("df > 1"), "jaccard-shared")
     near = salted_join(posted, shared, "s", "df", F.col("cid"))
-    k, k_posted = _k(F.col("n"), percent), F.least(F.col("n"), _k(F.col("n"), percent) + 8 + F.floor(_k(F.col("n"), percent) / 8)).cast("int")
-    facts = classes.select("cid", "n", k.alias("k"), k_posted.alias("posted"), F.try_element_at("codes", F.lit(-1)).alias("last"))
+    k = _k(F.col("n"), percent)
+    facts = classes.select("cid", "n", k.alias("k"), F.size("codes").alias("posted"), F.try_element_at("codes", F.lit(-1)).alias("last"))
     hits = near.groupBy("cid").agg(F.collect_list(F.struct("df", "s")).alias("hits")).join(facts, "cid")
-    common = F.filter("hits", lambda x: x["df"] > LEAF)
+    common = F.transform(F.filter("hits", lambda x: x["df"] > LEAF), lambda x: F.struct(_weight(x["df"]).alias("w"), x["s"].alias("s")))
     hits = (
-        hits.withColumn("common", F.array_sort(F.transform(common, lambda x: F.struct(F.floor(F.log2(x["df"])).alias("w"), x["s"].alias("s")))))
+        hits.withColumn("common", F.array_sort(common))
         .withColumn("light", F.transform(F.filter("hits", lambda x: x["df"] <= LEAF), lambda x: x["s"]))
         .withColumn("central", F.size("hits") / F.col("posted"))
-        .withColumn("missing", F.col("k") - (F.col("posted") - F.size("common")))
+        .withColumn("missing", F.greatest(F.col("k") - (F.col("posted") - F.size("common")), F.lit(0)))
         .withColumn("deep", (F.col("missing") > 0) & (F.col("posted") < F.col("n")))
         .drop("hits")
     )
-    hits = stored(hits, "jaccard-hits")
-    needed = F.transform(F.slice("common", 1, F.greatest(F.col("missing"), F.lit(0))), lambda x: x["s"])
-    plain = hits.where("NOT deep").select("cid", "n", "central", F.explode(F.concat("light", needed)).alias("region"))
-    deep = hits.where("deep").select("cid", "n", "k", "central")
-    entries = [plain]
-    if not deep.isEmpty():
-        # Classes made of common shingles, but for less than a prefix: order all of their shingles.
-        codes = _whole(docs, sets, deep, percent)
-        every = deep.join(codes.select("cid", "codes"), "cid").select("cid", "n", "k", "central", F.explode("codes").alias("s"))
-        frequent = shared.where(F.col("df") > LEAF)
-        often = every.groupBy("s").agg(F.count("*").alias("m")).join(frequent, "s", "left")
-        ranked = salted_join(every, often, "s", "m", F.col("cid")).withColumn("w", F.coalesce(F.floor(F.log2("df")), F.lit(0)))
-        # A window per class holds one document's shingles.
-        order = Window.partitionBy("cid").orderBy("w", "s")
+    return shared, stored(hits, "jaccard-hits"), posted
+
+
+def _weight(df: Column | str) -> Column:
+    """Place of a common shingle in the order: after all light ones, rarer ones first."""
+    return F.floor(F.log2(df)).cast("int")
+
+
+def links(docs: DataFrame, sets: DataFrame, percent: int) -> DataFrame:
+    """Links (a, b) between classes that connect all linked classes (not every pair of a group)."""
+    classes = stored(sets.where("n > 0").dropDuplicates(["cid"]).select("cid", "n", "codes"), "jaccard-classes")
+    shared, hits, posted = _posted(classes, percent)
+    needed = F.slice("common", 1, F.col("missing"))
+    last = F.try_element_at(needed, F.lit(-1))
+    # ``covered`` is how many shingles of the class come up to its end (w, s) in the order.
+    plain = hits.where("NOT deep").select(
+        "cid", "n", "central", "light", needed.alias("needed"),
+        (F.col("posted") - F.size("common") + F.col("missing")).alias("covered"),
+        F.coalesce(last["w"], F.lit(0)).alias("w"), F.coalesce(last["s"], "last").alias("s"),
+    )
+    entries = plain.select("cid", "n", "central", F.explode(F.concat("light", F.transform("needed", lambda x: x["s"]))).alias("region"))
+    ends = plain.select("cid", "n", "covered", "w", "s")
+    # Classes made of common shingles, but for less than a prefix, need an order of all of their shingles.
+    heavy = stored(hits.where("missing > 0").select("cid", "n", "k", "central", "deep"), "jaccard-heavy")
+    codes = None
+    if not heavy.isEmpty():
+        codes = _whole(docs, sets, heavy, percent)
+        every = heavy.where("deep").join(codes.select("cid", "codes"), "cid").select("cid", "n", "k", "central", F.explode("codes").alias("s"))
+        often = every.groupBy("s").agg(F.count("*").alias("m")).join(shared.where(F.col("df") > LEAF), "s", "left")
+        ranked = salted_join(every, often, "s", "m", F.col("cid")).withColumn("w", F.coalesce(_weight("df"), F.lit(0)))
+        order = Window.partitionBy("cid").orderBy("w", "s")  # a partition is one class
         first = ranked.withColumn("_at", F.row_number().over(order)).where(F.col("_at") <= F.col("k"))
-        first = stored(first.select("cid", "n", "central", F.col("s").alias("region")), "jaccard-deep")
-        entries.append(first)
+        first = stored(first.select("cid", "n", "k", "central", "w", "s"), "jaccard-deep")
+        end = first.groupBy("cid", "n", "k").agg(F.max(F.struct("w", "s")).alias("end"))
+        ends = ends.union(end.select("cid", "n", F.col("k").alias("covered"), "end.w", "end.s"))
+        entries = entries.unionByName(first.select("cid", "n", "central", F.col("s").alias("region")))
         # Plain classes may hold these shingles as the only ones to post them.
-        new = first.select(F.col("region").alias("s")).distinct().join(shared, "s", "left_anti")
-        alone = posted.join(new, "s", "left_semi").join(hits.where("deep").select("cid"), "cid", "left_anti")
-        entries.append(
-            alone.join(classes.select("cid", "n"), "cid").select("cid", "n", F.lit(0.0).alias("central"), F.col("s").alias("region"))
-        )
-    regions = entries[0]
-    for more in entries[1:]:
-        regions = regions.unionByName(more)
-    regions = stored(_labelled(regions.dropDuplicates(["region", "cid"]), None), "jaccard-regions")
-
-    # What two plain classes can share at most: in leaf regions as counted; the rest of what the one
-    # whose posted shingles end first has posted in common with anyone; and all it has not posted.
-    small = regions.where(F.col("size") <= LEAF)
-    bounds = (
-        hits.join(small.groupBy("cid").agg(F.count("*").alias("leaves")), "cid", "left")
-        .select("cid", "n", "last", "deep", (F.size("common") + F.size("light") - F.coalesce("leaves", F.lit(0)) + F.col("n") - F.col("posted")).alias("unseen"))
-    )
-    pairs = _leaf_pairs(small, percent)
+        new = first.select("s").distinct().join(shared, "s", "left_anti")
+        alone = posted.join(new, "s", "left_semi").join(heavy.where("deep").select("cid"), "cid", "left_anti").join(classes.select("cid", "n"), "cid")
+        entries = entries.unionByName(alone.select("cid", "n", F.lit(0.0).alias("central"), F.col("s").alias("region")))
+    regions = stored(_labelled(entries.dropDuplicates(["region", "cid"]), None), "jaccard-regions")
+
+    def linked(pairs: DataFrame, codes: DataFrame) -> DataFrame:
+        found = compare(pairs, codes)
+        return found.where(100 * F.col("both") >= percent * _union()).select("a", "b")
+
+    found = None
+    if codes is not None:
+        # The likely original of a region first: near copies of it are connected by that alone.
+        around = regions.where((F.col("size") > LEAF) & (F.col("cid") != F.col("centre")))
+        star = around.select(F.col("cid").alias("a"), F.col("centre").alias("b")).distinct()
+        found = stored(linked(star, codes), "jaccard-links")
+        regions = stored(_labelled(regions.drop("size", "centre"), connected(found)), "jaccard-regions")
+    large = regions.where(F.col("size") > DIRECT)
+    pairs = _met_pairs(regions.where(F.col("size") <= DIRECT), percent)
+    # Of the class whose end comes first, every covered shingle that the other has is one where the two
+    # meet; so they share at most those and what it does not cover. Regions not counted here void that.
+    ends = ends.join(large.select("cid", F.lit(True).alias("more")).distinct(), "cid", "left")
     for side in ("a", "b"):
-        pairs = pairs.join(bounds.select(*(F.col(c).alias(f"{c}_{side}" if c != "cid" else side) for c in bounds.columns)), side, "left")
-    unseen = F.when(F.col("last_a") <= F.col("last_b"), F.col("unseen_a")).otherwise(F.col("unseen_b"))
-    most = F.col("shared") + unseen
+        pairs = pairs.join(ends.select(*(F.col(c).alias(side if c == "cid" else f"{c}_{side}") for c in ends.columns)), side)
+    a_first = F.struct(F.col("w_a"), F.col("s_a")) <= F.struct(F.col("w_b"), F.col("s_b"))
+    most = F.col("shared") + F.when(a_first, F.col("n_a") - F.col("covered_a")).otherwise(F.col("n_b") - F.col("covered_b"))
     possible = (100 + percent) * most >= percent * (F.col("n_a") + F.col("n_b"))
-    exact = ~F.coalesce(F.col("deep_a"), F.lit(True)) & ~F.coalesce(F.col("deep_b"), F.lit(True))
-    first = stored(pairs.where(~exact | possible).select("a", "b"), "jaccard-pairs")
-
-    large = regions.where(F.col("size") > LEAF)
-    wanted = first.select(F.col("a").alias("cid")).union(first.select("b")).union(large.select("cid")).distinct()
+    open_end = F.col("more_a").isNotNull() | F.col("more_b").isNotNull()
+    pairs = stored(pairs.where(possible | open_end).select("a", "b"), "jaccard-pairs")
+    wanted = pairs.select(F.col("a").alias("cid")).union(pairs.select("b")).union(large.select("cid")).distinct()
     codes = _whole(docs, sets, wanted, percent)
+    more = linked(pairs, codes)
+    found = stored(more if found is None else found.union(more), "jaccard-links")
+    return _large_regions(large, codes, found, percent)
 
-    def linked(pairs: DataFrame) -> DataFrame:
-        found = compare(pairs, codes)
-        return found.where(100 * F.col("both") >= percent * _union()).select("a", "b")
 
-    found = stored(linked(first), "jaccard-links")
+def _large_regions(large: DataFrame, codes: DataFrame, found: DataFrame, percent: int) -> DataFrame:
+    """``found`` and the links within regions of more than DIRECT classes, by rounds of pivots."""
     radius = 1 - percent / 100
     rounds = 0
     while not large.isEmpty():
-        # Later rounds take one in 16 members as pivots; the first only the most central one.
-        some = F.col("cid") == F.col("centre")
-        if rounds:
-            some = some | (F.pmod(F.xxhash64("cid", F.lit(rounds)), F.greatest(F.lit(16), F.ceil(F.col("size") / 64))) == 0)
+        pick = F.pmod(F.xxhash64("cid", F.lit(rounds)), F.greatest(F.lit(16), F.ceil(F.col("size") / 64))) == 0
+        some = (F.col("cid") == F.col("centre")) | pick
         pivots = large.where(some).select("region", F.col("cid").alias("pivot"), "size")
         rest = large.where(~some).select("region", "cid", "n", "central")
         met = salted_join(rest, pivots, "region", "size", F.xxhash64("cid")).select("region", "cid", "n", "central", "pivot")
         met = stored(met, "jaccard-met")
-        pairs = met.select(F.col("cid").alias("a"), F.col("pivot").alias("b")).distinct()
+        # Pivots meet each other as well, as they leave the region together.
+        both = pivots.join(pivots.select("region", F.col("pivot").alias("other")), "region").where("pivot < other")
+        pairs = met.select(F.col("cid").alias("a"), F.col("pivot").alias("b")).union(both.select("pivot", "other")).distinct()
         measured = stored(compare(pairs, codes).withColumn("d", 1 - F.col("both") / _union()), "jaccard-measured")
         found = stored(found.union(measured.where(100 * F.col("both") >= percent * _union()).select("a", "b")), "jaccard-links")
-        labels = connected(found)
-        times = met.groupBy("cid", "pivot").agg(F.count("*").alias("_n"))
-        known = measured.select(F.col("a").alias("cid"), F.col("b").alias("pivot"), "d").join(times, ["cid", "pivot"])
-        distances = met.join(known.drop("_n"), ["cid", "pivot"])
-        left = _labelled(_split(distances, distances, radius).dropDuplicates(["region", "cid"]), labels)
+        known = measured.select(F.col("a").alias("cid"), F.col("b").alias("pivot"), "d")
+        distances = met.join(known, ["cid", "pivot"])
+        left = _labelled(_split(distances, radius).dropDuplicates(["region", "cid"]), connected(found))
         left = stored(left, "jaccard-regions")
-        leaves = left.where(F.col("size") <= LEAF)
-        if not leaves.isEmpty():
-            found = stored(found.union(linked(stored(_leaf_pairs(leaves, percent).select("a", "b"), "jaccard-pairs"))), "jaccard-links")
-        large = left.where(F.col("size") > LEAF)
+        pairs = stored(_met_pairs(left.where(F.col("size") <= DIRECT), percent).select("a", "b"), "jaccard-pairs")
+        close = compare(pairs, codes).where(100 * F.col("both") >= percent * _union()).select("a", "b")
+        found = stored(found.union(close), "jaccard-links")
+        large = left.where(F.col("size") > DIRECT)
         rounds += 1
     return found
 

@@ -59,13 +59,26 @@ def test_near_copies_and_common_passages(spark, monkeypatch, leaf):
     monkeypatch.setattr(jaccard, "LEAF", leaf)
     draw = random.Random(leaf)
     passage = [f"p{k}" for k in range(12)]
-    texts = [t for k in range(12) for t in family(draw, 8, 60, 5, passage if k % 2 else ())]
-    texts += list(family(draw, 60, 80, 4)) + list(family(draw, 40, 12, 3, passage * 3)) + ["same text of copies for all"] * 20
+    texts = [t for k in range(8) for t in family(draw, 7, 60, 5, passage if k % 2 else ())]
+    texts += list(family(draw, 40, 80, 4)) + list(family(draw, 25, 12, 3, passage * 3)) + ["same text of copies for all"] * 20
     rows = list(enumerate(texts))
     draw.shuffle(rows)
     assert run(spark, rows) == order(plain(rows))
 
 
+def test_rounds_of_pivots(spark, monkeypatch):
+    monkeypatch.setattr(jaccard, "LEAF", 2)
+    monkeypatch.setattr(jaccard, "DIRECT", 6)
+    rounds = []
+    split = jaccard._split
+    monkeypatch.setattr(jaccard, "_split", lambda *a: rounds.append(1) or split(*a))
+    draw = random.Random(3)
+    passage = [f"p{k}" for k in range(25)]
+    rows = list(enumerate([t for _ in range(5) for t in family(draw, 3, 10, 2, passage)]))
+    assert run(spark, rows) == order(plain(rows))
+    assert rounds
+
+
 def test_another_threshold(spark):
     draw = random.Random(9)
     rows = list(enumerate(t for _ in range(10) for t in family(draw, 5, 30, 4)))
