@@ -66,7 +66,7 @@ def fit(x: np.ndarray, y: np.ndarray, trees: int = 80, depth: int = 4, bins: int
     share = float((y * w).sum() / w.sum()) if n else 0.5
     inner = (1 << depth) - 1
     empty = Forest(depth, 0.0, np.zeros((0, inner), np.int64), np.zeros((0, inner)), np.zeros((0, 1 << depth)))
-    if not 0 < share < 1:
+    if not n or not 0 < share < 1:
         empty.prior = float(np.log(max(share, 1e-9) / max(1 - share, 1e-9)))
         return empty
     cuts = [np.unique(np.quantile(x[:, j], np.linspace(0, 1, bins + 1)[1:-1], method="lower")) for j in range(width)]
@@ -106,7 +106,7 @@ def fit(x: np.ndarray, y: np.ndarray, trees: int = 80, depth: int = 4, bins: int
 
 
 def train(docs: DataFrame, labels: DataFrame, per_class: int = 8_000, max_bytes: int = 1_000_000, **options) -> Forest:
-    """Fit on about ``per_class`` learnable labelled texts of each class, weighted back to the classes' own shares.
+    """Fit on about ``per_class`` learnable labelled texts of each class, so classes weigh about alike.
 
     The statistics are taken in the tasks; the driver holds 13 numbers for a sampled row.
     """

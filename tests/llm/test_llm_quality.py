@@ -29,8 +29,8 @@ def test_base_statistics(documents):
 
 
 def test_outliers_are_rejected_per_group(spark, by_doc):
-    clean = "".join(f"word{k} and some more of them here. " for k in range(12))
-    rows = [(k, clean.replace("some", f"so{'m' * (k % 4)}e"), "en", "a" if k % 3 else "b") for k in range(600)]
+    clean = " ".join("".join("aeioulnrst"[(k * m + m) % 10] for m in range(3, 3 + 2 + k % 7)) + f"{'.' if k % 9 == 0 else ''}" for k in range(90))
+    rows = [(k, clean + " " + " ".join(["more", "words", "of", "some", "kind"][: k % 5]), "en", "a" if k % 3 else "b") for k in range(600)]
     rows += [(1000, clean.replace(" ", "### "), "en", "a"), (1001, clean.upper(), "en", "b"), (1002, "short", "en", "a"), (1003, clean.upper(), "xx", "few")]
     found = {r["doc_id"]: r for r in by_doc(outliers.judge(spark.createDataFrame(rows, "doc_id bigint, text string, lang string, source string")))}
     assert all(found[k]["kept"] for k in range(600))
