@@ -5,15 +5,18 @@ k = n - ceil(threshold n) + 1 of each, in any order of shingles common to all, s
 form a first region; nothing links across. In the order used, shingles common among classes come last, so
 that frequent lines and passages make no regions of their own.
 
-Every region of more than LEAF classes first compares its members with one pivot, the class that
-shares most shingles: the likely original of a group of near copies. Where all members of a region are connected by that,
-it is finished. Regions of at most DIRECT classes then compare what may still connect something: of sizes
-that can be linked, not connected yet, and meeting in enough regions, since linked classes must meet
-in many. A larger one takes more pivots; every member gets its distances to them and goes to the nearest pivot's Voronoi region, and also to each other region whose
+A region of at most DIRECT classes is compared directly. A larger one takes several pivots, one of them the class that
+shares most shingles: the likely original of a group of near copies. Every member
+gets its distances to them and goes to the nearest pivot's Voronoi region, and also to each other region whose
 pivot is nearer than its own plus twice the radius: by the triangle inequality, any partner of the
-classes there lies within that window. Regions join recursively; pairs with pivots are done and pivots leave, so every
-round shrinks a region. Where windows would replicate a region more than twice (in many dimensions they often do)
-it stays whole and only loses its pivots.
+classes there lies within that window. Regions join recursively; pairs with pivots are done and pivots leave. A region
+whose members all are connected is finished. Where windows would replicate a region more than twice, or leave more than half of
+it together (in many dimensions they often do), it stays whole and is compared directly after that round.
+
+Direct comparison leaves out what cannot connect anything: pairs connected already, of sizes that cannot be linked, whose
+distances to the region's first pivot differ by more than the radius, or whose sketches (parities of shingles in
+SKETCH_BITS buckets, in which shared shingles cancel out) differ in more places than linked sets do. In regions of light
+shingles it counts the regions where two classes meet instead, since linked classes must meet in many.
 
 Results are components: class members, connected by links, by smallest doc_id. Links are decided on 64-bit hashes of
 shingles.
@@ -33,8 +36,11 @@ from pyspark.sql.window import Window
 
 from goldseam.llm.common import salted_join, stored
 
-#: A shingle of more classes is common. A region of up to DIRECT classes is compared without pivots.
-LEAF, DIRECT = 32, 2048
+#: A shingle of more classes is common. A region of up to DIRECT classes is compared without pivots; a larger one takes
+#: about PIVOTS of them a round, but at most one member in 16 besides the first.
+LEAF, DIRECT, PIVOTS = 32, 32, 16
+SKETCH_BITS = 512
+SKETCH = [f"sketch{k}" for k in range(SKETCH_BITS // 64)]
 _LEFT, _RIGHT = np.uint64(0xBF58476D1CE4E5B9), np.uint64(0x94D049BB133111EB)
 
 
@@ -77,6 +83,13 @@ def posted_length(n: int, percent: int) -> int:
     return min(n, k + 8 + k // 8)
 
 
+def sketch(codes: np.ndarray) -> np.ndarray:
+    """Parities of the number of shingles per bucket, as 64-bit integers. Two sets' sketches differ in at most as
+    many bits as there are shingles in only one of the sets."""
+    odd = np.bincount(codes & (SKETCH_BITS - 1), minlength=SKETCH_BITS) & 1
+    return np.packbits(odd.astype(np.uint8)).view(np.int64)
+
+
 def _sets(docs: DataFrame, schema: str, percent: int, whole: bool) -> DataFrame:
     names = [part.split()[0] for part in schema.split(", ")]
 
@@ -92,6 +105,9 @@ def _sets(docs: DataFrame, schema: str, percent: int, whole: bool) -> DataFrame:
                     "n": pa.array([len(s) for s in sets], pa.int32()),
                     "codes": pa.array([s if whole else s[: posted_length(len(s), percent)] if len(s) else s for s in sets], pa.list_(pa.int64())),
                 }
+                if whole:
+                    made = np.array([sketch(s) for s in sets], np.int64).reshape(len(sets), len(SKETCH))
+                    columns |= {n: pa.array(made[:, k]) for k, n in enumerate(SKETCH)}
                 yield pa.RecordBatch.from_pydict({n: columns[n] for n in names})
 
     return docs.select("doc_id", F.col("text").cast("binary").alias("text")).mapInArrow(mapped, schema)
@@ -166,18 +182,45 @@ def _met_pairs(members: DataFrame, percent: int) -> DataFrame:
     return left.join(right, "region").where(meet).groupBy("a", "b").agg(F.count("*").alias("shared"))
 
 
+def _close_pairs(members: DataFrame, codes: DataFrame, percent: int, radius: float) -> DataFrame:
+    """a, b: pairs of members of a region that may still connect something, by size, pivot and sketch.
+
+    All of that is a condition of the join, so that pairs it excludes are never rows.
+    """
+    members = members.join(codes.select("cid", *SKETCH), "cid")
+    columns = ["cid", "n", "label", "out", *SKETCH]
+    left, right = (members.select("region", *(F.col(c).alias(f"{c}_{side}") for c in columns)) for side in "ab")
+    differ = sum((F.bit_count(F.col(f"{c}_a").bitwiseXOR(F.col(f"{c}_b"))) for c in SKETCH), F.lit(0))
+    # Linked sets have at most this share of their shingles in one of them only.
+    meet = (
+        (F.col("cid_a") < F.col("cid_b")) & (F.col("label_a") != F.col("label_b")) & _compatible(F.col("n_a"), F.col("n_b"), percent)
+        & (F.abs(F.col("out_a") - F.col("out_b")) <= radius)
+        & ((100 + percent) * differ <= (100 - percent) * (F.col("n_a") + F.col("n_b")))
+    )
+    return left.join(right, "region").where(meet).select(F.col("cid_a").alias("a"), F.col("cid_b").alias("b")).distinct()
+
+
 def _split(distances: DataFrame, radius: float) -> DataFrame:
-    """The members of each region in the Voronoi regions of its pivots, replicated by windows; whole where that does not pay."""
-    keys = ["region", "cid", "n", "central"]
-    own = distances.groupBy(*keys).agg(F.min("d").alias("nearest"))
-    inside = distances.join(own, keys).where(F.col("d") <= F.col("nearest") + 2 * radius)
-    parts = inside.groupBy("region").agg(F.count("*").alias("copies"))
-    whole = own.groupBy("region").agg(F.count("*").alias("members"))
-    pays = parts.join(whole, "region").select("region", "members", (F.col("copies") <= 2 * F.col("members")).alias("pays"))
-    split = salted_join(inside.select(*keys, "pivot"), pays.where("pays"), "region", "members", F.xxhash64("cid"))
-    kept = salted_join(own.select(*keys), pays.where("NOT pays"), "region", "members", F.xxhash64("cid"))
-    columns = ["cid", "n", "central"]
-    return split.select(F.xxhash64("region", "pivot").alias("region"), *columns).union(kept.select("region", *columns))
+    """The members of each region in the Voronoi regions of its pivots, replicated by windows; whole where that does not pay.
+
+    ``out`` is the distance to the first pivot where the region stays whole, else 0.
+    """
+    # A member has as many distances as its region has pivots.
+    to = F.collect_list(F.struct("d", "pivot")).alias("to")
+    out = F.max(F.when(F.col("first"), F.col("d"))).alias("out")
+    own = distances.groupBy("region", "cid", "n", "central").agg(to, F.min("d").alias("nearest"), out)
+    near = F.filter("to", lambda x: x["d"] <= F.col("nearest") + 2 * radius)
+    own = stored(own.select("region", "cid", "n", "central", "out", F.transform(near, lambda x: x["pivot"]).alias("near")), "jaccard-near")
+    parts = own.select("region", F.explode("near").alias("pivot")).groupBy("region", "pivot").agg(F.count("*").alias("part"))
+    parts = parts.groupBy("region").agg(F.sum("part").alias("copies"), F.max("part").alias("largest"))
+    members = own.groupBy("region").agg(F.count("*").alias("members"))
+    pays = (F.col("copies") <= 2 * F.col("members")) & (2 * F.col("largest") <= F.col("members"))
+    pays = parts.join(members, "region").select("region", "members", pays.alias("pays"))
+    told = salted_join(own, pays, "region", "members", F.xxhash64("cid"))
+    split = told.where("pays").select("cid", "n", "central", F.lit(0.0).alias("out"), F.lit(False).alias("whole"), "region", F.explode("near").alias("pivot"))
+    columns = ["cid", "n", "central", "out", "whole"]
+    split = split.select(F.xxhash64("region", "pivot").alias("region"), *columns)
+    return split.union(told.where("NOT pays").withColumn("whole", F.lit(True)).select("region", *columns))
 
 
 def _posted(classes: DataFrame, percent: int) -> tuple[DataFrame, DataFrame, DataFrame]:
@@ -245,61 +288,65 @@ def links(docs: DataFrame, sets: DataFrame, percent: int) -> DataFrame:
         return found.where(100 * F.col("both") >= percent * _union()).select("a", "b")
 
     found = None
-    if codes is not None:
-        # The likely original of a region first: near copies of it are connected by that alone.
-        around = regions.where((F.col("size") > LEAF) & (F.col("cid") != F.col("centre")))
-        star = around.select(F.col("cid").alias("a"), F.col("centre").alias("b")).distinct()
-        found = stored(linked(star, codes), "jaccard-links")
-        regions = stored(_labelled(regions.drop("size", "centre"), connected(found)), "jaccard-regions")
     large = regions.where(F.col("size") > DIRECT)
-    pairs = _met_pairs(regions.where(F.col("size") <= DIRECT), percent)
+    if not large.isEmpty():
+        rest = large.select("cid").distinct()
+        if codes is not None:
+            rest = rest.join(codes.select("cid"), "cid", "left_anti")
+        more = _whole(docs, sets, rest, percent)
+        found = _large_regions(large, more if codes is None else codes.union(more), percent)
+        regions = stored(_labelled(regions.where(F.col("size") <= DIRECT).drop("size", "centre"), connected(found)), "jaccard-regions")
+    pairs = _met_pairs(regions, percent)
     # Of the class whose end comes first, every covered shingle that the other has is one where the two
-    # meet; so they share at most those and what it does not cover. Regions not counted here void that.
-    ends = ends.join(large.select("cid", F.lit(True).alias("more")).distinct(), "cid", "left")
+    # meet; so they share at most those and what it does not cover. Two that also meet in a large region,
+    # which is not counted here, are settled: linked only if connected already.
     for side in ("a", "b"):
         pairs = pairs.join(ends.select(*(F.col(c).alias(side if c == "cid" else f"{c}_{side}") for c in ends.columns)), side)
     a_first = F.struct(F.col("w_a"), F.col("s_a")) <= F.struct(F.col("w_b"), F.col("s_b"))
     most = F.col("shared") + F.when(a_first, F.col("n_a") - F.col("covered_a")).otherwise(F.col("n_b") - F.col("covered_b"))
     possible = (100 + percent) * most >= percent * (F.col("n_a") + F.col("n_b"))
-    open_end = F.col("more_a").isNotNull() | F.col("more_b").isNotNull()
-    pairs = stored(pairs.where(possible | open_end).select("a", "b"), "jaccard-pairs")
-    wanted = pairs.select(F.col("a").alias("cid")).union(pairs.select("b")).union(large.select("cid")).distinct()
-    codes = _whole(docs, sets, wanted, percent)
-    more = linked(pairs, codes)
-    found = stored(more if found is None else found.union(more), "jaccard-links")
-    return _large_regions(large, codes, found, percent)
-
-
-def _large_regions(large: DataFrame, codes: DataFrame, found: DataFrame, percent: int) -> DataFrame:
-    """``found`` and the links within regions of more than DIRECT classes, by rounds of pivots."""
-    radius = 1 - percent / 100
+    pairs = stored(pairs.where(possible).select("a", "b"), "jaccard-pairs")
+    wanted = pairs.select(F.col("a").alias("cid")).union(pairs.select("b")).distinct()
+    close = _linked(compare(pairs, _whole(docs, sets, wanted, percent)), percent)
+    return stored(close if found is None else found.union(close), "jaccard-links")
+
+
+def _linked(compared: DataFrame, percent: int) -> DataFrame:
+    return compared.where(100 * F.col("both") >= percent * _union()).select("a", "b")
+
+
+def _large_regions(large: DataFrame, codes: DataFrame, percent: int) -> DataFrame:
+    """Links that connect all linked members of regions of more than DIRECT classes, by rounds of pivots.
+
+    A region that is split has parts of at most half its members, so rounds are few.
+    """
+    radius = 1 - percent / 100 + 1e-9  # rounding may not exclude a link
+    found = None
     rounds = 0
     while not large.isEmpty():
-        pick = F.pmod(F.xxhash64("cid", F.lit(rounds)), F.greatest(F.lit(16), F.ceil(F.col("size") / 64))) == 0
-        some = (F.col("cid") == F.col("centre")) | pick
-        pivots = large.where(some).select("region", F.col("cid").alias("pivot"), "size")
-        rest = large.where(~some).select("region", "cid", "n", "central")
-        met = salted_join(rest, pivots, "region", "size", F.xxhash64("cid")).select("region", "cid", "n", "central", "pivot")
-        met = stored(met, "jaccard-met")
+        pick = F.pmod(F.xxhash64("cid", F.lit(rounds)), F.greatest(F.lit(16), F.ceil(F.col("size") / PIVOTS))) == 0
+        first = F.col("cid") == F.col("centre")
+        pivots = large.where(first | pick).select("region", F.col("cid").alias("pivot"), first.alias("first"), "size")
+        rest = large.where(~(first | pick)).select("region", "cid", "n", "central")
+        met = salted_join(rest, pivots, "region", "size", F.xxhash64("cid")).select("region", "cid", "n", "central", "pivot", "first")
         # Pivots meet each other as well, as they leave the region together.
         both = pivots.join(pivots.select("region", F.col("pivot").alias("other")), "region").where("pivot < other")
         pairs = met.select(F.col("cid").alias("a"), F.col("pivot").alias("b")).union(both.select("pivot", "other")).distinct()
         measured = stored(compare(pairs, codes).withColumn("d", 1 - F.col("both") / _union()), "jaccard-measured")
-        found = stored(found.union(measured.where(100 * F.col("both") >= percent * _union()).select("a", "b")), "jaccard-links")
+        close = _linked(measured, percent)
+        found = stored(close if found is None else found.union(close), "jaccard-links")
         known = measured.select(F.col("a").alias("cid"), F.col("b").alias("pivot"), "d")
-        distances = met.join(known, ["cid", "pivot"])
-        left = _labelled(_split(distances, radius).dropDuplicates(["region", "cid"]), connected(found))
-        left = stored(left, "jaccard-regions")
-        pairs = stored(_met_pairs(left.where(F.col("size") <= DIRECT), percent).select("a", "b"), "jaccard-pairs")
-        close = compare(pairs, codes).where(100 * F.col("both") >= percent * _union()).select("a", "b")
-        found = stored(found.union(close), "jaccard-links")
-        large = left.where(F.col("size") > DIRECT)
+        left = stored(_labelled(_split(met.join(known, ["cid", "pivot"]), radius), connected(found)), "jaccard-regions")
+        direct = F.col("whole") | (F.col("size") <= DIRECT)
+        pairs = stored(_close_pairs(left.where(direct), codes, percent, radius), "jaccard-pairs")
+        found = stored(found.union(_linked(compare(pairs, codes), percent)), "jaccard-links")
+        large = left.where(~direct)
         rounds += 1
     return found
 
 
 def _whole(docs: DataFrame, sets: DataFrame, wanted: DataFrame, percent: int, broadcast_rows: int = 500_000) -> DataFrame:
-    """cid, codes of the wanted classes, with all shingles, made again from one document of each.
+    """cid, codes (all shingles) and sketch of the wanted classes, made again from one document of each.
 
     One document's id per class is broadcast if there are at most ``broadcast_rows`` (8 bytes
     each); otherwise the texts are joined by a shuffle. Classes of documents without an id come from all of those.
@@ -310,7 +357,8 @@ def _whole(docs: DataFrame, sets: DataFrame, wanted: DataFrame, percent: int, br
         ids = F.broadcast(ids)
     chosen = docs.select("doc_id", "text").join(ids.withColumnRenamed("doc_id", "_id"), F.col("doc_id").eqNullSafe(F.col("_id")), "left_semi")
     kind = docs.schema["doc_id"].dataType.simpleString()
-    made = _sets(chosen, f"doc_id {kind}, cid bigint, codes array<bigint>", percent, True).select("cid", "codes")
+    sketches = ", ".join(f"{name} bigint" for name in SKETCH)
+    made = _sets(chosen, f"doc_id {kind}, cid bigint, codes array<bigint>, {sketches}", percent, True).drop("doc_id")
     return stored(made.join(wanted.select("cid"), "cid", "left_semi").dropDuplicates(["cid"]), "jaccard-codes")
 
 

@@ -104,3 +104,33 @@ def test_hashes_do_not_depend_on_the_process():
     assert jaccard.shingles(b"a b", {}.__class__ and jaccard._WordHashes()).tolist() == jaccard.shingles(b"A\tb\n", jaccard._WordHashes()).tolist()
     assert len(jaccard.shingles(b"a b c d e f", jaccard._WordHashes())) == 2
     assert isinstance(jaccard.shingles(None, jaccard._WordHashes()), np.ndarray)
+
+
+def test_regions_of_a_few_dozen_take_pivots_before_direct_comparison(spark, monkeypatch):
+    """A group of 90 near copies, half of them too far from any other: neither all pairs nor a single pivot."""
+    measured, split = [], jaccard._split
+    monkeypatch.setattr(jaccard, "_split", lambda d, r: measured.append(d.select("pivot").distinct().count()) or split(d, r))
+    compared, compare = [], jaccard.compare
+    monkeypatch.setattr(jaccard, "compare", lambda pairs, codes: compared.append(pairs.count()) or compare(pairs, codes))
+    draw = random.Random(12)
+    base = [f"w{k}" for k in range(120)]
+    texts = []
+    for k in range(90):
+        text = list(base)
+        for at in draw.sample(range(120), 1 if k % 2 else 9):
+            text[at] = f"x{k}-{at}"
+        texts.append(" ".join(text))
+    rows = list(enumerate(texts))
+    assert run(spark, rows) == order(plain(rows))
+    assert measured and measured[0] > 1
+    assert sum(compared) < 90 * 89 / 2 / 2
+
+
+def test_sketches_never_differ_more_than_the_sets():
+    draw = np.random.default_rng(2)
+    for n in (1, 40, 700, 5_000):
+        a, b = (np.unique(draw.integers(-(2**62), 2**62, n)) for _ in "ab")
+        b = np.unique(np.concatenate([a[n // 10 :], b[: n // 10]]))
+        differ = sum(int(x).bit_count() for x in (jaccard.sketch(a) ^ jaccard.sketch(b)).view(np.uint64))
+        assert differ <= len(np.setxor1d(a, b))
+    assert jaccard.sketch(np.zeros(0, np.int64)).tolist() == [0] * len(jaccard.SKETCH)
