@@ -10,13 +10,17 @@ The average and the softmax are linear, so a word's part in a window's logit is
 looks that number up per word and slides a running sum over the whole text.
 
 Texts: null or without a word scores as an empty window, sigmoid(bias). Words are maximal runs of
-letters, digits and non-ASCII characters of the lower-cased text. Repeated rows score alike; a
+letters, digits and non-ASCII characters but blanks and punctuation of the lower-cased text; a run of more than PIECE bytes (text
+without blanks, as in Chinese or Thai) is cut into overlapping pieces, each a word. Repeated rows score alike; a
 null doc_id is scored and kept null. Without labels of both classes every score is the share of
 toxic labels (0 without any).
 """
 
 from __future__ import annotations
 
+import re
+import sys
+import unicodedata
 import zlib
 from array import array
 from dataclasses import dataclass
@@ -32,16 +36,37 @@ WORD_BYTES = bytes(
     c + 32 if 65 <= c <= 90 else c if c >= 128 or 48 <= c <= 57 or 97 <= c <= 122 else 32 for c in range(256)
 )
 
+#: Bytes of a word that is scored as one, and what neighbouring pieces of a longer one share.
+PIECE, OVERLAP = 64, 16
+#: Blanks and punctuation beyond ASCII: no-break spaces, dashes, quotation marks, full-width punctuation.
+SEPARATORS = re.compile("[" + "".join(c for c in map(chr, range(128, sys.maxunicode + 1)) if unicodedata.category(c)[0] in "ZP") + "]+")
+
 
 def words_of(text: bytes | None) -> list[bytes]:
     if not text:
         return []
-    return text.decode("utf-8", "replace").lower().encode("utf-8", "replace").translate(WORD_BYTES).split()
+    lower = text.decode("utf-8", "replace").lower()
+    if not lower.isascii():
+        lower = SEPARATORS.sub(" ", lower)
+    words = lower.encode("utf-8", "replace").translate(WORD_BYTES).split()
+    if not words or len(max(words, key=len)) <= PIECE:
+        return words
+    return [piece for word in words for piece in pieces(word)]
+
+
+def pieces(word: bytes) -> list[bytes]:
+    """The word, or if it is longer than PIECE bytes, pieces of at most that many that together hold all of it.
+
+    Neighbours share OVERLAP bytes, so that any n-gram of up to OVERLAP + 1 bytes lies in a piece.
+    """
+    if len(word) <= PIECE:
+        return [word]
+    return [word[i : i + PIECE] for i in range(0, len(word) - OVERLAP, PIECE - OVERLAP)]
 
 
 def subwords(word: bytes, buckets: int, least: int, most: int) -> list[int]:
-    """Buckets of the word and of its n-grams of ``least`` to ``most`` bytes; long words end at 64 bytes of n-grams."""
-    marked = b"<" + word[:64] + b">"
+    """Buckets of the word and of its n-grams of ``least`` to ``most`` bytes."""
+    marked = b"<" + word + b">"
     grams = [marked[i : i + n] for n in range(least, most + 1) for i in range(len(marked) - n + 1)]
     return [zlib.crc32(g) % buckets for g in (*grams, b"=" + word)]
 

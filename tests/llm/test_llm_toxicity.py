@@ -46,3 +46,32 @@ def test_odd_rows(odd, none, labels, by_doc):
     kept = toxicity.reject(odd, labels.where("doc_id < 0"))
     assert kept.columns == odd.columns and kept.count() == 10  # without labels nothing is toxic
     assert toxicity.judge(none, labels).count() == 0
+
+
+def test_text_without_blanks_is_scored_to_its_end():
+    rng = np.random.default_rng(6)
+    letters = [chr(c) for c in range(0x4E00, 0x4E60)]
+    texts, labels = [], []
+    for k in range(240):
+        text = "".join(rng.choice(letters, 120))
+        if k % 3 == 0:
+            at = int(rng.integers(30, 110))
+            text = text[:at] + "垃圾废物" + text[at:]
+        texts.append(text.encode())
+        labels.append(k % 3 == 0)
+    model = toxicity.fit(texts[:180], np.array(labels[:180], float))
+    scores = toxicity.score_texts(texts[180:], model, toxicity._WordLogits(model))
+    assert ((scores > 0.5) == np.array(labels[180:])).mean() > 0.9
+
+
+def test_every_gram_of_a_long_word_is_in_a_piece():
+    for n in (1, 64, 65, 112, 113, 500):
+        word = bytes(range(97, 123)) * 20
+        word = word[:n]
+        made = toxicity.pieces(word)
+        assert max(map(len, made)) <= toxicity.PIECE
+        assert {word[i : i + 7] for i in range(max(n - 6, 1))} <= {p[i : i + 7] for p in made for i in range(len(p))}
+
+
+def test_separators_beyond_ascii():
+    assert toxicity.words_of("You\u00a0are\u2014bad\uff01caf\u00e9 \u0e17\u0e35\u0e48".encode()) == [b"you", b"are", b"bad", "caf\u00e9".encode(), "\u0e17\u0e35\u0e48".encode()]
