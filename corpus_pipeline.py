@@ -28,7 +28,7 @@ def drop_near_copies(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataF
 
 
 def drop_benchmark(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    return decontamination.decontaminate(docs, table(spark, sf_dir, "benchmark", "item_id", "text"))
+    return decontamination.decontaminate(docs, table(spark, sf_dir, "benchmark", "item_id", "text"), short_items=True)
 
 
 def mask_personal_data(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:

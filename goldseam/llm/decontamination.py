@@ -16,7 +16,8 @@ windows salted. Documents' windows are never gathered, only matches are grouped,
 
 Null texts have no words and contain nothing. Documents without an id are looked at as one under the
 null id; repeated rows count as one document. Items of equal text are all reported. An empty benchmark
-matches nothing. Items shorter than the window are only found as whole documents.
+matches nothing. Items shorter than the window are only found as whole documents, as in the SQL; with
+``short_items`` documents also get windows of the lengths that such items have, and they are found inside longer documents.
 """
 
 from __future__ import annotations
@@ -61,34 +62,49 @@ def _placeholder(word: Column) -> Column:
     return (word >= NUMBER) & (word < AFTER)
 
 
-def windows(texts: DataFrame, key: str, window: int) -> DataFrame:
-    """key, n (windows of the text), at, hash, and slots: the values behind the window's placeholders (null without any)."""
+def windows(texts: DataFrame, key: str, window: int, short: list[int] | None = None) -> DataFrame:
+    """key, n (windows of the text), at, hash, and slots: the values behind the window's placeholders (null without any).
+
+    With ``short``, the windows of those numbers of words as well, for every text that has them.
+    """
     words = texts.select(F.col(key), words_of(F.col("text")).alias("words"))
     template = F.transform("words", lambda w: F.xxhash64(F.when(_placeholder(w), F.left(w, F.lit(1))).otherwise(w)))
     marked = words.withColumn("codes", template).withColumn("slotted", F.exists("words", _placeholder))
 
-    def at(i: Column) -> Column:
-        code = F.xxhash64(*(F.get("codes", i + k) for k in range(window)))
-        inside = F.filter(F.slice("words", i + 1, window), _placeholder)
+    def at(i: Column, length: int) -> Column:
+        missing = [F.lit(None).cast("bigint")] * (window - length)
+        code = F.xxhash64(*(F.get("codes", i + k) for k in range(length)), *missing)
+        inside = F.filter(F.slice("words", i + 1, length), _placeholder)
         slots = F.when(F.col("slotted"), F.when(F.size(inside) > 0, inside))
-        return F.struct(code.alias("hash"), slots.alias("slots"))
+        return F.struct(i.alias("at"), code.alias("hash"), slots.alias("slots"))
+
+    def of(length: int):
+        return lambda i: at(i, length)
 
     # A text of fewer words is one window; missing words hash as nulls, so lengths stay apart.
     n = F.greatest(F.size("words") - (window - 1), F.lit(1))
-    made = F.when(F.size("words") > 0, F.transform(F.sequence(F.lit(0), n - 1), at))
+    made = F.when(F.size("words") > 0, F.transform(F.sequence(F.lit(0), n - 1), of(window)))
+    for length in short or []:
+        # A text of just as many words has that window already.
+        some = F.transform(F.sequence(F.lit(0), F.size("words") - length), of(length))
+        made = F.when(F.size("words") > length, F.concat(made, some)).otherwise(made)
     # The outer form keeps the optimizer from computing all of the above once more to filter empty texts early.
-    exploded = marked.select(key, n.alias("n"), F.posexplode_outer(made).alias("at", "w")).where(F.col("w").isNotNull())
-    return exploded.select(key, "n", "at", F.col("w")["hash"].alias("hash"), F.col("w")["slots"].alias("slots"))
+    exploded = marked.select(key, n.alias("n"), F.explode_outer(made).alias("w")).where(F.col("w").isNotNull())
+    return exploded.select(key, "n", F.col("w")["at"].alias("at"), F.col("w")["hash"].alias("hash"), F.col("w")["slots"].alias("slots"))
 
 
 def contamination(
-    docs: DataFrame, items: DataFrame, window: int = 8, coverage: float = 0.5, broadcast_rows: int = 1_000_000
+    docs: DataFrame, items: DataFrame, window: int = 8, coverage: float = 0.5, broadcast_rows: int = 1_000_000, short_items: bool = False
 ) -> DataFrame:
     """doc_id, item_id, n_windows (of the item, covered), item_windows of every document that contains an item."""
     asked = windows(items.select("item_id", "text"), "item_id", window).select(
         "item_id", F.col("n").alias("item_windows"), F.col("at").alias("item_at"), "hash", F.col("slots").alias("item_slots")
     )
-    seen = windows(docs.select("doc_id", "text"), "doc_id", window).select("doc_id", "at", "hash", "slots")
+    short = []
+    if short_items:
+        n = F.size(words_of(F.col("text"))).alias("n")
+        short = sorted(r["n"] for r in items.select(n).where((F.col("n") > 0) & (F.col("n") < window)).distinct().collect())
+    seen = windows(docs.select("doc_id", "text"), "doc_id", window, short).select("doc_id", "at", "hash", "slots")
     if asked.limit(broadcast_rows + 1).count() <= broadcast_rows:
         hits = seen.join(F.broadcast(asked), "hash")
     else:

@@ -50,3 +50,12 @@ def test_odd_rows(odd, none, items):
 def test_no_python_on_the_executors(documents, items, plan):
     text = plan(dec.contamination(documents, items)) + plan(dec.decontaminate(documents, items))
     assert "Python" not in text and "Arrow" not in text and "Pandas" not in text
+
+
+@pytest.mark.parametrize("rows", [1_000_000, 0])
+def test_short_items_inside_longer_documents(spark, rows):
+    items = spark.createDataFrame([(0, "What is 12 times 7?"), (1, "Name the capital of France"), (2, "add 4 and 4")], "item_id int, text string")
+    texts = ["So we asked: what is 31 times 6? Nobody of us knew that.", "what is 3 times 4", "What is it, times 7", "now add 5 and 5 to all of the other ones", "now add 5 and 6 to all of the other ones"]
+    docs = spark.createDataFrame(list(enumerate(texts)), "doc_id int, text string")
+    found = {(r.doc_id, r.item_id) for r in dec.contamination(docs, items, broadcast_rows=rows, short_items=True).collect()}
+    assert found == {(0, 0), (1, 0), (3, 2)}
