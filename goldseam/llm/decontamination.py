@@ -15,7 +15,7 @@ bytes each); otherwise both sides are shuffled by the window's hash, the documen
 windows salted. Documents' windows are never gathered, only matches are grouped, by document and item.
 
 Null texts have no words and contain nothing. Documents without an id are looked at as one under the
-null id; repeated rows count as one document. Items of equal text are all reported. An empty benchmark
+null id by ``contamination``, as in the SQL; ``decontaminate`` judges every row by its own text; repeated rows count as one document. Items of equal text are all reported. An empty benchmark
 matches nothing. Items shorter than the window are only found as whole documents, as in the SQL; with
 ``short_items`` documents also get windows of the lengths that such items have, and they are found inside longer documents.
 """
@@ -126,9 +126,12 @@ def contamination(
 
 
 def decontaminate(docs: DataFrame, items: DataFrame, **options) -> DataFrame:
-    """``docs`` without those that contain an item, told by doc_id; rows without an id stay if no text of theirs matched."""
-    found = contamination(docs, items, **options).select(F.col("doc_id").alias("_found")).distinct()
-    return docs.join(found, docs["doc_id"].eqNullSafe(found["_found"]), "left_anti")
+    """``docs`` without the rows whose text contains an item. Rows are told apart by their text, never by an id that
+    other rows may share or lack."""
+    key = F.unhex(F.sha2("text", 256))  # null for a null text, which contains nothing
+    texts = docs.select(key.alias("doc_id"), "text")
+    found = contamination(texts, items, **options).select(F.col("doc_id").alias("_found")).distinct()
+    return docs.join(found, F.unhex(F.sha2(docs["text"], 256)) == found["_found"], "left_anti")
 
 
 def _sql_words(text: str) -> str:

@@ -59,3 +59,10 @@ def test_short_items_inside_longer_documents(spark, rows):
     docs = spark.createDataFrame(list(enumerate(texts)), "doc_id int, text string")
     found = {(r.doc_id, r.item_id) for r in dec.contamination(docs, items, broadcast_rows=rows, short_items=True).collect()}
     assert found == {(0, 0), (1, 0), (3, 2)}
+
+
+def test_rows_that_share_an_id_or_lack_one_are_judged_by_their_text(spark, items):
+    clean = "Nothing of the kind is written in this text of a few more words."
+    rows = [(None, TEXTS[0][1]), (None, clean), (None, TEXTS[1][1]), (None, None), (8, TEXTS[0][1]), (8, clean)]
+    kept = dec.decontaminate(spark.createDataFrame(rows, "doc_id bigint, text string"), items)
+    assert sorted(map(tuple, kept.collect()), key=str) == sorted([(None, clean), (None, None), (8, clean)], key=str)
