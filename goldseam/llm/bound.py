@@ -4,7 +4,7 @@ from __future__ import annotations
 
 import public_tokenizers
 
-from goldseam.llm import boosting, bpe, decontamination, jaccard, langid, licenses, outliers, pii, toxicity, warc
+from goldseam.llm import boosting, bpe, chat, decontamination, jaccard, langid, licenses, outliers, pii, toxicity, warc
 from goldseam.llm.common import table
 from goldseam.llm.registry import ORACLES, QUERIES, query
 from goldseam.session import scratch_path
@@ -89,3 +89,8 @@ def op9(spark, folder):
 @query("op10_toxicity")
 def op10(spark, folder):
     return toxicity.judge(documents(spark, folder), table(spark, folder, "labels", "doc_id", "toxic"))
+
+
+@query("op11_chat", chat.digests_sql())
+def op11(spark, folder):
+    return chat.digests(chat.with_probe(table(spark, folder, "conversations", "conv_id", "turn", "role", "text")))

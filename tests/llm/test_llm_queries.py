@@ -20,7 +20,7 @@ def test_agrees_with_sql(spark, name):
 
 def test_registered():
     names = __spark_entry__.queries()
-    assert {int(n[2:].split("_")[0]) for n in names if n.startswith("op")} == set(range(1, 11)) and "pipeline" in names
+    assert {int(n[2:].split("_")[0]) for n in names if n.startswith("op")} == set(range(1, 14)) and "pipeline" in names
 
 
 def test_pipeline(spark, documents):
