@@ -4,7 +4,7 @@ from __future__ import annotations
 
 import public_tokenizers
 
-from goldseam.llm import boosting, bpe, chat, decontamination, jaccard, langid, licenses, outliers, pii, toxicity, warc
+from goldseam.llm import boosting, bpe, chat, decontamination, jaccard, langid, licenses, negatives, outliers, pii, toxicity, warc
 from goldseam.llm.common import table
 from goldseam.llm.registry import ORACLES, QUERIES, query
 from goldseam.session import scratch_path
@@ -94,3 +94,8 @@ def op10(spark, folder):
 @query("op11_chat", chat.digests_sql())
 def op11(spark, folder):
     return chat.digests(chat.with_probe(table(spark, folder, "conversations", "conv_id", "turn", "role", "text")))
+
+
+@query("op12_negatives", negatives.SQL)
+def op12(spark, folder):
+    return negatives.mine(table(spark, folder, "embeddings", "vec_id", "label", "embedding"), relabel=negatives.shifted_label())
