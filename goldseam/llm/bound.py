@@ -4,7 +4,7 @@ from __future__ import annotations
 
 import public_tokenizers
 
-from goldseam.llm import boosting, bpe, chat, decontamination, jaccard, langid, licenses, negatives, outliers, pii, toxicity, warc
+from goldseam.llm import boosting, bpe, chat, crosstoken, decontamination, jaccard, langid, licenses, negatives, outliers, pii, toxicity, warc
 from goldseam.llm.common import table
 from goldseam.llm.registry import ORACLES, QUERIES, query
 from goldseam.session import scratch_path
@@ -12,6 +12,7 @@ from goldseam.session import scratch_path
 __all__ = ["ORACLES", "QUERIES"]
 
 VOCABULARY = "word_bpe_49k.json"
+ALIGNED = ("byte_bpe_50k.tiktoken", "byte_bpe_50k.json", "piece_bpe_32k.model")
 
 
 def documents(spark, folder, *more):
@@ -99,3 +100,8 @@ def op11(spark, folder):
 @query("op12_negatives", negatives.SQL)
 def op12(spark, folder):
     return negatives.mine(table(spark, folder, "embeddings", "vec_id", "label", "embedding"), relabel=negatives.shifted_label())
+
+
+@query("op13_crosstoken")
+def op13(spark, folder):
+    return crosstoken.statistics(documents(spark, folder), tuple(map(public_tokenizers.path, ALIGNED)))
