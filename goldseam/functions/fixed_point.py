@@ -1,9 +1,12 @@
 """Exact sums, means and percentages.
 
 A sum of doubles depends on the order in which tasks deliver their parts, so a mean that
-lies on a rounding tie can change from run to run. Sums here are DECIMALs with DECIMALS decimals and
-room for 10^28: no row is rounded, the result is rounded once, and any order of rows gives the
-same. An overflow raises under ANSI mode; it never wraps.
+lies on a rounding tie can change from run to run. Sums here count whole units of the last decimal: ``decimals``
+of them, ten unless a caller says otherwise. A number's decimals are those of its first 15 digits; what lies beyond ``decimals`` is
+rounded half up, row by row, and ``finer_than`` counts such rows. The result is rounded once, and any order of rows gives the same.
+
+Rows add up as four BIGINTs (``limbs``), which meet in one DECIMAL per group: that costs about half of a DECIMAL sum. Each limb has room
+for 9 * 10^12 rows of one group.
 """
 
 from __future__ import annotations
@@ -13,7 +16,6 @@ from pyspark.sql import functions as F
 
 
 DECIMALS = 10
-EXACT = f"decimal(38,{DECIMALS})"
 WIDE = "decimal(38,0)"
 
 
@@ -26,15 +28,75 @@ def plain_zero(value: Column) -> Column:
     return value + F.lit(0.0)
 
 
-def exact(value: Column | str) -> Column:
-    """A number for an exact sum: all of its decimals up to DECIMALS, in 128 bits.
+#: Digits of a double that are sure to be those it was written with.
+SURE = 15
+BASES = ("whole_high", "whole_low", "part_high", "part_low")
+
+
+def exact(value: Column | str, decimals: int = DECIMALS) -> Column:
+    """A number with all of its decimals up to ``decimals``, in 128 bits.
 
     NaN and infinity have no such value and stop the job; cleaning turns them into NULL and counts them.
     """
     number = as_column(value)
-    wide = number.cast("double")
-    odd = F.isnan(wide) | (F.abs(wide) == F.lit(float("inf")))
-    return F.when(odd, F.raise_error(F.lit("NaN and infinity have no fixed-point value"))).otherwise(number.cast(EXACT))
+    return F.when(_odd(number), _refused()).otherwise(number.cast(f"decimal(38,{decimals})"))
+
+
+def _odd(number: Column) -> Column:
+    # NaN is larger than any number here.
+    return F.abs(number.cast("double")) >= F.lit(float("inf"))
+
+
+def _refused() -> Column:
+    return F.raise_error(F.lit("NaN and infinity, and numbers from 10^18 on, have no fixed-point value"))
+
+
+def _div(a: Column, b: Column | int) -> Column:
+    return F.call_function("div", a, b if isinstance(b, Column) else F.lit(b))
+
+
+def limbs(value: Column | str, decimals: int = DECIMALS) -> dict[str, Column]:
+    """A number below 10^18 as four BIGINTs, to be summed one by one and read by ``from_limbs``.
+
+    The whole part and the part after the point, each cut in two so that sums of them cannot
+    overflow. DECIMALs and whole numbers are taken digit by digit, doubles by their first 15 digits.
+    """
+    if not 0 <= decimals <= SURE:
+        raise ValueError(f"decimals must be 0 to {SURE}: {decimals}")
+    number = as_column(value)
+    size = F.abs(number.cast("double"))
+    # Decimals that a number of this size can be sure of, as a power of ten.
+    step = F.when(size >= 1e18, _refused().cast("bigint")).when(size < 10.0 ** (SURE - decimals), F.lit(10**decimals))
+    for sure in range(decimals - 1, 0, -1):
+        step = step.when(size < 10.0 ** (SURE - sure), F.lit(10**sure))
+    step = step.otherwise(F.lit(1))
+    units = (size * step + F.lit(0.5)).cast("bigint")
+    floating = F.typeof(number).isin("double", "float")
+    digits = F.abs(number.cast(f"decimal(38,{decimals})"))
+    whole = F.when(floating, _div(units, step)).otherwise(F.floor(digits).cast("bigint"))
+    finer = (units - _div(units, step) * step) * _div(F.lit(10**decimals), step)
+    part = F.when(floating, finer).otherwise(((digits - F.floor(digits)) * F.lit(10**decimals)).cast("bigint"))
+    sign = F.when(size >= 1e18, _refused().cast("int")).when(number < 0, F.lit(-1)).otherwise(F.lit(1))
+    half = 10 ** (decimals // 2)
+    cut = {"whole_high": _div(whole, 10**6), "whole_low": whole % 10**6, "part_high": _div(part, half), "part_low": part % half}
+    return {name: sign * limb for name, limb in cut.items()}
+
+
+def from_limbs(sums: dict[str, Column], decimals: int = DECIMALS) -> Column:
+    """The number whose limbs add up to ``sums``, as DECIMAL(38, decimals)."""
+    high, low, fine, finest = (sums[name].cast(WIDE) for name in BASES)
+    part = (fine * F.lit(10 ** (decimals // 2)).cast("decimal(8,0)") + finest).cast(WIDE)
+    carried = _div(part, F.lit(10**decimals).cast("decimal(16,0)"))
+    rest = (part - carried * F.lit(10**decimals).cast("decimal(16,0)")).cast(f"decimal({decimals + 1},0)")
+    whole = (high * F.lit(10**6).cast("decimal(7,0)") + low + carried).cast(f"decimal({37 - decimals},0)")
+    # Types are chosen so that no step has to give up decimals.
+    point = F.lit(f"1e-{decimals}").cast(f"decimal({decimals + 1},{decimals})")
+    return (whole.cast(f"decimal(37,{decimals})") + (rest * point).cast(f"decimal({2 * decimals + 2},{decimals})")).cast(f"decimal(38,{decimals})")
+
+
+def exact_total(value: Column | str, decimals: int = DECIMALS) -> Column:
+    """Aggregate: the exact sum, not yet rounded, as DECIMAL(38, decimals)."""
+    return from_limbs({name: F.sum(limb) for name, limb in limbs(value, decimals).items()}, decimals)
 
 
 def finer_than(value: Column | str, digits: int = DECIMALS) -> Column:
@@ -55,12 +117,12 @@ def rounded(total: Column, digits: int = 2) -> Column:
 
 def exact_sum(value: Column | str, digits: int = 2) -> Column:
     """Aggregate: the exact sum, rounded half up to ``digits``."""
-    return rounded(F.sum(exact(value)), digits)
+    return rounded(exact_total(value), digits)
 
 
 def exact_mean(value: Column | str, digits: int = 2) -> Column:
     """Aggregate: the mean, rounded half up to ``digits``."""
-    return mean_of(F.sum(exact(value)), F.count(as_column(value)), digits)
+    return mean_of(exact_total(value), F.count(as_column(value)), digits)
 
 
 def mean_of(total: Column, count: Column, digits: int = 2) -> Column:

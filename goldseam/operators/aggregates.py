@@ -8,6 +8,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from goldseam.functions.fixed_point import as_column, exact_mean, exact_sum, percent
+from goldseam.operators.measures import Dimension, Measure, combine_after_joins
 
 
 def rows() -> Column:
@@ -37,11 +38,20 @@ def total(value: Column | str, digits: int = 2, exact: bool = False) -> Column:
 def kpi(
     df: DataFrame,
     keys: Sequence[str],
-    metrics: Mapping[str, Column],
+    metrics: Mapping[str, Column | Measure],
     percentages: Mapping[str, tuple[str, str]] | None = None,
+    dimensions: Sequence[Dimension] = (),
 ) -> DataFrame:
-    """Grouped measures {name: aggregate}, then {name: (part, total)} as percentages of them."""
-    measured = df.groupBy(*keys).agg(*(metric.alias(name) for name, metric in metrics.items()))
+    """Grouped measures {name: aggregate}, then {name: (part, total)} as percentages of them.
+
+    With ``dimensions``, keys may be columns of theirs, and all metrics are measures in parts: the
+    rows are aggregated before they are joined.
+    """
+    if dimensions:
+        measured = combine_after_joins(df, dimensions, keys, metrics)
+    else:
+        plain = {name: metric.of_rows() if isinstance(metric, Measure) else metric for name, metric in metrics.items()}
+        measured = df.groupBy(*keys).agg(*(metric.alias(name) for name, metric in plain.items()))
     shares = {name: percent(F.col(a), F.col(b)) for name, (a, b) in (percentages or {}).items()}
     return measured.withColumns(shares) if shares else measured
 

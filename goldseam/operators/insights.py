@@ -10,7 +10,7 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from goldseam.functions.dates import month_label
-from goldseam.functions.fixed_point import WIDE, exact, exact_mean, exact_sum, percent, rounded, units_of
+from goldseam.functions.fixed_point import WIDE, exact_mean, exact_sum, exact_total, percent, rounded, units_of
 from goldseam.functions.scores import HIGH, MIDDLE
 from goldseam.operators.aggregates import (
     count_by,
@@ -55,7 +55,7 @@ def claims_per_hour(df: DataFrame, hour: str = "incident_hour") -> DataFrame:
 
 def top_makes(df: DataFrame, make: str = "auto_make", amount: str = "claim_total", k: int = 5) -> DataFrame:
     """The k makes with the largest loss, and their share of the loss of these k."""
-    best = top_groups(df, make, F.sum(exact(amount)), k, "loss")
+    best = top_groups(df, make, exact_total(amount), k, "loss")
     # k rows at most reach this window.
     units = units_of(F.col("loss"))
     pct = percent(units, F.sum(units).over(Window.partitionBy()), kind=WIDE)

@@ -7,8 +7,8 @@ from collections.abc import Mapping
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from goldseam.operators.aggregates import count_where, kpi, mean, present, total
-from goldseam.operators.joins import enrich
+from goldseam.operators import measures as ms
+from goldseam.operators.aggregates import kpi
 from goldseam.operators.quality import key_report
 from goldseam.operators.shaping import conform, dedupe, not_null, valid_range
 from goldseam.sources.readers import read_csv
@@ -111,35 +111,37 @@ def _with_month(df: DataFrame) -> DataFrame:
 
 def punctuality(flights: DataFrame, airports: DataFrame, aircraft: DataFrame) -> DataFrame:
     """Flights by state, mean duration and punctuality per aircraft model, origin country and month."""
-    placed = enrich(flights, airports, {"origen_id": "aeropuerto_id"}, {"origen_pais": "pais"})
-    known = enrich(placed, aircraft, {"aeronave_id": "aeronave_id"}, ["modelo", "fabricante"])
     return kpi(
-        _with_month(known),
+        _with_month(flights),
         ["modelo", "fabricante", "origen_pais", "mes", "anio"],
         {
-            "total_vuelos": present("vuelo_id"),
-            "vuelos_a_tiempo": count_where(F.col("estado") == ON_TIME),
-            "vuelos_retrasados": count_where(F.col("estado") == DELAYED),
-            "vuelos_cancelados": count_where(F.col("estado") == CANCELLED),
-            "duracion_promedio_min": mean("duracion_min", 2, exact=True),
+            "total_vuelos": ms.count_present("vuelo_id"),
+            "vuelos_a_tiempo": ms.count_where(F.col("estado") == ON_TIME),
+            "vuelos_retrasados": ms.count_where(F.col("estado") == DELAYED),
+            "vuelos_cancelados": ms.count_where(F.col("estado") == CANCELLED),
+            "duracion_promedio_min": ms.mean("duracion_min"),
         },
         {"puntualidad_pct": ("vuelos_a_tiempo", "total_vuelos")},
+        [
+            ms.Dimension(airports, {"origen_id": "aeropuerto_id"}, {"origen_pais": "pais"}),
+            ms.Dimension(aircraft, {"aeronave_id": "aeronave_id"}, ["modelo", "fabricante"]),
+        ],
     )
 
 
 def maintenance_cost(maintenance: DataFrame, aircraft: DataFrame) -> DataFrame:
     """Jobs, cost and hours per aircraft, kind of job and month."""
-    known = enrich(maintenance, aircraft, {"aeronave_id": "aeronave_id"}, ["modelo", "fabricante"])
     return kpi(
-        _with_month(known),
+        _with_month(maintenance),
         ["aeronave_id", "modelo", "fabricante", "tipo", "mes", "anio"],
         {
-            "total_mantenimientos": present("mantenimiento_id"),
-            "costo_promedio_usd": mean("costo_usd", 2, exact=True),
-            "costo_total_usd": total("costo_usd", 2, exact=True),
-            "duracion_promedio_hr": mean("duracion_hr"),
-            "duracion_total_hr": total("duracion_hr"),
+            "total_mantenimientos": ms.count_present("mantenimiento_id"),
+            "costo_promedio_usd": ms.mean("costo_usd"),
+            "costo_total_usd": ms.total("costo_usd"),
+            "duracion_promedio_hr": ms.mean("duracion_hr"),
+            "duracion_total_hr": ms.total("duracion_hr"),
         },
+        dimensions=[ms.Dimension(aircraft, {"aeronave_id": "aeronave_id"}, ["modelo", "fabricante"])],
     )
 
 

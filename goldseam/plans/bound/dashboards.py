@@ -236,8 +236,7 @@ def _sql_decided(decision: str) -> str:
         {sql_pct(_sql_decided("INVESTIGAR"), "count(*)")} AS to_investigate_pct, count(damage_label) AS predicted,
         {sql_pct("count(damage_label)", "count(*)")} AS predicted_pct, {sql_mean("damage_score", 4)} AS mean_score,
         {sql_sum("claim_total")} AS total_amount,
-        CAST(sum(CAST(round(claim_total * 100) AS BIGINT)) FILTER (WHERE decision_final = 'INVESTIGAR') AS DOUBLE) / 100
-            AS amount_at_risk
+        {sql_sum("CASE WHEN decision_final = 'INVESTIGAR' THEN claim_total END")} AS amount_at_risk
     FROM judged"""
 )
 def bi_executive_kpis(t: Tables) -> DataFrame:

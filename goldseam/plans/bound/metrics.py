@@ -9,7 +9,8 @@ from pyspark.sql import functions as F
 
 from goldseam.functions.scores import confidence_tier
 from goldseam.operators import aggregates as agg
-from goldseam.operators.aggregates import count_where, kpi, mean, overview, present, rows, total
+from goldseam.operators import measures as ms
+from goldseam.operators.aggregates import kpi, mean, overview, present, rows, total
 from goldseam.operators.joins import enrich
 from goldseam.plans import sales
 from goldseam.plans.bound.registry import Tables, query, sql_mean, sql_pct, sql_sum, sql_units
@@ -29,19 +30,19 @@ from goldseam.plans.bound.registry import Tables, query, sql_mean, sql_pct, sql_
 def kpi_punctuality(t: Tables) -> DataFrame:
     """Orders by state, mean price and share finished per nation, segment and month."""
     placed = enrich(t.customer, t.nation, {"c_nationkey": "n_nationkey"}, ["n_name"])
-    known = enrich(t.orders, placed, {"o_custkey": "c_custkey"}, ["n_name", "c_mktsegment"])
     status = F.col("o_orderstatus")
     return kpi(
-        known.withColumns({"order_month": F.month("o_orderdate"), "order_year": F.year("o_orderdate")}),
+        t.orders.withColumns({"order_month": F.month("o_orderdate"), "order_year": F.year("o_orderdate")}),
         ["n_name", "c_mktsegment", "order_month", "order_year"],
         {
-            "total_orders": present("o_orderkey"),
-            "finished": count_where(status == "F"),
-            "open": count_where(status == "O"),
-            "pending": count_where(status == "P"),
-            "mean_price": mean("o_totalprice", 2, exact=True),
+            "total_orders": ms.count_present("o_orderkey"),
+            "finished": ms.count_where(status == "F"),
+            "open": ms.count_where(status == "O"),
+            "pending": ms.count_where(status == "P"),
+            "mean_price": ms.mean("o_totalprice"),
         },
         {"finished_pct": ("finished", "total_orders")},
+        [ms.Dimension(placed, {"o_custkey": "c_custkey"}, ["n_name", "c_mktsegment"])],
     )
 
 
@@ -57,18 +58,20 @@ def kpi_punctuality(t: Tables) -> DataFrame:
 )
 def kpi_maintenance(t: Tables) -> DataFrame:
     """Jobs, cost and hours per supplier, part kind and month."""
-    supplied = enrich(t.lineitem, t.supplier, {"l_suppkey": "s_suppkey"}, ["s_nationkey"])
-    known = enrich(supplied, t.part, {"l_partkey": "p_partkey"}, ["p_brand", "p_type"])
     return kpi(
-        known.withColumns({"ship_month": F.month("l_shipdate"), "ship_year": F.year("l_shipdate")}),
+        t.lineitem.withColumns({"ship_month": F.month("l_shipdate"), "ship_year": F.year("l_shipdate")}),
         ["l_suppkey", "s_nationkey", "p_brand", "p_type", "ship_month", "ship_year"],
         {
-            "total_jobs": present("l_orderkey"),
-            "mean_cost": mean("l_extendedprice", 2, exact=True),
-            "total_cost": total("l_extendedprice", 2, exact=True),
-            "mean_hours": mean("l_quantity", 2, exact=True),
-            "total_hours": total("l_quantity", 0, exact=True),
+            "total_jobs": ms.count_present("l_orderkey"),
+            "mean_cost": ms.mean("l_extendedprice"),
+            "total_cost": ms.total("l_extendedprice"),
+            "mean_hours": ms.mean("l_quantity"),
+            "total_hours": ms.total("l_quantity", 0),
         },
+        dimensions=[
+            ms.Dimension(t.supplier, {"l_suppkey": "s_suppkey"}, ["s_nationkey"]),
+            ms.Dimension(t.part, {"l_partkey": "p_partkey"}, ["p_brand", "p_type"]),
+        ],
     )
 
 

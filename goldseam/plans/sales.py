@@ -8,7 +8,7 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from goldseam.functions.dates import month_start
-from goldseam.functions.fixed_point import exact, exact_sum, mean_of, rounded
+from goldseam.functions.fixed_point import exact_sum, exact_total, mean_of, rounded
 from goldseam.operators.joins import enrich
 from goldseam.operators.shaping import conform, filter_by
 
@@ -61,7 +61,7 @@ def sales_by_dim(df: DataFrame, dim: DataFrame, on: tuple[str, str], key: str, u
     join, and a hot key arrives as one row per map task.
     """
     fact_key, dim_key = on
-    per_key = df.groupBy(fact_key).agg(F.sum(units).alias("_units"), F.sum(exact(total)).alias("_total"))
+    per_key = df.groupBy(fact_key).agg(F.sum(units).alias("_units"), exact_total(total).alias("_total"))
     named = enrich(per_key, dim, {fact_key: dim_key}, [key])
     sums = named.groupBy(key).agg(
         F.sum("_units").alias("total_units"), rounded(F.sum("_total")).alias("total_sales_amount")
@@ -91,14 +91,13 @@ def monthly_sales(
     def bound(value: datetime) -> Column:
         return F.lit(value).cast(dict(sales.dtypes)[day])
 
-    amount = exact(F.col(units) * F.col(price))
     summed = (
         sales.filter(F.col(day).between(bound(since), bound(until)))
         .groupBy(month_start(day).alias("mes"), product)
         .agg(
             F.sum(units).alias("_units"),
-            F.sum(amount).alias("_amount"),
-            F.sum(exact(price)).alias("_price"),
+            exact_total(F.col(units) * F.col(price)).alias("_amount"),
+            exact_total(price).alias("_price"),
             F.count(price).alias("_n"),
         )
     )
