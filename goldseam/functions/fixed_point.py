@@ -59,27 +59,20 @@ def limbs(value: Column | str, decimals: int = DECIMALS) -> dict[str, Column]:
     """A number below 10^18 as four BIGINTs, to be summed one by one and read by ``from_limbs``.
 
     The whole part and the part after the point, each cut in two so that sums of them cannot
-    overflow. DECIMALs and whole numbers are taken digit by digit, doubles by their first 15 digits.
+    overflow; a part may be a whole one, which the sum carries. This is for doubles, by their first 15 digits: Spark's own sums of
+    DECIMALs and whole numbers are exact.
     """
     if not 0 <= decimals <= SURE:
         raise ValueError(f"decimals must be 0 to {SURE}: {decimals}")
-    number = as_column(value)
-    size = F.abs(number.cast("double"))
-    # Decimals that a number of this size can be sure of, as a power of ten.
-    step = F.when(size >= 1e18, _refused().cast("bigint")).when(size < 10.0 ** (SURE - decimals), F.lit(10**decimals))
-    for sure in range(decimals - 1, 0, -1):
-        step = step.when(size < 10.0 ** (SURE - sure), F.lit(10**sure))
-    step = step.otherwise(F.lit(1))
-    units = (size * step + F.lit(0.5)).cast("bigint")
-    floating = F.typeof(number).isin("double", "float")
-    digits = F.abs(number.cast(f"decimal(38,{decimals})"))
-    whole = F.when(floating, _div(units, step)).otherwise(F.floor(digits).cast("bigint"))
-    finer = (units - _div(units, step) * step) * _div(F.lit(10**decimals), step)
-    part = F.when(floating, finer).otherwise(((digits - F.floor(digits)) * F.lit(10**decimals)).cast("bigint"))
-    sign = F.when(size >= 1e18, _refused().cast("int")).when(number < 0, F.lit(-1)).otherwise(F.lit(1))
+    number = as_column(value).cast("double")
+    given = F.when(F.abs(number) >= 1e18, _refused().cast("double")).otherwise(number)
+    # The whole part and what is left are exact. The rest is read to as many decimals as a number of this size is sure of.
+    whole = given.cast("bigint")
+    digits = F.ceil(F.log10(F.abs(given) + 1.0))
+    step = F.pow(F.lit(10.0), F.greatest(F.lit(0), F.least(F.lit(decimals), SURE - digits)))
+    rest = F.floor((given - whole) * step + 0.5) * (10.0**decimals / step).cast("bigint")
     half = 10 ** (decimals // 2)
-    cut = {"whole_high": _div(whole, 10**6), "whole_low": whole % 10**6, "part_high": _div(part, half), "part_low": part % half}
-    return {name: sign * limb for name, limb in cut.items()}
+    return {"whole_high": _div(whole, 10**6), "whole_low": whole % 10**6, "part_high": _div(rest, half), "part_low": rest % half}
 
 
 def from_limbs(sums: dict[str, Column], decimals: int = DECIMALS) -> Column:
