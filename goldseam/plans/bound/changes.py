@@ -6,7 +6,9 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from goldseam.operators import changes
-from goldseam.plans.bound.registry import Tables, query
+from goldseam.plans.bound.registry import SCHEMAS, Tables, query
+from goldseam.session import scratch_path
+from goldseam.sources.files import change_files, read_current
 
 
 @query(
@@ -55,6 +57,39 @@ def delete_orders(t: Tables) -> DataFrame:
     return changes.delete_where(t.orders, (F.col("o_orderstatus") == "F") & (F.col("o_totalprice") < 100000))
 
 
+def _stored_orders(t: Tables) -> str:
+    """A copy of the orders, a folder per priority and several files in each."""
+    path = scratch_path(t.spark, "orders")
+    t.orders.repartition(4, "o_orderstatus").write.partitionBy("o_orderpriority").parquet(path)
+    return path
+
+
+@query("SELECT * FROM orders WHERE NOT (o_orderpriority = '2-HIGH' AND o_orderstatus = 'F' AND o_totalprice < 100000)")
+def delete_stored_orders(t: Tables) -> DataFrame:
+    """Deletes from a stored, partitioned copy: only files with such rows are written again."""
+    path = _stored_orders(t)
+    gone = (F.col("o_orderpriority") == "2-HIGH") & (F.col("o_orderstatus") == "F") & (F.col("o_totalprice") < 100000)
+    change_files(t.spark, path, gone, lambda df: changes.delete_where(df, gone), ["o_orderpriority"])
+    return read_current(t.spark, path, SCHEMAS["orders"])
+
+
+@query(
+    """
+    SELECT o_orderkey, o_custkey, o_orderstatus, CASE WHEN o_custkey % 50 = 0 THEN o_totalprice * 2 ELSE o_totalprice END AS o_totalprice,
+           o_orderdate, CASE WHEN o_custkey % 50 = 0 THEN '1-URGENT' ELSE o_orderpriority END AS o_orderpriority
+    FROM orders
+    """
+)
+def update_stored_orders(t: Tables) -> DataFrame:
+    """Updates rows of a stored copy, which moves them to another partition; asked for twice under one id."""
+    path = _stored_orders(t)
+    hit = F.col("o_custkey") % 50 == 0
+    sets = {"o_totalprice": F.col("o_totalprice") * 2, "o_orderpriority": F.lit("1-URGENT")}
+    for _ in range(2):
+        change_files(t.spark, path, hit, lambda df: changes.update_where(df, hit, sets), ["o_orderpriority"], "double")
+    return read_current(t.spark, path, SCHEMAS["orders"])
+
+
 def _log(t: Tables) -> DataFrame:
     """Events as the change log of a table of users; an error deletes the user's row."""
     return t.events.select(

@@ -45,25 +45,32 @@ def rewrite_table(spark: SparkSession, name: str, change: Callable[[DataFrame],
 
     The next state is written in full beside the table first, so a job that fails until then leaves the
     table as it was. A plain table then steps aside, the next state takes its name, and only then the old one is dropped.
-    A partitioned one is overwritten from the stored next state, in its own format and partitions. A job that
-    dies in this last step leaves a whole state under another name, and the next call begins by taking it.
+    A partitioned one is overwritten from the stored next state, in its own format and partitions.
+
+    A job that dies in this last step leaves whole states under other names. If the change was decided by then, the next call
+    finishes it and ends there, without changing anything once more; otherwise it starts from the old state.
     """
-    staged, aside = f"{name}__next", f"{name}__old"
-    if not spark.catalog.tableExists(name) and spark.catalog.tableExists(aside):
+    staged, ready, aside = f"{name}__next", f"{name}__ready", f"{name}__old"
+    exists = spark.catalog.tableExists
+
+    def overwrite() -> int:
+        # Renaming would leave a partitioned table's partitions where they were.
+        spark.table(ready).select(*spark.table(name).columns).write.mode("overwrite").insertInto(name)
+        spark.sql(f"DROP TABLE {ready}")
+        return spark.table(name).count()
+
+    if exists(ready):
+        return overwrite()
+    if exists(aside):
+        if exists(name):
+            spark.sql(f"DROP TABLE {aside}")
+            return spark.table(name).count()
         spark.sql(f"ALTER TABLE {aside} RENAME TO {name}")
-    spark.sql(f"DROP TABLE IF EXISTS {aside}")
     described = {row["col_name"]: row["data_type"] for row in spark.sql(f"DESCRIBE TABLE EXTENDED {name}").collect()}
     partitioned = any(column.isPartition for column in spark.catalog.listColumns(name))
-
-    def overwrite() -> None:
-        # Renaming would leave a partitioned table's partitions where they were.
-        spark.table(staged).select(*spark.table(name).columns).write.mode("overwrite").insertInto(name)
-        spark.sql(f"DROP TABLE {staged}")
-
-    if partitioned and spark.catalog.tableExists(staged):
-        overwrite()
     rows = write_layer(change(spark.table(name)), staged, described["Provider"].lower())
     if partitioned:
+        spark.sql(f"ALTER TABLE {staged} RENAME TO {ready}")
         overwrite()
     else:
         spark.sql(f"ALTER TABLE {name} RENAME TO {aside}")

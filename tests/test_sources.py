@@ -131,8 +131,13 @@ def test_rewrite_keeps_format_and_partitions(spark, frame, values):
     described = {r["col_name"]: r["data_type"] for r in spark.sql("DESCRIBE TABLE EXTENDED layers.split").collect()}
     assert described["Provider"].lower() == "orc"
     assert values(spark.table("layers.split")) == [(1, "x"), (3, "y")]
-    # A job that died while overwriting: the next call takes the whole state it had stored.
-    sinks.write_layer(frame([(5, "z"), (6, "z")], "k INT, part STRING"), "layers.split__next")
+    # A job that died before the next state was whole: it is dropped.
+    sinks.write_layer(frame([(7, "w")], "k INT, part STRING"), "layers.split__next")
+    assert sinks.rewrite_table(spark, "layers.split", lambda df: df.withColumn("k", df["k"] + 1)) == 2
+    assert values(spark.table("layers.split")) == [(2, "x"), (4, "y")]
+    # A job that died while overwriting: the next call takes the whole state it had stored, and ends there.
+    sinks.write_layer(frame([(5, "z"), (6, "z")], "k INT, part STRING"), "layers.split__ready")
+    assert sinks.rewrite_table(spark, "layers.split", lambda df: df.filter("k <> 6")) == 2
     assert sinks.rewrite_table(spark, "layers.split", lambda df: df.filter("k <> 6")) == 1
     assert values(spark.table("layers.split")) == [(5, "z")]
 
