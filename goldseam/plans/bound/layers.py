@@ -2,15 +2,20 @@
 
 from __future__ import annotations
 
+import functools
+
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from goldseam.functions.dates import BIRTH_DATE_FORMATS, parse_dates
 from goldseam.functions.text import file_extension, leading_token, name_part, path_leaf
 from goldseam.operators.aggregates import count_by
+from goldseam.operators.rejects import MALFORMED, Checks, judge, present, quarantine, rejection_report, within
 from goldseam.operators.shaping import dedupe, not_blank
 from goldseam.plans import airline, claims
 from goldseam.plans.bound.registry import Tables, query
+from goldseam.session import scratch_path
+from goldseam.sources.readers import CORRUPT, read_csv_kept
 
 PRIORITIES = ("1-URGENT", "2-HIGH", "3-MEDIUM", "4-NOT SPECIFIED", "5-LOW")
 SEGMENTS = ("AUTOMOBILE", "BUILDING", "FURNITURE", "HOUSEHOLD", "MACHINERY")
@@ -240,45 +245,39 @@ def silver_customers(t: Tables) -> DataFrame:
     return claims.silver_customers(raw).drop("borough", "neighborhood", "zip_code")
 
 
-@query(
-    """
-    SELECT * FROM (
-        SELECT o_orderkey AS POLICY_NO, o_custkey AS CUST_ID, round(o_totalprice - 50000, 2) AS PREMIUM,
-            CAST(o_orderdate AS DATE) AS POL_EFF_DATE,
-            CASE WHEN o_orderstatus <> 'P' OR o_orderpriority <> '5-LOW' THEN CAST(o_orderdate AS DATE)
-                + CASE WHEN o_orderpriority = '1-URGENT' THEN -5 ELSE 365 END END AS POL_EXPIRY_DATE FROM orders)
-    WHERE PREMIUM >= 0 AND POL_EFF_DATE <= POL_EXPIRY_DATE
-    """
-)
-def silver_policies(t: Tables) -> DataFrame:
+def _raw_policies(t: Tables) -> DataFrame:
     """Orders as raw policies: negative premiums, ends before the start, malformed ends."""
     day = F.col("o_orderdate").cast("date")
     end = F.date_add(day, F.when(F.col("o_orderpriority") == "1-URGENT", -5).otherwise(365)).cast("string")
     malformed = (F.col("o_orderstatus") == "P") & (F.col("o_orderpriority") == "5-LOW")
-    raw = t.orders.select(
+    return t.orders.select(
         F.col("o_orderkey").alias("POLICY_NO"),
         F.col("o_custkey").alias("CUST_ID"),
         F.round(F.col("o_totalprice") - 50000, 2).cast("string").alias("PREMIUM"),
         day.cast("string").alias("POL_EFF_DATE"),
         F.when(malformed, "soon").otherwise(end).alias("POL_EXPIRY_DATE"),
     )
-    return claims.silver_policies(raw)
 
 
 @query(
     """
-    SELECT l_partkey AS claim_no, l_orderkey AS policy_no, CAST(l_shipdate AS DATE) AS claim_date,
-           CASE WHEN l_returnflag <> 'N' THEN CAST(l_shipdate AS DATE) - 900 END AS license_issue_date,
-           round(l_extendedprice - 20000, 2) AS total, l_linenumber - 1 AS age
-    FROM lineitem WHERE l_partkey IS NOT NULL AND l_orderkey IS NOT NULL
-        AND round(l_extendedprice - 20000, 2) >= 0 AND l_linenumber > 1
+    SELECT * FROM (
+        SELECT o_orderkey AS POLICY_NO, o_custkey AS CUST_ID, round(o_totalprice - 50000, 2) AS PREMIUM,
+            CAST(o_orderdate AS DATE) AS POL_EFF_DATE,
+            CASE WHEN o_orderstatus <> 'P' OR o_orderpriority <> '5-LOW' THEN CAST(o_orderdate AS DATE)
+                + CASE WHEN o_orderpriority = '1-URGENT' THEN -5 ELSE 365 END END AS POL_EXPIRY_DATE FROM orders)
+    WHERE PREMIUM >= 0 AND POL_EFF_DATE <= POL_EXPIRY_DATE
     """
 )
-def silver_claims(t: Tables) -> DataFrame:
+def silver_policies(t: Tables) -> DataFrame:
+    return claims.silver_policies(_raw_policies(t))
+
+
+def _raw_claims(t: Tables) -> DataFrame:
     """Order lines as raw claims, with malformed license dates and a column to drop."""
     day = F.col("l_shipdate").cast("date")
     issued = F.when(F.col("l_returnflag") == "N", "none").otherwise(F.date_sub(day, 900).cast("string"))
-    raw = t.lineitem.select(
+    return t.lineitem.select(
         F.col("l_partkey").alias("claim_no"),
         F.col("l_orderkey").alias("policy_no"),
         day.cast("string").alias("claim_date"),
@@ -287,20 +286,24 @@ def silver_claims(t: Tables) -> DataFrame:
         (F.col("l_linenumber") - 1).alias("age"),
         day.alias("date_1"),
     )
-    return claims.silver_claims(raw)
 
 
 @query(
     """
-    SELECT event_id, chassis_no, event_timestamp, latitude, longitude, speed FROM (
-        SELECT event_id, user_id AS chassis_no, ts AS event_timestamp, round(value - 50, 2) AS latitude,
-            round(value * 2 - 90, 2) AS longitude, round(value - 5, 2) AS speed FROM events)
-    WHERE latitude BETWEEN -90 AND 90 AND longitude BETWEEN -180 AND 180 AND speed >= 0
+    SELECT l_partkey AS claim_no, l_orderkey AS policy_no, CAST(l_shipdate AS DATE) AS claim_date,
+           CASE WHEN l_returnflag <> 'N' THEN CAST(l_shipdate AS DATE) - 900 END AS license_issue_date,
+           round(l_extendedprice - 20000, 2) AS total, l_linenumber - 1 AS age
+    FROM lineitem WHERE l_partkey IS NOT NULL AND l_orderkey IS NOT NULL
+        AND round(l_extendedprice - 20000, 2) >= 0 AND l_linenumber > 1
     """
 )
-def silver_events(t: Tables) -> DataFrame:
+def silver_claims(t: Tables) -> DataFrame:
+    return claims.silver_claims(_raw_claims(t))
+
+
+def _raw_telematics(t: Tables) -> DataFrame:
     """Events as raw telematics, some off the globe or with a negative speed."""
-    raw = t.events.select(
+    return t.events.select(
         "event_id",
         F.col("user_id").alias("chassis_no"),
         F.col("ts").cast("string").alias("event_timestamp"),
@@ -308,5 +311,94 @@ def silver_events(t: Tables) -> DataFrame:
         F.round(F.col("value") * 2 - 90, 2).alias("longitude"),
         F.round(F.col("value") - 5, 2).alias("speed"),
     )
-    clean = claims.silver_telematics(raw)
+
+
+@query(
+    """
+    SELECT event_id, chassis_no, event_timestamp, latitude, longitude, speed FROM (
+        SELECT event_id, user_id AS chassis_no, ts AS event_timestamp, round(value - 50, 2) AS latitude,
+            round(value * 2 - 90, 2) AS longitude, round(value - 5, 2) AS speed FROM events)
+    WHERE latitude BETWEEN -90 AND 90 AND longitude BETWEEN -180 AND 180 AND speed >= 0
+    """
+)
+def silver_events(t: Tables) -> DataFrame:
+    clean = claims.silver_telematics(_raw_telematics(t))
     return clean.withColumn("event_timestamp", F.col("event_timestamp").cast("timestamp_ntz"))
+
+
+def _broken_accounts(t: Tables) -> DataFrame:
+    """Customers as CSV text: every tenth line is cut short, every tenth has a value too many, every tenth a balance that is no number."""
+    path = scratch_path(t.spark, "accounts")
+    part = F.col("c_custkey") % 10
+    balance = F.when(part == 2, F.lit("n/a")).otherwise(F.col("c_acctbal").cast("string"))
+    whole = F.concat_ws(",", F.col("c_custkey").cast("string"), "c_name", balance, "c_mktsegment")
+    short = F.concat_ws(",", F.col("c_custkey").cast("string"), "c_name")
+    line = F.when(part == 0, short).when(part == 1, F.concat(whole, F.lit(",more"))).otherwise(whole)
+    t.customer.select(line.alias("value")).write.text(path)
+    read = read_csv_kept(t.spark, path, ["custkey", "name", "balance", "segment"], header=False)
+    checks = Checks({"custkey": "bigint", "balance": "double"}, {"no_custkey": present("custkey"), "balance": within("balance", 0)})
+    return judge(read, checks, CORRUPT)
+
+
+def _rejected_sql(source: str, table: str, columns: str, reasons: dict[str, str], lost: dict[str, str]) -> str:
+    """Rows of the report on one source: reasons and lost values are conditions over ``columns``."""
+    any_reason = " OR ".join(f"({c})" for c in reasons.values())
+    counts = {"read": "true", "accepted": f"NOT ({any_reason})", "rejected": any_reason}
+    counts |= {f"rejected:{r}": c for r, c in reasons.items()} | {f"lost:{c}": fails for c, fails in lost.items()}
+    raw = f"(SELECT {columns} FROM {table})"
+    return " UNION ALL ".join(f"SELECT '{source}' AS source, '{r}' AS rule, count(*) FILTER (WHERE {c}) AS n_rows FROM {raw}" for r, c in counts.items())
+
+
+REJECTED_SQL = " UNION ALL ".join(
+    [
+        _rejected_sql(
+            "policies", "orders",
+            "round(o_totalprice - 50000, 2) AS premium, o_orderstatus = 'P' AND o_orderpriority = '5-LOW' AS soon, o_orderpriority = '1-URGENT' AS early",
+            {"no_policy_no": "false", "no_cust_id": "false", "premium": "premium < 0", "ends_before_start": "soon OR early"},
+            {"PREMIUM": "false", "POL_EFF_DATE": "false", "POL_EXPIRY_DATE": "soon"},
+        ),
+        _rejected_sql(
+            "claims", "lineitem", "l_returnflag, round(l_extendedprice - 20000, 2) AS total, l_linenumber - 1 AS age",
+            {"no_claim_no": "false", "no_policy_no": "false", "total": "total < 0", "age": "age <= 0"},
+            {"claim_date": "false", "license_issue_date": "l_returnflag = 'N'"},
+        ),
+        _rejected_sql(
+            "telematics", "events", "round(value - 50, 2) AS latitude, round(value * 2 - 90, 2) AS longitude, round(value - 5, 2) AS speed",
+            {"no_chassis_no": "false", "latitude": "abs(latitude) > 90", "longitude": "abs(longitude) > 180", "speed": "speed < 0"},
+            {"event_timestamp": "false"},
+        ),
+        _rejected_sql(
+            "accounts", "customer", "c_custkey % 10 AS part, c_acctbal",
+            {MALFORMED: "part IN (0, 1)", "no_custkey": "false", "balance": "part NOT IN (0, 1) AND (part = 2 OR c_acctbal < 0)"},
+            {"custkey": "false", "balance": "part = 2"},
+        ),
+    ]
+)
+
+
+@query(REJECTED_SQL)
+def rejected_rows(t: Tables) -> DataFrame:
+    """Rows read, accepted and rejected, by reason, of four raw sources, one of them a broken CSV file."""
+    raw = {"policies": _raw_policies(t), "claims": _raw_claims(t), "telematics": _raw_telematics(t)}
+    reports = []
+    for source, df in raw.items():
+        checks = claims.silver_checks(f"{source}_clean")
+        reports.append(rejection_report(claims.judged_rows(f"{source}_clean", df), list(checks.keep), list(checks.types)).withColumn("source", F.lit(source)))
+    broken = rejection_report(_broken_accounts(t), [MALFORMED, "no_custkey", "balance"], ["custkey", "balance"])
+    reports.append(broken.withColumn("source", F.lit("accounts")))
+    return functools.reduce(DataFrame.unionByName, reports)
+
+
+@query(
+    """
+    SELECT c_custkey % 10 AS part, count(*) AS n_rows,
+           CASE WHEN c_custkey % 10 IN (0, 1) THEN 'malformed_record' ELSE 'balance' END AS reasons, count(*) FILTER (WHERE c_custkey % 10 < 2) AS with_text
+    FROM customer WHERE c_custkey % 10 IN (0, 1, 2) OR c_acctbal < 0 GROUP BY ALL
+    """
+)
+def quarantined_accounts(t: Tables) -> DataFrame:
+    """The quarantine of the broken CSV file: reasons, and the text of malformed records."""
+    kept = quarantine(_broken_accounts(t))
+    key = F.coalesce(F.split(CORRUPT, ",")[0], F.col("custkey").cast("string")).cast("bigint")
+    grouped = kept.groupBy((key % 10).alias("part"), F.array_join("reject_reasons", ",").alias("reasons"))
+    return grouped.agg(F.count("*").alias("n_rows"), F.count(CORRUPT).alias("with_text"))

@@ -6,7 +6,7 @@ from collections.abc import Iterable, Sequence
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
-from pyspark.sql.types import StructType
+from pyspark.sql.types import StringType, StructField, StructType
 
 
 def read_csv(
@@ -35,6 +35,23 @@ def read_csv(
     return text.select(*(F.col(f"`{f.name}`").try_cast(f.dataType).alias(f.name) for f in fields))
 
 
+CORRUPT = "_corrupt_record"
+
+
+def read_csv_kept(spark: SparkSession, path: str | list[str], columns: Sequence[str] = (), sep: str = ",", header: bool = True) -> DataFrame:
+    """CSV files as text columns, and in ``_corrupt_record`` the whole text of records that have too few or too many values.
+
+    Nothing is guessed, dropped or cast: what becomes of such records is for ``rejects.judge`` to say. ``columns`` names them where there is no header.
+    """
+    reader = spark.read.option("header", header).option("sep", sep)
+    names = list(columns) if not header else reader.csv(path).columns
+    schema = StructType([StructField(name, StringType()) for name in [*names, CORRUPT]])
+    # With pruned columns the reader would not see a value too many.
+    reader = reader.option("enforceSchema", False).option("columnPruning", False)
+    reader = reader.option("mode", "PERMISSIVE").option("columnNameOfCorruptRecord", CORRUPT)
+    return reader.schema(schema).csv(path)
+
+
 def read_parquet(spark: SparkSession, *paths: str, schema: StructType | str | None = None) -> DataFrame:
     """Parquet files as a frame. With ``schema`` no job is spent on reading file footers for one."""
     reader = spark.read if schema is None else spark.read.schema(schema)

@@ -111,6 +111,13 @@ def create_view(spark: SparkSession, name: str, source: DataFrame | str) -> Data
     return spark.table(name)
 
 
+def replace_with_view(spark: SparkSession, name: str, query: str) -> DataFrame:
+    """A catalog view in the place of whatever had its name."""
+    if spark.catalog.tableExists(name) and spark.catalog.getTable(name).tableType != "VIEW":
+        spark.sql(f"DROP TABLE {name}")
+    return create_view(spark, name, query)
+
+
 def projected_view(df: DataFrame, name: str, columns: Sequence[str], condition: Column) -> DataFrame:
     """A session view showing ``columns`` of the rows that meet ``condition``."""
     return create_view(df.sparkSession, name, df.filter(condition).select(*columns))
