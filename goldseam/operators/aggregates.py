@@ -125,6 +125,19 @@ def overview(
     return whole.select(*(counted[name].alias(name) if name in counted else F.col(name) for name in names))
 
 
+def distinct_sketches(df: DataFrame, keys: Sequence[str], column: str, precision: int = 12, sketch_as: str = "sketch") -> DataFrame:
+    """Per group a sketch of the distinct values of a column, to be stored and merged later over any groups.
+
+    A sketch has at most 2^``precision`` bytes or so; its relative standard error is about 1.04 / sqrt(2^precision). NULLs do not count.
+    """
+    return df.groupBy(*keys).agg(F.hll_sketch_agg(F.col(column), precision).alias(sketch_as))
+
+
+def distinct_from_sketches(sketches: DataFrame, keys: Sequence[str], sketch: str = "sketch", count_as: str = "n") -> DataFrame:
+    """Estimated distinct values per (coarser) group, from stored sketches alone."""
+    return sketches.groupBy(*keys).agg(F.hll_sketch_estimate(F.hll_union_agg(sketch)).alias(count_as))
+
+
 def distinct_list(value: Column | str, sep: str = ",") -> Column:
     """Aggregate: the distinct values as sorted, joined text. For columns of few values."""
     return F.array_join(F.sort_array(F.collect_set(as_column(value))), sep)

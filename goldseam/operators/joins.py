@@ -4,7 +4,7 @@ Spark broadcasts a side when its size is known to be below ``autoBroadcastJoinTh
 above that it shuffles both sides, and adaptive execution splits a partition that one hot
 key makes too large. It cannot do so when a side comes straight out of an aggregate on the
 join key, as that side needs no shuffle of its own. For those joins find the ``hot_keys``
-of the fact and pass them on: their rows then meet a broadcast of the few rows that belong
+of the fact by a sketch and pass them on: their rows then meet a broadcast of the few rows that belong
 to these keys, and are not shuffled at all.
 """
 
@@ -21,15 +21,18 @@ from goldseam.functions.fixed_point import percent
 def hot_keys(df: DataFrame, key: str, share: float = 1e-4, min_rows: int = 1_000_000) -> list:
     """Values of ``key`` (None for NULL) that hold at least ``min_rows`` and more than a share of all rows.
 
-    There are fewer than 1 / share of them, so the largest 1 / share keys hold them all.
-    Only the key column is read, and it is counted before it is shuffled.
+    One scan of the key column. Every task keeps a sketch of its heaviest keys, of a size that depends on ``share`` only, and the
+    sketches merge; nothing is shuffled by key. It tracks four keys per share, so no key above the share is missed; its counts
+    are close, not exact, so a key near the limit may be found or not. A join has the same result either way.
     """
-    counts = df.groupBy(key).agg(F.count(F.lit(1)).alias("n")).filter(F.col("n") >= min_rows)
-    largest = counts.orderBy(F.desc("n")).limit(int(1 / share)).collect()
-    if not largest:
-        return []
-    least = df.count() * share
-    return [row[key] for row in largest if row["n"] > least]
+    most = int(1 / share)
+    tracked = min(1_000_000, max(64, 4 * most))
+    # The name is quoted as text of an expression; the sketch has no function in Python yet.
+    column = "`" + key.replace("`", "``") + "`"
+    sketch = F.expr(f"approx_top_k({column}, {min(most, tracked)}, {tracked})")
+    found = df.agg(sketch.alias("top"), F.count(F.lit(1)).alias("n")).first()
+    least = max(min_rows, found["n"] * share)
+    return [entry["item"] for entry in found["top"] or [] if entry["count"] >= least]
 
 
 def _among(key: Column, values: Sequence) -> Column:
@@ -39,12 +42,21 @@ def _among(key: Column, values: Sequence) -> Column:
     return found | key.isNull() if len(given) < len(values) else found
 
 
+#: Rows that a side may have for hot keys to be broadcast.
+FEW_ROWS = 100_000
+
+
 def _split_join(left: DataFrame, left_key: str, right: DataFrame, right_key: str, how: str, hot: Sequence) -> DataFrame:
-    """``left`` joined with ``right``, which has at most one row per key and so few hot rows."""
+    """``left`` joined with ``right``, whose rows of hot keys are broadcast if they are few.
+
+    A side that repeats hot keys too often for that does not come out of an aggregate on the key, so both sides are
+    shuffled, and adaptive execution splits the hot partitions of the plain join.
+    """
     match = left[left_key] == right[right_key]
-    if not hot:
+    few = right.filter(_among(right[right_key], hot)) if hot else None
+    if few is None or few.select(F.lit(1)).limit(FEW_ROWS + 1).count() > FEW_ROWS:
         return left.join(right, match, how)
-    few = F.broadcast(right.filter(_among(right[right_key], hot)))
+    few = F.broadcast(few)
     is_hot = _among(left[left_key], hot)
     return left.filter(is_hot).join(few, match, how).unionByName(left.filter(~is_hot).join(right, match, how))
 
@@ -61,7 +73,7 @@ def enrich(
 
     ``bring`` lists the dim columns to add, or maps new names to them. Keys of both sides
     may have any names, also the same; the dim's keys are not kept unless brought. With
-    ``hot`` keys the join must be on one column, of which the dim repeats no value.
+    ``hot`` keys the join must be on one column.
     """
     if not isinstance(bring, Mapping):
         bring = {name: name for name in bring}

@@ -4,14 +4,16 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 from decimal import Decimal
-from functools import reduce
 
-from pyspark.sql import DataFrame
+import numpy as np
+import pyarrow as pa
+import pyarrow.compute as pc
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.types import DoubleType, FloatType, NumericType, StringType
 
 from goldseam.functions.fixed_point import plain_zero
-from goldseam.operators.quantiles import exact_quantiles
+from goldseam.operators.quantiles import exact_quantiles, sketched_quantiles
 from goldseam.operators.shaping import finite, not_null
 
 DIGITS = 6
@@ -51,7 +53,7 @@ def null_profile(df: DataFrame) -> DataFrame:
     return _long_form(df, entries)
 
 
-def _statistics(column: str, quartiles: Sequence[float | None] | None) -> list:
+def _statistics(column: str, quartiles: Sequence[float | Column | None] | None) -> list:
     value = F.col(column).cast("double")
     fields = [
         F.lit(column).alias("column_name"),
@@ -61,7 +63,7 @@ def _statistics(column: str, quartiles: Sequence[float | None] | None) -> list:
         plain_zero(F.min(value)).alias("min"),
     ]
     for name, quartile in zip(("q1", "median", "q3"), quartiles or ()):
-        fields.append(F.lit(quartile).cast("double").alias(name))
+        fields.append((quartile if isinstance(quartile, Column) else F.lit(quartile)).cast("double").alias(name))
     return [*fields, plain_zero(F.max(value)).alias("max")]
 
 
@@ -85,27 +87,90 @@ def describe_text(df: DataFrame, columns: Sequence[str] | None = None) -> DataFr
     )
 
 
-def summary_numeric(df: DataFrame, columns: Sequence[str] | None = None) -> DataFrame:
-    """``describe_numeric`` with exact discrete quartiles."""
+def summary_numeric(df: DataFrame, columns: Sequence[str] | None = None, rel_error: float = 0.0) -> DataFrame:
+    """``describe_numeric`` with exact discrete quartiles.
+
+    ``rel_error`` > 0 takes quartiles from a sketch instead, off by at most that share of the ranks: all
+    statistics then come from one scan.
+    """
     columns = columns or numeric_columns(df)
-    quartiles = exact_quantiles(df, columns, (0.25, 0.5, 0.75))
+    probs = (0.25, 0.5, 0.75)
+    if rel_error > 0:
+        sketched = {c: sketched_quantiles(df, c, probs, rel_error) for c in columns}
+        quartiles = {c: [found[i] for i in range(len(probs))] for c, found in sketched.items()}
+    else:
+        quartiles = exact_quantiles(df, columns, probs)
     return _long_form(df, [F.struct(*_statistics(c, quartiles[c])) for c in columns])
 
 
-def corr_matrix(df: DataFrame, columns: Sequence[str] | None = None, pairs_per_scan: int = 200) -> DataFrame:
-    """Pearson correlation of each pair of numeric columns (lower triangle), pairwise complete.
+def corr_matrix(df: DataFrame, columns: Sequence[str] | None = None, pairs_in_sql: int = 200) -> DataFrame:
+    """Pearson correlation of each pair of numeric columns (lower triangle), pairwise complete, in one scan.
 
-    Twenty columns take one scan. Wider frames take several, each of the columns it needs,
-    as one aggregate of thousands of pairs would not compile.
+    Up to twenty columns are one aggregate of pairs. One of thousands of pairs would not compile, so wider frames take a matrix product.
     """
     columns = columns or numeric_columns(df)
+    if len(columns) * (len(columns) - 1) // 2 > pairs_in_sql:
+        return wide_correlation(df, columns)
+
+    def correlation(a: str, b: str) -> Column:
+        # The built-in one stops the job where a column has no spread.
+        spread = F.stddev_pop(F.when(F.col(b).isNotNull(), F.col(a))) * F.stddev_pop(F.when(F.col(a).isNotNull(), F.col(b)))
+        return F.round(F.try_divide(F.covar_pop(a, b), spread), DIGITS)
+
     entries = [
-        F.struct(F.lit(a).alias("col_a"), F.lit(b).alias("col_b"), F.round(F.corr(a, b), DIGITS).alias("r"))
+        F.struct(F.lit(a).alias("col_a"), F.lit(b).alias("col_b"), correlation(a, b).alias("r"))
         for i, a in enumerate(columns)
         for b in columns[:i]
     ]
-    scans = [entries[i : i + pairs_per_scan] for i in range(0, len(entries), pairs_per_scan)]
-    return reduce(DataFrame.unionByName, (_long_form(df, part) for part in scans))
+    return _long_form(df, entries)
+
+
+def _gram(shift: np.ndarray, block_rows: int):
+    """Per task and column: for every other one, how many rows have both, and over these the sums, squares and products."""
+
+    def multiply(batches):
+        size = len(shift)
+        n, total, square, product, odd = (np.zeros((size, size)) for _ in range(5))
+        for batch in batches:
+            for begin in range(0, batch.num_rows, block_rows):
+                part = batch.slice(begin, block_rows)
+                given = np.column_stack([~c.is_null().to_numpy(zero_copy_only=False) for c in part.columns]).astype(float)
+                x = np.column_stack([pc.fill_null(c, 0.0).to_numpy(zero_copy_only=False) for c in part.columns]) - shift
+                strange = ~np.isfinite(x)
+                x = np.where(strange, 0.0, x) * given
+                n += given.T @ given
+                total += x.T @ given
+                square += (x * x).T @ given
+                product += x.T @ x
+                marked = strange * given
+                odd += marked.T @ given + given.T @ marked
+        rows = {"i": np.arange(size), "n": list(n), "total": list(total), "square": list(square), "product": list(product), "odd": list(odd)}
+        yield pa.RecordBatch.from_pydict({k: pa.array(v, pa.int32() if k == "i" else pa.list_(pa.float64())) for k, v in rows.items()})
+
+    return multiply
+
+
+def wide_correlation(df: DataFrame, columns: Sequence[str], block_rows: int = 4096) -> DataFrame:
+    """``corr_matrix`` of many columns: each task multiplies blocks of its rows into one Gram matrix, and the matrices add up.
+
+    NULLs are left out pair by pair by products with the matrix of what is present. Values are taken against a first mean, so that large
+    means cost no digits. NaN and infinity make a pair's result NaN; a pair without rows, or with a column without spread, is NULL.
+    """
+    doubles = df.select(*(F.col("`" + c.replace("`", "``") + "`").cast("double").alias(f"c{k}") for k, c in enumerate(columns)))
+    first = doubles.limit(1000).agg(*(F.avg(finite(F.col(c))).alias(c) for c in doubles.columns)).first()
+    shift = np.array([0.0 if m is None else m for m in first])
+    arrays = ("n", "total", "square", "product", "odd")
+    parts = doubles.mapInArrow(_gram(shift, block_rows), "i int, " + ", ".join(f"{a} array<double>" for a in arrays))
+    cells = parts.select("i", F.posexplode(F.arrays_zip(*arrays)).alias("j", "v")).groupBy("i", "j")
+    sums = cells.agg(*(F.sum(f"v.{a}").alias(a) for a in arrays))
+    other = sums.select(F.col("i").alias("j"), F.col("j").alias("i"), F.col("total").alias("total_b"), F.col("square").alias("square_b"))
+    both = sums.where("j < i").join(other, ["i", "j"])
+    n, spread = F.col("n"), lambda total, square: F.col("n") * F.col(square) - F.col(total) * F.col(total)
+    scale = spread("total", "square") * spread("total_b", "square_b")
+    r = F.when(n == 0, None).when(F.col("odd") > 0, F.lit(float("nan"))).when(scale <= 0, None)
+    r = r.otherwise((n * F.col("product") - F.col("total") * F.col("total_b")) / F.sqrt(scale))
+    names = F.array(*(F.lit(c) for c in columns))
+    return both.select(names[F.col("i")].alias("col_a"), names[F.col("j")].alias("col_b"), F.round(r, DIGITS).alias("r"))
 
 
 def iqr_bounds(df: DataFrame, column: str, k: float = 1.5, rel_error: float = 0.0) -> dict[str, float] | None:
@@ -114,7 +179,7 @@ def iqr_bounds(df: DataFrame, column: str, k: float = 1.5, rel_error: float = 0.
     ``rel_error`` > 0 accepts quartiles off by that share of the ranks, for one cheap pass.
     """
     if rel_error > 0:
-        found = df.approxQuantile(column, [0.25, 0.75], rel_error)
+        found = df.agg(sketched_quantiles(df, column, (0.25, 0.75), rel_error)).first()[0]
     else:
         found = exact_quantiles(df, [column], (0.25, 0.75))[column]
     if not found or found[0] is None:

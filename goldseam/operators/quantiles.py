@@ -211,3 +211,47 @@ def exact_quantiles(
         return low + (high - low) * (Decimal(share) if isinstance(low, Decimal) else share)
 
     return {column: [value(column, p) for p in probs] for column in columns}
+
+
+# Rank error of a KLL sketch of size k, at 99 percent confidence, is A / k ** B; and the sizes that Spark takes.
+KLL_A, KLL_B, KLL_SIZES = 2.296, 0.9021, (8, 65_535)
+
+
+def sketch_size(rel_error: float) -> int:
+    """The size of a KLL sketch whose ranks are off by at most that share of the rows, at 99 percent confidence."""
+    least, most = KLL_SIZES
+    size = math.ceil((KLL_A / rel_error) ** (1 / KLL_B))
+    if size > most:
+        raise ValueError(f"no sketch is as close as {rel_error}; take exact quantiles")
+    return max(least, size)
+
+
+def quantile_sketches(df: DataFrame, keys: Sequence[str], columns: Sequence[str], rel_error: float = 0.01) -> DataFrame:
+    """Per group a mergeable sketch of each numeric column, in one scan; NULL and NaN are left out.
+
+    Groups may be as fine as days or files: ``quantiles_from_sketches`` merges them without the rows.
+    """
+    size = sketch_size(rel_error)
+    made = [F.kll_sketch_agg_double(_number(df, c).cast("double"), size).alias(c) for c in columns]
+    return df.groupBy(*keys).agg(*made)
+
+
+def quantiles_from_sketches(sketches: DataFrame, keys: Sequence[str], columns: Sequence[str], probs: Sequence[float]) -> DataFrame:
+    """Per (coarser) group an array of quantiles of each column; NULL where a group has no value of it."""
+    wanted = F.array(*(F.lit(float(p)) for p in probs))
+
+    def read(column: str) -> Column:
+        merged = F.kll_merge_agg_double(column)
+        return F.when(F.kll_sketch_get_n_double(merged) > 0, F.kll_sketch_get_quantile_double(merged, wanted)).alias(column)
+
+    return sketches.groupBy(*keys).agg(*(read(c) for c in columns))
+
+
+def sketched_quantiles(df: DataFrame, column: str, probs: Sequence[float], rel_error: float) -> Column:
+    """Aggregate: an array of quantiles whose ranks are off by at most ``rel_error`` of the rows; NULL without values.
+
+    An aggregate like any other, so it shares the scan with counts, means and extremes.
+    """
+    sketch = F.kll_sketch_agg_double(_number(df, column).cast("double"), sketch_size(rel_error))
+    found = F.kll_sketch_get_quantile_double(sketch, F.array(*(F.lit(float(p)) for p in probs)))
+    return F.when(F.kll_sketch_get_n_double(sketch) > 0, found)

@@ -94,6 +94,49 @@ def train_classifier(
     return LogisticRegression(maxIter=max_iter, regParam=reg_param, family="multinomial").fit(ready)
 
 
+#: Classes that a centroid model may have: it travels with every row's task as one value.
+MOST_CLASSES = 10_000
+
+
+def class_centroids(df: DataFrame, features: str, label: str, scale: int = 1 << 20) -> DataFrame:
+    """(label, n, centroid, spread): per class its size, mean vector and mean squared distance from that.
+
+    One aggregate of vector sums, which combine in the map tasks: a task sends one row per class and dimension. Components
+    are summed as whole multiples of 1 / ``scale``, so the model does not depend on the order of rows. Rows without label or
+    features, and with a component that is NULL or not finite, are left out.
+    """
+    usable = F.forall(features, lambda x: x.isNotNull() & ~F.isnan(x) & (F.abs(x) < float("inf")))
+    whole = F.transform(features, lambda x: F.round(x.cast("double") * scale).cast("bigint"))
+    rows = df.where(F.col(label).isNotNull() & usable).select(F.col(label).alias("label"), F.posexplode(whole).alias("dim", "x"))
+    number = F.col("x").cast("double")
+    sums = rows.groupBy("label", "dim").agg(F.count("*").alias("n"), F.sum("x").alias("s"), F.sum(F.floor(number * number / scale)).alias("q"))
+    parts = sums.select("label", "n", "dim", (F.col("s") / F.col("n") / scale).alias("c"), (F.col("q") / F.col("n") / scale).alias("m"))
+    # At most one row per dimension and class.
+    made = parts.groupBy("label").agg(F.max("n").alias("n"), F.sort_array(F.collect_list(F.struct("dim", "c", "m"))).alias("d"))
+    spread = F.aggregate("d", F.lit(0.0), lambda total, d: total + d["m"] - d["c"] * d["c"])
+    return made.select("label", "n", F.transform("d", lambda d: d["c"]).alias("centroid"), spread.alias("spread"))
+
+
+def nearest_centroid(df: DataFrame, centroids: DataFrame, features: str, predicted_as: str = "predicted", margin_as: str = "margin") -> DataFrame:
+    """Adds the label of the nearest centroid (the smaller label of equally near ones) and how much farther the next one is.
+
+    Rows whose features cannot be compared (NULL, or with NULL components) get NULL.
+    """
+    classes = centroids.limit(MOST_CLASSES + 1).count()
+    if classes > MOST_CLASSES:
+        raise ValueError(f"more than {MOST_CLASSES} classes")
+    model = centroids.agg(F.sort_array(F.collect_list(F.struct("label", "centroid"))).alias("m")).scalar()
+
+    def distance(centroid: Column) -> Column:
+        gaps = F.zip_with(F.col(features), centroid, lambda x, c: (x.cast("double") - c) * (x.cast("double") - c))
+        return F.aggregate(gaps, F.lit(0.0), lambda total, g: total + g)
+
+    measured = F.sort_array(F.transform(F.filter("_model", lambda c: F.col(features).isNotNull()), lambda c: F.struct(distance(c["centroid"]).alias("far"), c["label"].alias("label"))))
+    ranked = df.withColumn("_model", model).withColumn("_ranked", F.filter(measured, lambda c: c["far"].isNotNull()))
+    first, second = F.try_element_at("_ranked", F.lit(1)), F.try_element_at("_ranked", F.lit(2))
+    return ranked.withColumns({predicted_as: first["label"], margin_as: second["far"] - first["far"]}).drop("_ranked", "_model")
+
+
 def classify(model: Model, df: DataFrame, features: str, predicted_as: str = "predicted") -> DataFrame:
     """Adds the label index the model predicts."""
     vectors = df.withColumn("features", array_to_vector(F.col(features)))

@@ -154,15 +154,15 @@ def gold(silver_tables: Tables) -> dict[str, DataFrame]:
     }
 
 
-def run(spark: SparkSession, folder: str, database: str, fmt: str = "parquet") -> dict[str, int]:
-    """All layers, each read back from its tables: {table: rows written}."""
+def run(spark: SparkSession, folder: str, database: str, fmt: str = "parquet", verify: bool = True) -> dict[str, int]:
+    """All layers, each read back from its tables: {table: rows written}. ``verify`` compares what was written with what is read."""
     written = {}
     tables: Tables = landing(spark, folder)
     for layer, build in (("bronze", bronze), ("silver", silver), ("gold", gold)):
         stored = {}
         for name, df in build(tables).items():
             table = f"{database}.{layer}_{name}"
-            written[table] = write_layer(df, table, fmt)
+            written[table] = write_layer(df, table, fmt, verify=verify)
             stored[name] = spark.table(table)
         tables = stored
     return written

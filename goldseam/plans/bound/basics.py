@@ -12,7 +12,7 @@ from goldseam.plans import sales
 from goldseam.plans.bound.registry import Tables, query, sql_sum
 from goldseam.session import scratch_path
 from goldseam.sources.readers import inline_rows, read_csv
-from goldseam.sources.sinks import append_rows, projected_view, table_counts
+from goldseam.sources.sinks import append_rows, projected_view, table_counts, write_verified
 
 
 @query("SELECT o_orderkey, o_custkey, o_orderstatus, o_totalprice FROM orders")
@@ -272,3 +272,31 @@ def finite_values(t: Tables) -> DataFrame:
     kind = F.col("event_id") % 5
     odd = F.when(kind == 0, float("nan")).when(kind == 1, float("inf")).when(kind == 2, float("-inf")).otherwise(F.col("value"))
     return shaping.conform(t.events.select("event_id", odd.alias("value")), {"value": "double"})
+
+
+@query(
+    """
+    SELECT l_orderkey, l_linenumber, l_suppkey, top_price, n_lines FROM lineitem
+    LEFT JOIN (SELECT l_suppkey AS k, max(l_extendedprice) AS top_price, count(*) AS n_lines FROM lineitem WHERE l_suppkey % 3 > 0 GROUP BY l_suppkey) ON l_suppkey = k
+    """
+)
+def enrich_hot_keys(t: Tables) -> DataFrame:
+    """Order lines with facts of their supplier, an aggregate that adaptive execution cannot split: hot suppliers are joined apart."""
+    facts = t.lineitem.filter("l_suppkey % 3 > 0").groupBy("l_suppkey").agg(F.max("l_extendedprice").alias("top_price"), F.count("*").alias("n_lines"))
+    lines = t.lineitem.select("l_orderkey", "l_linenumber", "l_suppkey")
+    hot = joins.hot_keys(lines, "l_suppkey", 1e-3, 100)
+    return joins.enrich(lines, facts, {"l_suppkey": "l_suppkey"}, ["top_price", "n_lines"], hot=hot)
+
+
+@query("SELECT o_orderkey, o_custkey FROM orders WHERE o_custkey NOT IN (SELECT c_custkey FROM customer WHERE c_acctbal > 3000)")
+def orphans_hot_keys(t: Tables) -> DataFrame:
+    """Orders of customers who are not well off; the customers with most orders are joined apart."""
+    orders = t.orders.select("o_orderkey", "o_custkey")
+    known = t.customer.filter("c_acctbal > 3000").select(F.col("c_custkey").alias("o_custkey"))
+    return joins.orphans(orders, known, "o_custkey", joins.hot_keys(orders, "o_custkey", 1e-3, 10))
+
+
+@query("SELECT count(*) AS rows_written, count(*) AS rows_read, true AS same FROM lineitem")
+def verified_write(t: Tables) -> DataFrame:
+    """Order lines written, read back, and compared by count and by a checksum of all rows."""
+    return write_verified(t.lineitem, scratch_path(t.spark, "verified"))

@@ -14,6 +14,7 @@ from goldseam.operators.aggregates import kpi, mean, overview, present, rows, to
 from goldseam.operators.joins import enrich
 from goldseam.plans import sales
 from goldseam.plans.bound.registry import Tables, query, sql_mean, sql_pct, sql_sum, sql_units
+from goldseam.session import scratch_path
 
 
 @query(
@@ -230,3 +231,15 @@ def monthly_sales_category(t: Tables) -> DataFrame:
 )
 def top_priorities(t: Tables) -> DataFrame:
     return agg.top_groups(t.orders, "o_orderpriority", total("o_totalprice", 2, exact=True), 3)
+
+
+@query("SELECT event_type, count(DISTINCT user_id) AS exact_n, true AS within FROM events GROUP BY event_type")
+def distinct_rollup(t: Tables) -> DataFrame:
+    """Users per kind of event from stored sketches of single days, against an exact count: within three standard errors."""
+    path = scratch_path(t.spark, "user-sketches")
+    daily = agg.distinct_sketches(t.events.withColumn("day", F.col("ts").cast("date")), ["day", "event_type"], "user_id")
+    daily.write.parquet(path)
+    merged = agg.distinct_from_sketches(t.spark.read.schema(daily.schema).parquet(path), ["event_type"], count_as="estimate")
+    exact = t.events.groupBy("event_type").agg(F.count_distinct("user_id").alias("exact_n"))
+    near = F.abs(F.col("estimate") - F.col("exact_n")) <= F.ceil(F.col("exact_n") * 3 * 1.04 / 2**6)
+    return merged.join(exact, "event_type").select("event_type", "exact_n", near.alias("within"))

@@ -5,9 +5,10 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from goldseam.operators import profile, quality
+from goldseam.operators import profile, quality, quantiles
 from goldseam.operators.shaping import conform
 from goldseam.plans.bound.registry import Tables, query, sql_pct
+from goldseam.session import scratch_path
 
 NUMBERS = ("l_quantity", "l_extendedprice", "l_discount", "l_tax")
 
@@ -204,3 +205,61 @@ def bronze_conform(t: Tables) -> DataFrame:
             "o_orderpriority": "int",
         },
     )
+
+
+SKETCHED, RANK_ERROR, PROBS = ("l_quantity", "l_extendedprice", "l_discount"), 0.01, (0.25, 0.5, 0.75)
+
+
+@query(
+    " UNION ALL ".join(
+        f"SELECT '{c}' AS column_name, {p} AS prob, CAST(count({c}) AS BIGINT) AS n, true AS within FROM lineitem" for c in SKETCHED for p in PROBS
+    )
+)
+def quantile_rank_error(t: Tables) -> DataFrame:
+    """Quartiles from stored sketches of single days, merged: whether their exact ranks are within the stated error."""
+    path = scratch_path(t.spark, "sketches")
+    daily = quantiles.quantile_sketches(t.lineitem.withColumn("day", F.col("l_shipdate").cast("date")), ["day"], SKETCHED, RANK_ERROR)
+    daily.write.parquet(path)
+    merged = quantiles.quantiles_from_sketches(t.spark.read.schema(daily.schema).parquet(path), [], SKETCHED, PROBS)
+    found = merged.first()
+    rows = []
+    for c in SKETCHED:
+        for k, p in enumerate(PROBS):
+            n, low, high = F.count(c), F.count(F.when(F.col(c) < found[c][k], 1)), F.count(F.when(F.col(c) <= found[c][k], 1))
+            within = (low <= n * (p + RANK_ERROR)) & (high >= n * (p - RANK_ERROR))
+            prob = F.lit(str(p)).cast("decimal(3,2)" if p != 0.5 else "decimal(2,1)").cast("decimal(3,2)")
+            rows.append(F.struct(F.lit(c).alias("column_name"), prob.alias("prob"), n.alias("n"), within.alias("within")))
+    return t.lineitem.agg(F.array(*rows).alias("rows")).select(F.inline("rows"))
+
+
+def _wide(columns: int) -> dict[str, str]:
+    """Columns made of two of the table's, each with other gaps."""
+    made = {}
+    for k in range(columns):
+        a, b = ("l_quantity", "l_extendedprice", "l_discount", "l_tax")[k % 4], ("l_extendedprice", "l_discount", "l_quantity")[k % 3]
+        made[f"w{k}"] = f"CASE WHEN l_orderkey % {k + 2} > 0 THEN {a} * {k + 1} + {b} * ((l_linenumber * {k + 3}) % 7) END"
+    return made
+
+
+WIDE = _wide(40)
+
+
+@query(
+    "WITH w AS (SELECT " + ", ".join(f"{text} AS {name}" for name, text in WIDE.items()) + " FROM lineitem) "
+    + " UNION ALL ".join(f"SELECT '{a}' AS col_a, '{b}' AS col_b, round(corr({a}, {b}), 6) AS r FROM w" for i, a in enumerate(WIDE) for b in list(WIDE)[:i])
+)
+def corr_wide(t: Tables) -> DataFrame:
+    """Correlations of forty columns with gaps of their own: one scan, one matrix product per block of rows."""
+    return profile.corr_matrix(t.lineitem.selectExpr(*(f"{text} AS {name}" for name, text in WIDE.items())))
+
+
+@query("SELECT 'l_extendedprice' AS column_name, count(l_extendedprice) AS n, round(avg(l_extendedprice), 6) AS mean, true AS within FROM lineitem")
+def summary_sketched(t: Tables) -> DataFrame:
+    """The summary and the middle of a column by sketches: their quartiles lie between exact ones one percent of the ranks off."""
+    column = "l_extendedprice"
+    low, high = (quantiles.exact_quantiles(t.lineitem, [column], [p + side for p in PROBS])[column] for side in (-RANK_ERROR, RANK_ERROR))
+    made = profile.summary_numeric(t.lineitem, [column], RANK_ERROR)
+    within = F.lit(True)
+    for name, a, b in zip(("q1", "median", "q3"), low, high):
+        within = within & F.col(name).between(a, b)
+    return made.select("column_name", "n", "mean", within.alias("within"))

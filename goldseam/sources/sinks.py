@@ -3,33 +3,51 @@
 from __future__ import annotations
 
 from collections.abc import Callable, Iterable, Mapping, Sequence
+from decimal import Decimal
 from functools import reduce
 
 from pyspark.sql import Column, DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql.types import MapType, StructField
 
 
-def write_layer(df: DataFrame, name: str, fmt: str = "parquet", partition_by: Sequence[str] = ()) -> int:
+def write_layer(df: DataFrame, name: str, fmt: str = "parquet", partition_by: Sequence[str] = (), verify: bool = False) -> int:
     """Replace table ``name`` (rows and schema) with ``df``; returns the rows written.
 
     The count is observed during the write, so the input is computed once.
     """
-    return write_checked(df, name, {}, fmt, partition_by)["rows"]
+    return write_checked(df, name, {}, fmt, partition_by, verify)["rows"]
+
+
+def row_checksum(df: DataFrame) -> Column:
+    """Aggregate: a sum of hashes of all rows, the same for any order of them; maps count by their sorted entries."""
+
+    def hashable(field: StructField) -> Column:
+        column = F.col("`" + field.name.replace("`", "``") + "`")
+        return F.array_sort(F.map_entries(column)) if isinstance(field.dataType, MapType) else column
+
+    # A constant keeps a row of NULLs from counting for nothing.
+    hashed = F.xxhash64(F.lit(1), *(hashable(f) for f in df.schema.fields))
+    return F.coalesce(F.sum(hashed.cast("decimal(20,0)")), F.lit(0).cast("decimal(30,0)"))
 
 
 def write_checked(
-    df: DataFrame, name: str, rules: Mapping[str, Column], fmt: str = "parquet", partition_by: Sequence[str] = ()
+    df: DataFrame, name: str, rules: Mapping[str, Column], fmt: str = "parquet", partition_by: Sequence[str] = (), verify: bool = False
 ) -> dict[str, int]:
     """``write_layer`` that also counts the failures of quality rules in the same pass.
 
     A rule is the condition of a failing row. Returns {"rows": n, rule: failures, ...}.
     Rows of one partition value are brought together first, so that each task does not
     leave a small file in every partition; a hot value is split over several files.
+    With ``verify`` the table is read back, and its rows must be as many and the same as those that were written.
     """
+    plain = df
     if partition_by:
         df = df.hint("rebalance", *partition_by)
     seen = Observation()
     counts = {"rows": F.count(F.lit(1)), **{rule: F.count(F.when(fails, 1)) for rule, fails in rules.items()}}
+    if verify:
+        counts["_checksum"] = row_checksum(plain)
     observed = df.observe(seen, *(count.alias(label) for label, count in counts.items()))
     writer = observed.write.format(fmt).mode("overwrite")
     if fmt == "delta":
@@ -37,7 +55,23 @@ def write_checked(
     if partition_by:
         writer = writer.partitionBy(*partition_by)
     writer.saveAsTable(name)
-    return seen.get
+    found = dict(seen.get)
+    if verify:
+        verify_write(df.sparkSession, name, found["rows"], found.pop("_checksum"), plain.columns)
+    return found
+
+
+def write_verified(df: DataFrame, path: str) -> DataFrame:
+    """Writes Parquet files and reads them back; one row: rows written, rows read, and whether they are the same."""
+    seen = Observation()
+    checks = {"n_rows": F.count(F.lit(1)), "checksum": row_checksum(df)}
+    df.observe(seen, *(check.alias(n) for n, check in checks.items())).write.parquet(path)
+    written, back = seen.get, df.sparkSession.read.schema(df.schema).parquet(path)
+    return back.agg(
+        F.lit(written["n_rows"]).cast("bigint").alias("rows_written"),
+        F.count(F.lit(1)).alias("rows_read"),
+        ((F.count(F.lit(1)) == written["n_rows"]) & (row_checksum(back) == F.lit(written["checksum"]))).alias("same"),
+    )
 
 
 def rewrite_table(spark: SparkSession, name: str, change: Callable[[DataFrame], DataFrame]) -> int:
@@ -79,11 +113,18 @@ def rewrite_table(spark: SparkSession, name: str, change: Callable[[DataFrame],
     return rows
 
 
-def verify_write(spark: SparkSession, name: str, expected: int) -> None:
-    """Read the table back and raise unless it holds ``expected`` rows."""
-    found = spark.table(name).count()
+def verify_write(spark: SparkSession, name: str, expected: int, checksum: Decimal | None = None, columns: Sequence[str] = ()) -> None:
+    """Read the table back and raise unless it holds ``expected`` rows, and with a ``checksum`` those rows."""
+    table = spark.table(name)
+    if checksum is None:
+        found = table.count()
+    else:
+        table = table.select(*(F.col("`" + c.replace("`", "``") + "`") for c in columns or table.columns))
+        found, read = table.agg(F.count(F.lit(1)), row_checksum(table)).first()
     if found != expected:
         raise ValueError(f"{name}: expected {expected} rows, found {found}")
+    if checksum is not None and read != checksum:
+        raise ValueError(f"{name}: the rows read back are not those written")
 
 
 def create_table(spark: SparkSession, name: str, columns: str, fmt: str = "parquet") -> None:

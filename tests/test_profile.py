@@ -70,7 +70,7 @@ def test_describe_text(frame):
 def test_correlation_is_pairwise_complete(frame):
     df = frame([(1.0, 2.0, 5.0), (2.0, 4.0, None), (3.0, 6.0, 1.0), (4.0, None, 0.0)], "a DOUBLE, b DOUBLE, c DOUBLE")
     r = {(x["col_a"], x["col_b"]): x["r"] for x in profile.corr_matrix(df).collect()}
-    assert profile.corr_matrix(df, pairs_per_scan=2).count() == 3
+    assert profile.corr_matrix(df, pairs_in_sql=2).count() == 3
     assert r["b", "a"] == 1.0 and set(r) == {("b", "a"), ("c", "a"), ("c", "b")}
     assert r["c", "a"] == pytest.approx(statistics.correlation([1, 3, 4], [5, 1, 0]), abs=1e-6)
 
