@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+import numpy as np
+import pyarrow.compute as pc
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -114,3 +116,15 @@ def lookup(rows: DataFrame, sides: DataFrame, on: str, count: str, spread: Colum
     if sides.limit(bound + 1).count() <= bound:
         return rows.join(F.broadcast(sides.drop(count)), on, "left")
     return salted_join(rows, sides, on, count, spread, "left").drop(count)
+
+
+def by_bytes(batches, column: str, most: int):
+    """Record batches cut so that the texts of each hold at most ``most`` bytes, or are one row."""
+    for batch in batches:
+        sizes = np.cumsum(pc.fill_null(pc.binary_length(batch[column]), 0).to_numpy(zero_copy_only=False).astype(np.int64))
+        begin = 0
+        while begin < batch.num_rows:
+            done = sizes[begin - 1] if begin else 0
+            end = max(begin + 1, int(np.searchsorted(sizes, done + most, "right")))
+            yield batch.slice(begin, end - begin)
+            begin = end

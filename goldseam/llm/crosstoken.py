@@ -23,13 +23,12 @@ from pathlib import Path
 
 import numpy as np
 import pyarrow as pa
-import pyarrow.compute as pc
 from pyspark import TaskContext
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.window import Window
 
-from goldseam.llm.common import stored
+from goldseam.llm.common import by_bytes, stored
 
 # How texts are cut into words before byte-level merges.
 WORDS = r"'s|'t|'re|'ve|'m|'ll|'d| ?\p{L}+| ?\p{N}+| ?[^\s\p{L}\p{N}]+|\s+(?!\S)|\s+"
@@ -183,18 +182,6 @@ class Aligned:
         return ["".join(made[s:e])[:-1] for s, e in zip(at[:-1], at[1:])]
 
 
-def by_bytes(batches, column: str, most: int):
-    """Record batches cut so that the texts of each hold at most ``most`` bytes, or are one row."""
-    for batch in batches:
-        sizes = np.cumsum(pc.fill_null(pc.binary_length(batch[column]), 0).to_numpy(zero_copy_only=False).astype(np.int64))
-        begin = 0
-        while begin < batch.num_rows:
-            done = sizes[begin - 1] if begin else 0
-            end = max(begin + 1, int(np.searchsorted(sizes, done + most, "right")))
-            yield batch.slice(begin, end - begin)
-            begin = end
-
-
 COUNTS = "n_a bigint, n_b bigint, n_groups bigint, n_links bigint, groups_sha256 string"
 POINTED = "chunk bigint, steps array<int>, times array<int>, pairs array<bigint>"
 

@@ -101,6 +101,7 @@ def _sets(docs: DataFrame, schema: str, percent: int, whole: bool) -> DataFrame:
                 sets = [shingles(text, hashes) for text in part["text"].to_pylist()]
                 columns = {
                     "doc_id": part["doc_id"],
+                    "digest": part["digest"],
                     "cid": pa.array([np.int64(np.uint64(xxhash.xxh3_64_intdigest(s.tobytes())).view(np.int64)) for s in sets], pa.int64()),
                     "n": pa.array([len(s) for s in sets], pa.int32()),
                     "codes": pa.array([s if whole else s[: posted_length(len(s), percent)] if len(s) else s for s in sets], pa.list_(pa.int64())),
@@ -110,7 +111,13 @@ def _sets(docs: DataFrame, schema: str, percent: int, whole: bool) -> DataFrame:
                     columns |= {n: pa.array(made[:, k]) for k, n in enumerate(SKETCH)}
                 yield pa.RecordBatch.from_pydict({n: columns[n] for n in names})
 
-    return docs.select("doc_id", F.col("text").cast("binary").alias("text")).mapInArrow(mapped, schema)
+    digest = (text_digest() if "digest" in names else F.lit(None).cast("binary")).alias("digest")
+    return docs.select("doc_id", F.col("text").cast("binary").alias("text"), digest).mapInArrow(mapped, schema)
+
+
+def text_digest(text: str = "text") -> Column:
+    """128 bits that tell texts apart; those of an empty one for null."""
+    return F.unhex(F.md5(F.coalesce(F.col(text).cast("binary"), F.lit(b""))))
 
 
 def _k(n: Column, percent: int) -> Column:
@@ -362,15 +369,20 @@ def _whole(docs: DataFrame, sets: DataFrame, wanted: DataFrame, percent: int, br
     return stored(made.join(wanted.select("cid"), "cid", "left_semi").dropDuplicates(["cid"]), "jaccard-codes")
 
 
-def components(docs: DataFrame, percent: int = 80) -> DataFrame:
-    """doc_id, n_shingles, component_id of every document; links need 100 * shared >= percent * united shingles."""
-    docs = docs.select("doc_id", "text")
+def _rooted(docs: DataFrame, percent: int, digests: bool) -> tuple[DataFrame, DataFrame]:
+    """Every document's class, and of every class its smallest doc_id, its copies and the root of its component."""
     kind = docs.schema["doc_id"].dataType.simpleString()
-    sets = stored(_sets(docs, f"doc_id {kind}, cid bigint, n int, codes array<bigint>", percent, False), "jaccard-sets")
+    more = "digest binary, " if digests else ""
+    sets = stored(_sets(docs, f"doc_id {kind}, {more}cid bigint, n int, codes array<bigint>", percent, False), "jaccard-sets")
     classes = sets.where("n > 0").groupBy("cid").agg(F.min("doc_id").alias("low"), F.count("*").alias("copies"))
     found = links(docs, sets, percent)
     labels = connected(found)
-    rooted = classes.join(labels, "cid", "left").select("cid", "low", "copies", F.coalesce("label", "cid").alias("root"))
+    return sets, classes.join(labels, "cid", "left").select("cid", "low", "copies", F.coalesce("label", "cid").alias("root"))
+
+
+def components(docs: DataFrame, percent: int = 80) -> DataFrame:
+    """doc_id, n_shingles, component_id of every document; links need 100 * shared >= percent * united shingles."""
+    sets, rooted = _rooted(docs.select("doc_id", "text"), percent, False)
     roots = rooted.groupBy("root").agg(F.min("low").alias("component_id"), F.count("*").alias("n"))
     named = salted_join(rooted, roots, "root", "n", F.xxhash64("cid")).select("cid", "component_id", "copies")
     members = sets.where("n > 0").select("doc_id", "cid", "n")
@@ -381,10 +393,22 @@ def components(docs: DataFrame, percent: int = 80) -> DataFrame:
 
 
 def keep_one(docs: DataFrame, percent: int = 80) -> DataFrame:
-    """``docs`` with one document of each component, the one with the smallest doc_id.
+    """``docs`` with one row of each component: that with the smallest doc_id, or any if none has one.
 
-    Of repeated rows with its id and text one stays. Documents without an id stay.
+    Rows are told apart by doc_id and text, so an id that several texts share keeps no copies, and rows without an
+    id are judged like others. Texts without words are linked with nothing: all of them stay, but of rows with the same id one.
     """
-    found = components(docs, percent).where(F.col("doc_id") == F.col("component_id")).select(F.col("doc_id").alias("_kept")).distinct()
-    kept = docs.join(found, docs["doc_id"] == found["_kept"], "left_semi").dropDuplicates(["doc_id", "text"])
-    return kept.unionByName(docs.where(F.col("doc_id").isNull()))
+    sets, rooted = _rooted(docs.select("doc_id", "text"), percent, True)
+    members = sets.where("n > 0").select("doc_id", "digest", "cid")
+    named = salted_join(members, rooted.select("cid", "copies", "root"), "cid", "copies", F.xxhash64("doc_id", "digest"))
+    first = named.groupBy("root").agg(F.min(F.struct(F.col("doc_id").isNull().alias("last"), "doc_id", "digest")).alias("first"))
+
+    def rows_of(keys: DataFrame) -> DataFrame:
+        keys = keys.toDF("__kept_id", "__kept_digest")
+        same = docs["doc_id"].eqNullSafe(keys["__kept_id"]) & (text_digest() == keys["__kept_digest"])
+        return docs.join(keys, same, "left_semi")
+
+    bare = rows_of(sets.where("n = 0").select("doc_id", "digest").distinct())
+    worded = rows_of(first.select("first.doc_id", "first.digest"))
+    single = worded.union(bare.where(F.col("doc_id").isNotNull())).dropDuplicates(["doc_id", "text"])
+    return single.union(bare.where(F.col("doc_id").isNull()))

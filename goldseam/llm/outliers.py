@@ -2,7 +2,7 @@
 
 Every whole text gets word and line statistics. Documents that fail the base rules are out. The
 others form groups by language and source (by language alone where a group has fewer than
-``least_group`` of them; smaller languages are not judged). Each group's centre and covariance come
+``least_group`` of them, and languages with fewer together). Each group's centre and covariance come
 from the three quarters of its documents that lie closest together: starting from medians and
 median deviations, concentration steps re-estimate both from the documents within the 0.75 quantile of the
 squared Mahalanobis distance. A document is rejected if its distance under its group's
@@ -80,7 +80,7 @@ def group_key(*columns: str) -> Column:
 
 
 def grouped(rows: DataFrame, least_group: int) -> DataFrame:
-    """Adds ``grp``: language and source, or language, or null where even that has too few rows that passed."""
+    """Adds ``grp``: language and source, or language where these have too few rows that passed, or all such languages together."""
     passed = rows.where(~F.col("base_failed"))
     spread = F.xxhash64("doc_id")
 
@@ -91,7 +91,7 @@ def grouped(rows: DataFrame, least_group: int) -> DataFrame:
     rows = rows.withColumn("fine", fine).withColumn("coarse", F.concat(F.lit("all "), coarse))
     rows = lookup(rows, large(fine, "fine").withColumn("has_fine", F.lit(True)), "fine", "n", spread)
     rows = lookup(rows, large(F.concat(F.lit("all "), coarse), "coarse").withColumn("has_coarse", F.lit(True)), "coarse", "n", spread)
-    grp = F.when(F.col("has_fine"), F.col("fine")).when(F.col("has_coarse"), F.col("coarse"))
+    grp = F.when(F.col("has_fine"), F.col("fine")).when(F.col("has_coarse"), F.col("coarse")).otherwise(F.lit("rest"))
     return rows.withColumn("grp", grp).drop("fine", "coarse", "has_fine", "has_coarse")
 
 
@@ -166,9 +166,13 @@ def concentrate(rows: DataFrame, estimate: DataFrame) -> DataFrame:
 
 
 def judge(docs: DataFrame, cutoff: float = chi_square(7.0), least_group: int = 100, steps: int = 4) -> DataFrame:
-    """doc_id, the base statistics, base_failed, kept, and distance (null where no estimate applies)."""
-    rows = stored(grouped(statistics(docs), least_group), "outliers-statistics")
-    judged = rows.where(~F.col("base_failed") & F.col("grp").isNotNull())
+    """doc_id, the base statistics, base_failed, kept, and distance (null where no row passed the base rules).
+
+    Groups of fewer than ``least_group`` rows are estimated with their language, languages of fewer with each other.
+    """
+    measured = stored(statistics(docs), "outliers-statistics")
+    rows = stored(grouped(measured, least_group), "outliers-grouped")
+    judged = rows.where(~F.col("base_failed"))
     estimate = stored(first_estimate(judged), "outliers-estimate")
     for _ in range(steps):
         estimate = stored(concentrate(judged, estimate), "outliers-estimate")

@@ -30,7 +30,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from goldseam.llm.common import by_id, held_out, labelled_sample
+from goldseam.llm.common import by_bytes, by_id, held_out, labelled_sample
 
 WORD_BYTES = bytes(
     c + 32 if 65 <= c <= 90 else c if c >= 128 or 48 <= c <= 57 or 97 <= c <= 122 else 32 for c in range(256)
@@ -214,7 +214,7 @@ def reject(docs: DataFrame, labels: DataFrame, threshold: float = 0.7, **options
 
     def kept(batches):
         cache = _WordLogits(shared.value)
-        for batch in batches:
+        for batch in by_bytes(batches, "text", 2 << 20):
             scores = score_texts(batch["text"].cast(pa.binary()).to_pylist(), shared.value, cache)
             yield batch.filter(pa.array(scores < threshold))
 

@@ -91,7 +91,15 @@ def test_odd_rows(spark, odd, none):
     assert jaccard.components(none).count() == 0
     kept = jaccard.keep_one(odd)
     assert kept.columns == odd.columns
-    assert sorted((r.doc_id or 0) for r in kept.collect()) == [0, 0, 1, 2, 3, 4, 5, 6, 7]
+    assert sorted((r.doc_id or 0) for r in kept.collect()) == [0, 1, 2, 3, 4, 5, 6, 7]
+
+
+def test_no_copy_stays_for_a_shared_or_missing_id(spark):
+    rows = [(1, "a b c d e f"), (None, "a b c d e f"), (None, "A b c d e f"), (None, "a b  c d e f"), (0, "g h i j k"), (1, "g h i j k"), (None, "x y"), (None, "x y"), (None, ""), (None, "")]
+    kept = jaccard.keep_one(spark.createDataFrame([(*r, k) for k, r in enumerate(rows)], "doc_id bigint, text string, __kept int"))
+    assert sorted((r.doc_id is None, r.doc_id or 0, r.text) for r in kept.collect()) == [
+        (False, 0, "g h i j k"), (False, 1, "a b c d e f"), (True, 0, ""), (True, 0, ""), (True, 0, "x y"),
+    ]
 
 
 def test_long_chain_of_links(spark):

@@ -36,7 +36,15 @@ def test_outliers_are_rejected_per_group(spark, by_doc):
     assert all(found[k]["kept"] for k in range(600))
     assert not found[1000]["kept"] and not found[1001]["kept"]
     assert found[1002]["base_failed"] and not found[1002]["kept"]
-    assert found[1003]["kept"] and found[1003]["distance"] is None  # too few of its kind to judge
+    assert found[1003]["kept"] and found[1003]["distance"] == 0  # the only one of what is left
+
+
+def test_small_languages_are_judged_together(spark, by_doc):
+    clean = " ".join("".join("aeioulnrst"[(k * m + m) % 10] for m in range(3, 3 + 2 + k % 7)) + f"{'.' if k % 9 == 0 else ''}" for k in range(90))
+    rows = [(k, clean + " " + " ".join(["more", "words", "of", "some", "kind"][: k % 5]), f"l{k % 30}", "a") for k in range(300)]
+    rows += [(1000, clean.replace(" ", "### "), "l5", "a"), (1001, clean.upper(), None, None)]
+    found = {r["doc_id"]: r for r in by_doc(outliers.judge(spark.createDataFrame(rows, "doc_id bigint, text string, lang string, source string")))}
+    assert all(found[k]["kept"] for k in range(300)) and not found[1000]["kept"] and not found[1001]["kept"]
 
 
 def test_concentration_ignores_a_quarter_of_bad_rows(spark):
