@@ -87,6 +87,46 @@ def as_of(
     return last.filter(F.col("last")["op"] != delete_op).select(*keys, *(F.col("last")[c].alias(c) for c in payload))
 
 
+def last_changes(log: DataFrame, keys: Sequence[str], order: Sequence[str] = ("version",)) -> DataFrame:
+    """The last change of every key, in the columns of the log."""
+    last = log.groupBy(*keys).agg(F.max_by(F.struct(*log.columns), F.struct(*order)).alias("last"))
+    return last.select(*(F.col("last")[c].alias(c) for c in log.columns))
+
+
+def write_snapshots(log: DataFrame, keys: Sequence[str], path: str, span: int, delete_op: str = "delete") -> int:
+    """Stores a change log by epochs of ``span`` versions, and the state at the start of each; returns the number of epochs.
+
+    Each state is made from the one before and the changes between, so no change is read more than twice.
+    """
+    spark, epoch = log.sparkSession, F.floor(F.col("version") / span).cast("int")
+    log.withColumn("epoch", epoch).hint("rebalance", "epoch").write.partitionBy("epoch").parquet(f"{path}/log")
+    stored = spark.read.schema(f"{_ddl(log)}, epoch int").parquet(f"{path}/log")
+    latest = stored.agg(F.max("epoch")).first()[0]
+    state = log.limit(0)
+    for start in range(1, (latest or 0) + 1):
+        news = stored.where(F.col("epoch") == start - 1).drop("epoch")
+        last_changes(state.unionByName(news), keys).where(F.col("op") != delete_op).write.parquet(f"{path}/state/{start}")
+        state = spark.read.schema(log.schema).parquet(f"{path}/state/{start}")
+    return (latest or 0) + 1
+
+
+def _ddl(df: DataFrame) -> str:
+    return ", ".join(f"`{f.name}` {f.dataType.simpleString()}" for f in df.schema.fields)
+
+
+def as_of_snapshot(log_schema: DataFrame, keys: Sequence[str], path: str, span: int, epochs: int, version: int, delete_op: str = "delete") -> DataFrame:
+    """``as_of`` a version from stored snapshots: the state at the start of its epoch and the changes since.
+
+    ``log_schema`` is any frame with the log's columns. Files of other epochs are not read.
+    """
+    spark, epoch = log_schema.sparkSession, min(max(version // span, 0), epochs - 1)
+    stored = spark.read.schema(f"{_ddl(log_schema)}, epoch int").parquet(f"{path}/log")
+    changes = stored.where(F.col("epoch") == epoch).drop("epoch")
+    if epoch > 0:
+        changes = changes.unionByName(spark.read.schema(log_schema.schema).parquet(f"{path}/state/{epoch}"))
+    return as_of(changes, keys, version=version, delete_op=delete_op)
+
+
 def change_history(log: DataFrame, by: Sequence[str] = ("version", "op")) -> DataFrame:
     """Changes per version and kind, with the time they span."""
     return log.groupBy(*by).agg(

@@ -135,3 +135,20 @@ def events_as_of_version(t: Tables) -> DataFrame:
 def change_history(t: Tables) -> DataFrame:
     log = t.events.select(F.col("ts").cast("date").alias("day"), F.col("event_type").alias("op"), "ts")
     return changes.change_history(log, ["day", "op"])
+
+
+@query(
+    """
+    SELECT user_id, event_type, value FROM (
+        SELECT *, row_number() OVER (PARTITION BY user_id ORDER BY event_id DESC) AS place FROM events
+        WHERE event_id <= (SELECT max(event_id) * 3 // 5 FROM events))
+    WHERE place = 1 AND event_type <> 'error'
+    """
+)
+def events_as_of_snapshot(t: Tables) -> DataFrame:
+    """The table of users at a version, from the last snapshot before it rather than from the whole log."""
+    log, path = _log(t), scratch_path(t.spark, "snapshots")
+    version = log.agg(F.max("version")).first()[0] * 3 // 5
+    span = version // 2 + 1
+    epochs = changes.write_snapshots(log, ["user_id"], path, span)
+    return changes.as_of_snapshot(log, ["user_id"], path, span, epochs, version)

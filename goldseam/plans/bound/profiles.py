@@ -263,3 +263,15 @@ def summary_sketched(t: Tables) -> DataFrame:
     for name, a, b in zip(("q1", "median", "q3"), low, high):
         within = within & F.col(name).between(a, b)
     return made.select("column_name", "n", "mean", within.alias("within"))
+
+
+@query(
+    " UNION ALL ".join(
+        f"SELECT '{c}' AS column_name, count({c}) AS n, round(avg({c}), 6) AS mean, round(stddev({c}), 6) AS stddev, "
+        f"CAST(min({c}) AS DOUBLE) AS min, CAST(max({c}) AS DOUBLE) AS max FROM part"
+        for c in ("p_partkey", "p_size", "p_retailprice")
+    )
+)
+def describe_all_numeric(t: Tables) -> DataFrame:
+    """Statistics of every numeric column of parts, found by its type."""
+    return profile.describe_numeric(t.part)

@@ -78,3 +78,18 @@ def test_latest_state_and_history(log, values):
 def test_null_payload_survives(frame, values):
     log = frame([(1, "x", "insert", 1, None), (1, None, "update", 2, None)], "id INT, v STRING, op STRING, version INT, ts TIMESTAMP")
     assert values(changes.as_of(log, ["id"])) == [(1, None)]
+
+
+def test_state_from_snapshots(spark, tmp_path):
+    rows = [(k % 5, "delete" if k % 7 == 3 else "upsert", k, k * 10) for k in range(60)]
+    log = spark.createDataFrame(rows, "user int, op string, version bigint, ts bigint").withColumn("v", F.col("version") * 2)
+    path = str(tmp_path / "log")
+    epochs = changes.write_snapshots(log, ["user"], path, 16)
+    assert epochs == 4
+    for version in (-1, 0, 15, 16, 17, 31, 40, 59, 1000):
+        got = sorted(map(tuple, changes.as_of_snapshot(log, ["user"], path, 16, epochs, version).collect()))
+        assert got == sorted(map(tuple, changes.as_of(log, ["user"], version=version).collect())), version
+    plan = changes.as_of_snapshot(log, ["user"], path, 16, epochs, 40)._jdf.queryExecution().executedPlan().toString()
+    assert "PartitionFilters: [isnotnull(epoch" in plan and "= 2)" in plan
+    empty = str(tmp_path / "none")
+    assert changes.write_snapshots(log.limit(0), ["user"], empty, 16) == 1
