@@ -282,11 +282,12 @@ def detect(docs: DataFrame) -> DataFrame:
 
 
 def report(docs: DataFrame) -> DataFrame:
-    """doc_id, n_email, n_ip, n_card, n_phone, base_sha256, spans of every whole text."""
+    """doc_id, n_email, n_ip, n_card, n_phone, base_sha256, spans, n_spans (base and added) of every whole text."""
     rows = detect(docs)
     spans = _listed(F.concat("base", "added"))
     counts = [f"n_{kind}" for kind in BASE_KINDS]
-    return rows.select("doc_id", *counts, F.sha2(_listed(F.col("base")), 256).alias("base_sha256"), spans.alias("spans"))
+    whole = (F.size("base") + F.size("added")).cast("bigint").alias("n_spans")
+    return rows.select("doc_id", *counts, F.sha2(_listed(F.col("base")), 256).alias("base_sha256"), spans.alias("spans"), whole)
 
 
 def mask(docs: DataFrame) -> DataFrame:

@@ -50,6 +50,7 @@ def test_base_spans(spark, documents):
         base = expected[r.doc_id]
         assert r.base_sha256 == hashlib.sha256(",".join(base).encode()).hexdigest()
         assert [s for s in r.spans.split(",") if s.split(":")[0] in PATTERNS] == base
+        assert r.n_spans == len([s for s in r.spans.split(",") if s])
         assert (r.n_email, r.n_ip, r.n_card, r.n_phone) == tuple(sum(s.startswith(kind) for s in base) for kind in PATTERNS)
 
 
