@@ -5,16 +5,20 @@ k = n - ceil(threshold n) + 1 of each, in any order of shingles common to all, s
 form a first region; nothing links across. In the order used, shingles common among classes come last, so
 that frequent lines and passages make no regions of their own.
 
-A region of at most DIRECT classes is compared directly. A larger one takes several pivots, one of them the class that
-shares most shingles: the likely original of a group of near copies. Every member
-gets its distances to them and goes to the nearest pivot's Voronoi region, and also to each other region whose
-pivot is nearer than its own plus twice the radius: by the triangle inequality, any partner of the
-classes there lies within that window. Regions join recursively; pairs with pivots are done and pivots leave. A region
-whose members all are connected is finished. Where windows would replicate a region more than twice, or leave more than half of
-it together (in many dimensions they often do), it stays whole and is compared directly after that round.
-
-Direct comparison leaves out what cannot connect anything: pairs connected already, of sizes that cannot be linked, whose
-distances to the region's first pivot differ by more than the radius, or whose sketches (parities of shingles in
+A region of at most DIRECT classes is compared directly. A larger one takes a pivot: the class that shares most shingles,
+the likely original of a group of near copies. Regions with the same pivot are one cell, so each member is
+measured once per pivot. Members up to distance BALL belong to the pivot; all others go on to the region's next pivot, so that
+the pivots divide a region like Voronoi cells in the order of the pivots. By the triangle inequality any partner of a member
+within the ball lies within BALL plus the radius: documents of that window are replicated to both.
+
+Inside a ball a member is coded by its difference from the pivot (shingles in only one of the two). Members linked to the
+pivot are connected. Of any other pair at least one is not linked to it, and then the triangle inequality for symmetric differences
+says that the two share differences, so many that the rarest of each hold a common one. Few members
+with a common rare difference are compared by differences; many are a smaller region with a pivot of their own: regions join recursively.
+What is left after ROUNDS rounds, and regions that became small, are compared directly.
+
+Direct comparison leaves out what cannot connect anything: pairs connected already, of sizes that cannot be linked, or
+whose sketches (parities of shingles in
 SKETCH_BITS buckets, in which shared shingles cancel out) differ in more places than linked sets do. In regions of light
 shingles it counts the regions where two classes meet instead, since linked classes must meet in many.
 
@@ -27,6 +31,8 @@ doc_id is never the smallest unless a component has no other.
 
 from __future__ import annotations
 
+import itertools
+
 import numpy as np
 import pyarrow as pa
 import xxhash
@@ -36,9 +42,10 @@ from pyspark.sql.window import Window
 
 from goldseam.llm.common import salted_join, stored
 
-#: A shingle of more classes is common. A region of up to DIRECT classes is compared without pivots; a larger one takes
-#: about PIVOTS of them a round, but at most one member in 16 besides the first.
-LEAF, DIRECT, PIVOTS = 32, 32, 16
+#: A shingle of more classes is common. A region of up to DIRECT classes is compared without pivots.
+LEAF, DIRECT = 32, 32
+#: Distance up to which a document belongs to a region's pivot, and rounds of pivots before what is left is compared directly.
+BALL, ROUNDS = 0.4, 8
 SKETCH_BITS = 512
 SKETCH = [f"sketch{k}" for k in range(SKETCH_BITS // 64)]
 _LEFT, _RIGHT = np.uint64(0xBF58476D1CE4E5B9), np.uint64(0x94D049BB133111EB)
@@ -189,45 +196,94 @@ def _met_pairs(members: DataFrame, percent: int) -> DataFrame:
     return left.join(right, "region").where(meet).groupBy("a", "b").agg(F.count("*").alias("shared"))
 
 
-def _close_pairs(members: DataFrame, codes: DataFrame, percent: int, radius: float) -> DataFrame:
-    """a, b: pairs of members of a region that may still connect something, by size, pivot and sketch.
+def _close_pairs(members: DataFrame, codes: DataFrame, percent: int) -> DataFrame:
+    """a, b: pairs of members of a region that may still connect something, by size and sketch.
 
     All of that is a condition of the join, so that pairs it excludes are never rows.
     """
     members = members.join(codes.select("cid", *SKETCH), "cid")
-    columns = ["cid", "n", "label", "out", *SKETCH]
+    columns = ["cid", "n", "label", *SKETCH]
     left, right = (members.select("region", *(F.col(c).alias(f"{c}_{side}") for c in columns)) for side in "ab")
     differ = sum((F.bit_count(F.col(f"{c}_a").bitwiseXOR(F.col(f"{c}_b"))) for c in SKETCH), F.lit(0))
     # Linked sets have at most this share of their shingles in one of them only.
     meet = (
         (F.col("cid_a") < F.col("cid_b")) & (F.col("label_a") != F.col("label_b")) & _compatible(F.col("n_a"), F.col("n_b"), percent)
-        & (F.abs(F.col("out_a") - F.col("out_b")) <= radius)
         & ((100 + percent) * differ <= (100 - percent) * (F.col("n_a") + F.col("n_b")))
     )
     return left.join(right, "region").where(meet).select(F.col("cid_a").alias("a"), F.col("cid_b").alias("b")).distinct()
 
 
-def _split(distances: DataFrame, radius: float) -> DataFrame:
-    """The members of each region in the Voronoi regions of its pivots, replicated by windows; whole where that does not pay.
+def _measured(cells: DataFrame, codes: DataFrame) -> DataFrame:
+    """pivot, cid, n, n_p, diff (what is in only one of the two sets) of every cell. A member's list is read once per
+    pivot, and both joins are of plain shuffles, which adaptive execution splits where a pivot is hot."""
+    own = codes.select("cid", "codes")
+    pivots = own.join(cells.select(F.col("pivot").alias("cid")).distinct(), "cid", "left_semi")
+    met = cells.join(own, "cid").join(pivots.select(F.col("cid").alias("pivot"), F.col("codes").alias("codes_p")), "pivot")
+    diff = F.concat(F.array_except("codes", "codes_p"), F.array_except("codes_p", "codes"))
+    return met.select("pivot", "cid", F.size("codes").alias("n"), F.size("codes_p").alias("n_p"), diff.alias("diff"))
+
+
+def _distance() -> Column:
+    """Jaccard distance of a measured member to its pivot."""
+    return 2 * F.size("diff") / (F.col("n") + F.col("n_p") + F.size("diff"))
+
+
+def _near(percent: int) -> Column:
+    """Whether a measured member is linked to its pivot."""
+    return (100 + percent) * F.size("diff") <= (100 - percent) * (F.col("n") + F.col("n_p"))
+
+
+def _entries(cells: DataFrame, percent: int) -> DataFrame:
+    """key (pivot and difference), member and place of the differences by which members of a cell find their partners.
 
-    ``out`` is the distance to the first pivot where the region stays whole, else 0.
+    Of two members that are not connected, one (b) is not linked to the pivot, so |b - p| exceeds what links them, and a
+    link of a and b needs more than (share of |a - p|) / 2 common differences: a's first ones in any common order hold
+    one. Differences that no member far from the pivot has, or only one member, come first and join nothing.
     """
-    # A member has as many distances as its region has pivots.
-    to = F.collect_list(F.struct("d", "pivot")).alias("to")
-    out = F.max(F.when(F.col("first"), F.col("d"))).alias("out")
-    own = distances.groupBy("region", "cid", "n", "central").agg(to, F.min("d").alias("nearest"), out)
-    near = F.filter("to", lambda x: x["d"] <= F.col("nearest") + 2 * radius)
-    own = stored(own.select("region", "cid", "n", "central", "out", F.transform(near, lambda x: x["pivot"]).alias("near")), "jaccard-near")
-    parts = own.select("region", F.explode("near").alias("pivot")).groupBy("region", "pivot").agg(F.count("*").alias("part"))
-    parts = parts.groupBy("region").agg(F.sum("part").alias("copies"), F.max("part").alias("largest"))
-    members = own.groupBy("region").agg(F.count("*").alias("members"))
-    pays = (F.col("copies") <= 2 * F.col("members")) & (2 * F.col("largest") <= F.col("members"))
-    pays = parts.join(members, "region").select("region", "members", pays.alias("pays"))
-    told = salted_join(own, pays, "region", "members", F.xxhash64("cid"))
-    split = told.where("pays").select("cid", "n", "central", F.lit(0.0).alias("out"), F.lit(False).alias("whole"), "region", F.explode("near").alias("pivot"))
-    columns = ["cid", "n", "central", "out", "whole"]
-    split = split.select(F.xxhash64("region", "pivot").alias("region"), *columns)
-    return split.union(told.where("NOT pays").withColumn("whole", F.lit(True)).select("region", *columns))
+    keyed = F.xxhash64("pivot", "d").alias("key")
+    each = cells.select("pivot", "cid", "n", "n_p", "label", "linked", F.size("diff").alias("size_d"), F.explode("diff").alias("d"))
+    each = each.withColumn("key", keyed).drop("d")
+    often = each.groupBy("key").agg(F.count("*").alias("m"), F.sum((~F.col("linked")).cast("long")).alias("open"))
+    often = stored(often.where("m > 1 AND open > 0"), "jaccard-often")
+    met = salted_join(each, often, "key", "m", F.xxhash64("cid"))
+    member = ["pivot", "cid", "n", "n_p", "label", "linked", "size_d"]
+    met = met.groupBy(*member).agg(F.array_sort(F.collect_list(F.struct("open", "key"))).alias("shared"))
+    both, less = F.lit(2 * (100 + percent)), F.lit(100 - percent)
+    # Common differences that a link with a member far from the pivot needs, and with one linked to it.
+    far = F.floor(((100 + percent) * F.col("size_d") + less * (F.col("n_p") - F.col("n"))) / both) + 1
+    close = F.floor(((100 + percent) * F.col("size_d") - less * (F.col("n_p") + F.col("n"))) / both) + 1
+    needs = F.when(F.col("linked"), far).otherwise(F.least(far, close))
+    skipped = F.col("size_d") - F.size("shared")
+    taken = F.greatest(F.col("size_d") - needs + 1 - skipped, F.lit(0)).cast("int")
+    met = met.withColumn("skipped", skipped).withColumn("central", F.when(F.col("linked"), 0).otherwise(1) + F.size("shared") / F.col("size_d"))
+    met = met.select(*member, "skipped", "central", F.posexplode(F.slice("shared", F.lit(1), taken)).alias("at", "x"))
+    return met.select(*member, "central", "x.key", (F.col("skipped") + F.col("at")).alias("at"))
+
+
+def _partners(few: DataFrame, percent: int) -> DataFrame:
+    """pivot, a, b: pairs under a key whose members far from the pivot are at most DIRECT, where the place of the key
+    leaves enough differences to share. The triangle inequality between both distances is part of it."""
+    columns = ["cid", "n", "label", "linked", "size_d", "at"]
+    left = few.where("NOT linked").select("key", "pivot", "size", *(F.col(c).alias(f"{c}_b") for c in columns))
+    right = few.select("key", *(F.col(c).alias(f"{c}_a") for c in columns))
+    met = salted_join(right, left, "key", "size", F.xxhash64("cid_a"))
+    needs = (100 + percent) * (F.col("size_d_a") + F.col("size_d_b")) - (100 - percent) * (F.col("n_a") + F.col("n_b"))
+    left_over = F.least(F.col("size_d_a") - F.col("at_a"), F.col("size_d_b") - F.col("at_b"))
+    meet = (
+        (F.col("label_a") != F.col("label_b")) & (F.col("linked_a") | (F.col("cid_a") < F.col("cid_b")))
+        & _compatible(F.col("n_a"), F.col("n_b"), percent) & (2 * (100 + percent) * left_over >= needs)
+    )
+    pair = (F.least("cid_a", "cid_b").alias("a"), F.greatest("cid_a", "cid_b").alias("b"))
+    return met.where(meet).groupBy(*pair).agg(F.min("pivot").alias("pivot"))
+
+
+def _linked_by_differences(pairs: DataFrame, cells: DataFrame, percent: int) -> DataFrame:
+    """Links among pairs of members of a cell, decided on their differences from its pivot."""
+    for side in "ab":
+        own = cells.select("pivot", F.col("cid").alias(side), F.col("n").alias(f"n_{side}"), F.col("diff").alias(f"diff_{side}"))
+        pairs = pairs.join(own, ["pivot", side])
+    apart = F.size("diff_a") + F.size("diff_b") - 2 * F.size(F.array_intersect("diff_a", "diff_b"))
+    return pairs.where((100 + percent) * apart <= (100 - percent) * (F.col("n_a") + F.col("n_b"))).select("a", "b")
 
 
 def _posted(classes: DataFrame, percent: int) -> tuple[DataFrame, DataFrame, DataFrame]:
@@ -323,33 +379,43 @@ def _linked(compared: DataFrame, percent: int) -> DataFrame:
 
 
 def _large_regions(large: DataFrame, codes: DataFrame, percent: int) -> DataFrame:
-    """Links that connect all linked members of regions of more than DIRECT classes, by rounds of pivots.
-
-    A region that is split has parts of at most half its members, so rounds are few.
-    """
+    """Links that connect all linked members of regions of more than DIRECT classes, by rounds of pivots."""
     radius = 1 - percent / 100 + 1e-9  # rounding may not exclude a link
     found = None
-    rounds = 0
-    while not large.isEmpty():
-        pick = F.pmod(F.xxhash64("cid", F.lit(rounds)), F.greatest(F.lit(16), F.ceil(F.col("size") / PIVOTS))) == 0
-        first = F.col("cid") == F.col("centre")
-        pivots = large.where(first | pick).select("region", F.col("cid").alias("pivot"), first.alias("first"), "size")
-        rest = large.where(~(first | pick)).select("region", "cid", "n", "central")
-        met = salted_join(rest, pivots, "region", "size", F.xxhash64("cid")).select("region", "cid", "n", "central", "pivot", "first")
-        # Pivots meet each other as well, as they leave the region together.
-        both = pivots.join(pivots.select("region", F.col("pivot").alias("other")), "region").where("pivot < other")
-        pairs = met.select(F.col("cid").alias("a"), F.col("pivot").alias("b")).union(both.select("pivot", "other")).distinct()
-        measured = stored(compare(pairs, codes).withColumn("d", 1 - F.col("both") / _union()), "jaccard-measured")
-        close = _linked(measured, percent)
+    for rounds in itertools.count():
+        cells = large.where("cid <> centre").select(F.col("centre").alias("pivot"), "cid").distinct()
+        measured = stored(_measured(cells, codes).withColumn("linked", _near(percent)).withColumn("d", _distance()), "jaccard-measured")
+        close = measured.where("linked").select(F.col("cid").alias("a"), F.col("pivot").alias("b"))
         found = stored(close if found is None else found.union(close), "jaccard-links")
-        known = measured.select(F.col("a").alias("cid"), F.col("b").alias("pivot"), "d")
-        left = stored(_labelled(_split(met.join(known, ["cid", "pivot"]), radius), connected(found)), "jaccard-regions")
-        direct = F.col("whole") | (F.col("size") <= DIRECT)
-        pairs = stored(_close_pairs(left.where(direct), codes, percent, radius), "jaccard-pairs")
+        labels = connected(found)
+        # Within the ball and its window, cells of several labels go on by differences.
+        ball = measured.where(F.col("d") <= BALL + radius).join(labels, "cid", "left").withColumn("label", F.coalesce("label", "cid"))
+        facts = ball.groupBy("pivot").agg(F.count("*").alias("size"), F.min("label").alias("_low"), F.max("label").alias("_high"))
+        facts = facts.where("_low <> _high").select("pivot", "size")
+        ball = stored(salted_join(ball, facts, "pivot", "size", F.xxhash64("cid")).drop("size"), "jaccard-cells")
+        entries = stored(_entries(ball, percent), "jaccard-entries")
+        facts = entries.groupBy("key").agg(
+            F.count("*").alias("size"), F.sum((~F.col("linked")).cast("long")).alias("open"), F.min("label").alias("_low"), F.max("label").alias("_high")
+        )
+        facts = facts.where("_low <> _high AND open > 0").drop("_low", "_high")
+        entries = stored(salted_join(entries, facts, "key", "size", F.xxhash64("cid")), "jaccard-entries")
+        pairs = stored(_partners(entries.where(F.col("open") <= DIRECT), percent), "jaccard-pairs")
+        found = stored(found.union(_linked_by_differences(pairs, ball, percent)), "jaccard-links")
+        # Common differences make smaller regions; members beyond the ball go on with another pivot.
+        columns = ["region", "cid", "n", "central"]
+        inner = entries.where(F.col("open") > DIRECT).select(F.col("key").alias("region"), *columns[1:])
+        beyond = measured.where(F.col("d") > BALL).select(F.col("pivot").alias("centre"), "cid")
+        outer = large.join(beyond, ["centre", "cid"]).select(*columns)
+        left = inner.union(outer)
+        if left.isEmpty():
+            return found
+        large = stored(_labelled(left, connected(found)), "jaccard-regions")
+        direct = F.lit(rounds >= ROUNDS) | (F.col("size") <= DIRECT)
+        pairs = stored(_close_pairs(large.where(direct), codes, percent), "jaccard-pairs")
         found = stored(found.union(_linked(compare(pairs, codes), percent)), "jaccard-links")
-        large = left.where(~direct)
-        rounds += 1
-    return found
+        large = large.where(~direct)
+        if large.isEmpty():
+            return found
 
 
 def _whole(docs: DataFrame, sets: DataFrame, wanted: DataFrame, percent: int, broadcast_rows: int = 500_000) -> DataFrame:

@@ -70,8 +70,8 @@ def test_rounds_of_pivots(spark, monkeypatch):
     monkeypatch.setattr(jaccard, "LEAF", 2)
     monkeypatch.setattr(jaccard, "DIRECT", 6)
     rounds = []
-    split = jaccard._split
-    monkeypatch.setattr(jaccard, "_split", lambda *a: rounds.append(1) or split(*a))
+    measured = jaccard._measured
+    monkeypatch.setattr(jaccard, "_measured", lambda *a: rounds.append(1) or measured(*a))
     draw = random.Random(3)
     passage = [f"p{k}" for k in range(25)]
     rows = list(enumerate([t for _ in range(5) for t in family(draw, 3, 10, 2, passage)]))
@@ -79,6 +79,18 @@ def test_rounds_of_pivots(spark, monkeypatch):
     assert rounds
 
 
+@pytest.mark.parametrize("ball,rounds", [(0.0, 8), (0.4, 0), (1.0, 8)])
+def test_any_ball_and_number_of_rounds(spark, monkeypatch, ball, rounds):
+    monkeypatch.setattr(jaccard, "LEAF", 2)
+    monkeypatch.setattr(jaccard, "DIRECT", 3)
+    monkeypatch.setattr(jaccard, "BALL", ball)
+    monkeypatch.setattr(jaccard, "ROUNDS", rounds)
+    draw = random.Random(21)
+    passage = [f"p{k}" for k in range(25)]
+    texts = [t for _ in range(3) for t in family(draw, 6, 10, 2, passage)] + list(family(draw, 30, 60, 9))
+    assert run(spark, list(enumerate(texts))) == order(plain(list(enumerate(texts))))
+
+
 def test_another_threshold(spark):
     draw = random.Random(9)
     rows = list(enumerate(t for _ in range(10) for t in family(draw, 5, 30, 4)))
@@ -114,12 +126,12 @@ def test_hashes_do_not_depend_on_the_process():
     assert isinstance(jaccard.shingles(None, jaccard._WordHashes()), np.ndarray)
 
 
-def test_regions_of_a_few_dozen_take_pivots_before_direct_comparison(spark, monkeypatch):
-    """A group of 90 near copies, half of them too far from any other: neither all pairs nor a single pivot."""
-    measured, split = [], jaccard._split
-    monkeypatch.setattr(jaccard, "_split", lambda d, r: measured.append(d.select("pivot").distinct().count()) or split(d, r))
-    compared, compare = [], jaccard.compare
-    monkeypatch.setattr(jaccard, "compare", lambda pairs, codes: compared.append(pairs.count()) or compare(pairs, codes))
+def test_regions_of_a_few_dozen_are_joined_by_differences_from_pivots(spark, monkeypatch):
+    """A group of 90 near copies, half of them too far from any other: distances to pivots and few pairs besides."""
+    counts = {"_measured": [], "_linked_by_differences": [], "compare": []}
+    for name, seen in counts.items():
+        plainly = getattr(jaccard, name)
+        monkeypatch.setattr(jaccard, name, lambda rows, *a, plainly=plainly, seen=seen: seen.append(rows.count()) or plainly(rows, *a))
     draw = random.Random(12)
     base = [f"w{k}" for k in range(120)]
     texts = []
@@ -130,8 +142,8 @@ def test_regions_of_a_few_dozen_take_pivots_before_direct_comparison(spark, monk
         texts.append(" ".join(text))
     rows = list(enumerate(texts))
     assert run(spark, rows) == order(plain(rows))
-    assert measured and measured[0] > 1
-    assert sum(compared) < 90 * 89 / 2 / 2
+    assert counts["_measured"] and counts["_measured"][0] >= 44
+    assert sum(map(sum, counts.values())) < 90 * 89 / 2 / 2
 
 
 def test_sketches_never_differ_more_than_the_sets():
