@@ -45,7 +45,7 @@ from goldseam.llm.common import salted_join, stored
 #: A shingle of more classes is common. A region of up to DIRECT classes is compared without pivots.
 LEAF, DIRECT = 32, 32
 #: Distance up to which a document belongs to a region's pivot, and rounds of pivots before what is left is compared directly.
-BALL, ROUNDS = 0.4, 8
+BALL, ROUNDS = 0.4, 2
 SKETCH_BITS = 512
 SKETCH = [f"sketch{k}" for k in range(SKETCH_BITS // 64)]
 _LEFT, _RIGHT = np.uint64(0xBF58476D1CE4E5B9), np.uint64(0x94D049BB133111EB)
@@ -381,13 +381,14 @@ def _linked(compared: DataFrame, percent: int) -> DataFrame:
 def _large_regions(large: DataFrame, codes: DataFrame, percent: int) -> DataFrame:
     """Links that connect all linked members of regions of more than DIRECT classes, by rounds of pivots."""
     radius = 1 - percent / 100 + 1e-9  # rounding may not exclude a link
-    found = None
+    found, labels = None, None
     for rounds in itertools.count():
         cells = large.where("cid <> centre").select(F.col("centre").alias("pivot"), "cid").distinct()
         measured = stored(_measured(cells, codes).withColumn("linked", _near(percent)).withColumn("d", _distance()), "jaccard-measured")
         close = measured.where("linked").select(F.col("cid").alias("a"), F.col("pivot").alias("b"))
         found = stored(close if found is None else found.union(close), "jaccard-links")
-        labels = connected(found)
+        if labels is None or not close.isEmpty():
+            labels = connected(found)
         # Within the ball and its window, cells of several labels go on by differences.
         ball = measured.where(F.col("d") <= BALL + radius).join(labels, "cid", "left").withColumn("label", F.coalesce("label", "cid"))
         facts = ball.groupBy("pivot").agg(F.count("*").alias("size"), F.min("label").alias("_low"), F.max("label").alias("_high"))
@@ -400,7 +401,8 @@ def _large_regions(large: DataFrame, codes: DataFrame, percent: int) -> DataFram
         facts = facts.where("_low <> _high AND open > 0").drop("_low", "_high")
         entries = stored(salted_join(entries, facts, "key", "size", F.xxhash64("cid")), "jaccard-entries")
         pairs = stored(_partners(entries.where(F.col("open") <= DIRECT), percent), "jaccard-pairs")
-        found = stored(found.union(_linked_by_differences(pairs, ball, percent)), "jaccard-links")
+        more = stored(_linked_by_differences(pairs, ball, percent), "jaccard-links")
+        found = found.union(more)
         # Common differences make smaller regions; members beyond the ball go on with another pivot.
         columns = ["region", "cid", "n", "central"]
         inner = entries.where(F.col("open") > DIRECT).select(F.col("key").alias("region"), *columns[1:])
@@ -409,10 +411,14 @@ def _large_regions(large: DataFrame, codes: DataFrame, percent: int) -> DataFram
         left = inner.union(outer)
         if left.isEmpty():
             return found
-        large = stored(_labelled(left, connected(found)), "jaccard-regions")
-        direct = F.lit(rounds >= ROUNDS) | (F.col("size") <= DIRECT)
+        if not more.isEmpty():
+            labels = connected(found)
+        large = stored(_labelled(left, labels), "jaccard-regions")
+        direct = F.lit(rounds + 1 >= ROUNDS) | (F.col("size") <= DIRECT)
         pairs = stored(_close_pairs(large.where(direct), codes, percent), "jaccard-pairs")
-        found = stored(found.union(_linked(compare(pairs, codes), percent)), "jaccard-links")
+        more = stored(_linked(compare(pairs, codes), percent), "jaccard-links")
+        if not more.isEmpty():
+            found, labels = found.union(more), None
         large = large.where(~direct)
         if large.isEmpty():
             return found

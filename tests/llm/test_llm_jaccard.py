@@ -79,7 +79,7 @@ def test_rounds_of_pivots(spark, monkeypatch):
     assert rounds
 
 
-@pytest.mark.parametrize("ball,rounds", [(0.0, 8), (0.4, 0), (1.0, 8)])
+@pytest.mark.parametrize("ball,rounds", [(0.0, 3), (0.4, 1), (1.0, 4)])
 def test_any_ball_and_number_of_rounds(spark, monkeypatch, ball, rounds):
     monkeypatch.setattr(jaccard, "LEAF", 2)
     monkeypatch.setattr(jaccard, "DIRECT", 3)
