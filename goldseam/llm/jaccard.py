@@ -40,13 +40,15 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.window import Window
 
-from goldseam.llm.common import salted_join, stored
+from goldseam.llm.common import by_bytes, salted_join, stored
 
 #: A shingle of more classes is common. A region of up to DIRECT classes is compared without pivots.
 LEAF, DIRECT = 32, 32
 #: Distance up to which a document belongs to a region's pivot, and rounds of pivots before what is left is compared directly.
 BALL, ROUNDS = 0.4, 2
 SKETCH_BITS = 512
+#: Bytes of text that a Python worker turns into sets at a time (a longer text is one slice).
+SLICE_BYTES = 1 << 20
 SKETCH = [f"sketch{k}" for k in range(SKETCH_BITS // 64)]
 _LEFT, _RIGHT = np.uint64(0xBF58476D1CE4E5B9), np.uint64(0x94D049BB133111EB)
 
@@ -102,21 +104,19 @@ def _sets(docs: DataFrame, schema: str, percent: int, whole: bool) -> DataFrame:
 
     def mapped(batches):
         hashes = _WordHashes()
-        for batch in batches:
-            for begin in range(0, batch.num_rows, 256):
-                part = batch.slice(begin, 256)
-                sets = [shingles(text, hashes) for text in part["text"].to_pylist()]
-                columns = {
-                    "doc_id": part["doc_id"],
-                    "digest": part["digest"],
-                    "cid": pa.array([np.int64(np.uint64(xxhash.xxh3_64_intdigest(s.tobytes())).view(np.int64)) for s in sets], pa.int64()),
-                    "n": pa.array([len(s) for s in sets], pa.int32()),
-                    "codes": pa.array([s if whole else s[: posted_length(len(s), percent)] if len(s) else s for s in sets], pa.list_(pa.int64())),
-                }
-                if whole:
-                    made = np.array([sketch(s) for s in sets], np.int64).reshape(len(sets), len(SKETCH))
-                    columns |= {n: pa.array(made[:, k]) for k, n in enumerate(SKETCH)}
-                yield pa.RecordBatch.from_pydict({n: columns[n] for n in names})
+        for part in by_bytes(batches, "text", SLICE_BYTES):
+            sets = [shingles(text, hashes) for text in part["text"].to_pylist()]
+            columns = {
+                "doc_id": part["doc_id"],
+                "digest": part["digest"],
+                "cid": pa.array([np.int64(np.uint64(xxhash.xxh3_64_intdigest(s.tobytes())).view(np.int64)) for s in sets], pa.int64()),
+                "n": pa.array([len(s) for s in sets], pa.int32()),
+                "codes": pa.array([s if whole else s[: posted_length(len(s), percent)] if len(s) else s for s in sets], pa.list_(pa.int64())),
+            }
+            if whole:
+                made = np.array([sketch(s) for s in sets], np.int64).reshape(len(sets), len(SKETCH))
+                columns |= {n: pa.array(made[:, k]) for k, n in enumerate(SKETCH)}
+            yield pa.RecordBatch.from_pydict({n: columns[n] for n in names})
 
     digest = (text_digest() if "digest" in names else F.lit(None).cast("binary")).alias("digest")
     return docs.select("doc_id", F.col("text").cast("binary").alias("text"), digest).mapInArrow(mapped, schema)
