@@ -16,6 +16,8 @@ from goldseam.operators.joins import hot_keys
 from goldseam.operators.scoring import enrich_predictions
 from goldseam.plans import claims
 from goldseam.plans.bound.registry import Tables, query, sql_mean
+from goldseam.session import scratch_path
+from goldseam.sources.sinks import can_bucket, write_layer
 
 # Event kind -> label; an error has no label.
 DAMAGE = {"click": "scratch", "view": "dent", "signup": "crack", "purchase": "glass"}
@@ -238,6 +240,32 @@ def claim_policy_customer(t: Tables) -> DataFrame:
     return claims.customer_claim_policy(raw_claims(t), raw_policies(t), raw_customers(t))
 
 
+def stored_for_policies(t: Tables, buckets: int = 16) -> tuple[DataFrame, DataFrame]:
+    """Claims and policies stored once in buckets by policy number, for all joins of them."""
+    sides = {"claims_clean": raw_claims(t), "policies_clean": raw_policies(t)}
+    bucketed = can_bucket([(sides[n], key) for n, key in claims.POLICY_KEYS.items()], buckets)
+    tables = []
+    for name, key in claims.POLICY_KEYS.items():
+        path = scratch_path(t.spark, name)
+        table = path.rsplit("/", 1)[1].replace("-", "_")
+        write_layer(sides[name], table, verify=True, bucket_by=(key, buckets) if bucketed else None, path=path)
+        tables.append(t.spark.table(table))
+    return tuple(tables)
+
+
+@query(CLAIM_POLICY_SQL)
+def claim_policy_bucketed(t: Tables) -> DataFrame:
+    return claims.customer_claim_policy(*stored_for_policies(t), raw_customers(t))
+
+
+@query(JUDGED_SQL + "SELECT decision_final, auto_make, count(*) AS n_claims FROM judged GROUP BY decision_final, auto_make")
+def decisions_bucketed(t: Tables) -> DataFrame:
+    stored_claims, policies = stored_for_policies(t)
+    best = claims.best_prediction(predictions(t))
+    judged_rows = claims.judged_claims(claims.claim_base(stored_claims, policies, None, best, hot_keys(stored_claims, "claim_no")))
+    return kpi(judged_rows, ["decision_final", "auto_make"], {"n_claims": rows()})
+
+
 def _enriched(t: Tables) -> DataFrame:
     telematics = kpi(
         t.events.withColumnRenamed("user_id", "chassis_no"),

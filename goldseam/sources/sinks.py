@@ -10,13 +10,32 @@ from pyspark.sql import Column, DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.types import MapType, StructField
 
-
-def write_layer(df: DataFrame, name: str, fmt: str = "parquet", partition_by: Sequence[str] = (), verify: bool = False) -> int:
+from goldseam.operators.joins import hot_keys
+
+
+def write_layer(
+    df: DataFrame,
+    name: str,
+    fmt: str = "parquet",
+    partition_by: Sequence[str] = (),
+    verify: bool = False,
+    bucket_by: tuple[str, int] | None = None,
+    path: str | None = None,
+) -> int:
     """Replace table ``name`` (rows and schema) with ``df``; returns the rows written.
 
     The count is observed during the write, so the input is computed once.
     """
-    return write_checked(df, name, {}, fmt, partition_by, verify)["rows"]
+    return write_checked(df, name, {}, fmt, partition_by, verify, bucket_by, path)["rows"]
+
+
+def can_bucket(sides: Iterable[tuple[DataFrame, str]], buckets: int, min_rows: int = 1_000_000) -> bool:
+    """Whether (frame, key) pairs can be stored in buckets by their keys to be joined without a shuffle.
+
+    A bucket is read by one task, which adaptive execution cannot split. So a key that holds more rows than a bucket's share
+    of its frame, and at least ``min_rows``, is for the plain layout, whose joins are split where they are skewed.
+    """
+    return not any(hot_keys(df, key, 1 / buckets, min_rows) for df, key in sides)
 
 
 def row_checksum(df: DataFrame) -> Column:
@@ -32,7 +51,14 @@ def row_checksum(df: DataFrame) -> Column:
 
 
 def write_checked(
-    df: DataFrame, name: str, rules: Mapping[str, Column], fmt: str = "parquet", partition_by: Sequence[str] = (), verify: bool = False
+    df: DataFrame,
+    name: str,
+    rules: Mapping[str, Column],
+    fmt: str = "parquet",
+    partition_by: Sequence[str] = (),
+    verify: bool = False,
+    bucket_by: tuple[str, int] | None = None,
+    path: str | None = None,
 ) -> dict[str, int]:
     """``write_layer`` that also counts the failures of quality rules in the same pass.
 
@@ -40,9 +66,14 @@ def write_checked(
     Rows of one partition value are brought together first, so that each task does not
     leave a small file in every partition; a hot value is split over several files.
     With ``verify`` the table is read back, and its rows must be as many and the same as those that were written.
+    ``bucket_by`` a key and a number stores that many buckets, each sorted and one file per partition value: tables
+    with as many buckets by the same type of key join without a shuffle. See ``can_bucket``. The table lies at ``path`` if given.
     """
     plain = df
-    if partition_by:
+    if bucket_by:
+        key, number = bucket_by
+        df = df.repartition(number, key)  # dealt like the buckets, so each task writes one
+    elif partition_by:
         df = df.hint("rebalance", *partition_by)
     seen = Observation()
     counts = {"rows": F.count(F.lit(1)), **{rule: F.count(F.when(fails, 1)) for rule, fails in rules.items()}}
@@ -54,6 +85,10 @@ def write_checked(
         writer = writer.option("overwriteSchema", True)
     if partition_by:
         writer = writer.partitionBy(*partition_by)
+    if bucket_by:
+        writer = writer.bucketBy(number, key).sortBy(key)
+    if path:
+        writer = writer.option("path", path)
     writer.saveAsTable(name)
     found = dict(seen.get)
     if verify:

@@ -6,7 +6,7 @@ import pytest
 from goldseam.operators.insights import dashboards, executive_kpis
 from goldseam.operators.scoring import enrich_predictions
 from goldseam.plans import claims
-from goldseam.sources.sinks import write_layer
+from goldseam.sources.sinks import can_bucket, write_layer
 
 LABELS = ["crack", "dent", "glass"]
 
@@ -175,3 +175,56 @@ def test_all_layers(spark, folder):
     assert found["amount_centre"] == [(203.5, 200.0)]
     assert sum(r[-1] for r in found["amount_histogram"]) == 3
     assert sorted(found["decisions"]) == [("INVESTIGAR", 1, 33.33), ("LIBERADO", 2, 66.67)]
+
+
+def sides(spark, n=400):
+    facts = spark.range(n).selectExpr(
+        "id AS claim_no", "id % 37 AS policy_no", "DATE '2020-01-01' AS claim_date", "id * 1.0D AS total", "CAST(id % 5 AS INT) AS age"
+    )
+    policies = spark.range(30).selectExpr(
+        "id AS POLICY_NO", "id % 7 AS CUST_ID", "id AS CHASSIS_NO", "1.0D AS PREMIUM", "DATE '2020-01-01' AS POL_EFF_DATE",
+        "DATE '2021-01-01' AS POL_EXPIRY_DATE",
+    )
+    people = spark.range(7).selectExpr("id AS customer_id", "'a' AS first_name", "'b' AS last_name", "DATE '1980-01-01' AS date_of_birth", "'c' AS address")
+    return facts, policies, people
+
+
+def test_bucketed_claims_are_not_shuffled_for_their_policies(spark, values, plan, tmp_path):
+    facts, policies, people = sides(spark)
+    write_layer(facts, "claims_in_buckets", verify=True, bucket_by=("policy_no", 4), path=str(tmp_path / "c"))
+    write_layer(policies, "policies_in_buckets", verify=True, bucket_by=("POLICY_NO", 4), path=str(tmp_path / "p"))
+    assert len(list((tmp_path / "c").glob("part-*"))) <= 4
+    stored = spark.table("claims_in_buckets"), spark.table("policies_in_buckets")
+    threshold = spark.conf.get("spark.sql.autoBroadcastJoinThreshold")
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+    try:
+        plain = claims.customer_claim_policy(facts, policies, people)
+        found = claims.customer_claim_policy(*stored, people)
+        text = plan(found, run=True)
+        assert values(found) == values(plain) and found.count() > 0
+        shuffles = [line for line in text.splitlines() if "Exchange hashpartitioning" in line]
+        assert not [line for line in shuffles if "policy_no#" in line], text
+        both = stored[0].join(stored[1], stored[0]["policy_no"] == stored[1]["POLICY_NO"])
+        assert "Exchange" not in plan(both, run=True)
+    finally:
+        spark.conf.set("spark.sql.autoBroadcastJoinThreshold", threshold)
+
+
+def test_a_hot_policy_is_not_put_in_one_bucket(spark):
+    facts, policies, _ = sides(spark)
+    assert can_bucket([(facts, "policy_no"), (policies, "POLICY_NO")], 4, min_rows=50)
+    hot = facts.selectExpr("claim_no", "IF(claim_no % 3 = 0, 1L, policy_no) AS policy_no")
+    assert not can_bucket([(hot, "policy_no")], 4, min_rows=50)
+    assert can_bucket([(hot.limit(0), "policy_no")], 4, min_rows=0)
+
+
+def test_layers_with_buckets_are_the_same(spark, folder, values):
+    for database, buckets in (("claims_plain", None), ("claims_buckets", 4)):
+        spark.sql(f"CREATE DATABASE IF NOT EXISTS {database}")
+        claims.run(spark, folder, database, size_scorer(), LABELS, "damage@1", buckets=buckets)
+    for name in ("silver_claims_clean", "quarantine_policies_clean", "gold_customer_claim_policy"):
+        assert values(spark.table(f"claims_buckets.{name}")) == values(spark.table(f"claims_plain.{name}"))
+    judged = [values(spark.table(f"{d}.gold_claim_insights_final").drop("damage_score")) for d in ("claims_plain", "claims_buckets")]
+    assert judged[0] == judged[1]
+    layout = spark.sql("DESCRIBE EXTENDED claims_buckets.judged_claims_clean").where("col_name = 'Bucket Columns'").collect()
+    assert "policy_no" in layout[0].data_type
