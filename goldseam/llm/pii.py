@@ -47,6 +47,8 @@ CANDIDATES = {
 }
 ADDED_KINDS = tuple(CANDIDATES)
 CONTEXT = 24
+#: Matches or spans that are summed or joined at a time.
+BLOCK = 64
 
 #: Word lists.
 TITLES = r"(?i)(?:^|[^\p{L}])(?:mr|mrs|ms|dr|prof|herr|frau|señora?|sra?|monsieur|madame|mme)\.? *$"
@@ -104,30 +106,57 @@ def _telling(left: Column) -> Column:
     return left.rlike(SECRET_WORDS) | left.rlike(ID_WORDS) | left.rlike(PHONE_WORDS) | left.rlike(TITLES)
 
 
+def _bound(value: Column, use) -> Column:
+    """``use`` of a value that is computed once, however often ``use`` names it."""
+    return F.element_at(F.transform(F.array(value), use), 1)
+
+
+def _sum(numbers: Column) -> Column:
+    return F.aggregate(numbers, F.lit(0), lambda a, b: a + b)
+
+
+def _blocks(items: Column) -> Column:
+    """Numbers of the blocks of an array that is not empty."""
+    return F.sequence(F.lit(0), F.floor((F.size(items) - 1) / BLOCK).cast("int"))
+
+
+def _block_starts(lengths: Column) -> Column:
+    """For every block of lengths, the sum of all before it."""
+    start = F.struct(F.lit(0).alias("at"), F.array().alias("starts")).cast("struct<at:int,starts:array<int>>")
+
+    def step(state: Column, block: Column) -> Column:
+        end = state["at"] + _sum(F.slice(lengths, block * BLOCK + 1, F.lit(BLOCK)))
+        return F.struct(end.alias("at"), F.concat(state["starts"], F.array(state["at"])).alias("starts"))
+
+    return F.aggregate(_blocks(lengths), start, step, lambda state: state["starts"])
+
+
 def matches(text: Column, pattern: str, context: int = 0) -> Column:
     """All matches as structs of begin, end, value and the ``context`` code points before.
 
-    The matches are marked, and the text cut at the marks: every second piece is a match, and a
-    running sum of lengths gives its place. A match holds no mark, as no pattern takes that character.
+    The matches are marked, and the text cut at the marks: every second piece is a match, and the sum of the lengths
+    before gives its place, taken by blocks so that many matches cost little more each than one. A match holds no mark, as
+    no pattern takes that character.
     """
-    pieces = F.split(F.regexp_replace(text, F.lit(f"({pattern})"), F.lit(f"{MARK}$1{MARK}")), MARK)
-    kind = "struct<at:int,inside:boolean,before:string,found:array<struct<begin:int,end:int,value:string,left:string>>>"
-    start = F.struct(
-        F.lit(0).alias("at"), F.lit(False).alias("inside"), F.lit("").alias("before"), F.array().alias("found")
-    ).cast(kind)
-
-    def step(state: Column, piece: Column) -> Column:
-        end = state["at"] + F.char_length(piece)
-        left = F.right(state["before"], F.lit(context)) if context else F.lit("")
-        hit = F.array(F.struct(state["at"].alias("begin"), end.alias("end"), piece.alias("value"), left.alias("left")))
-        return F.struct(
-            end.alias("at"),
-            (~state["inside"]).alias("inside"),
-            piece.alias("before"),
-            F.when(state["inside"], F.concat(state["found"], hit)).otherwise(state["found"]).alias("found"),
-        ).cast(kind)
-
-    return F.aggregate(pieces, start, step, lambda state: state["found"])
+    marked = F.split(F.regexp_replace(text, F.lit(f"({pattern})"), F.lit(f"{MARK}$1{MARK}")), MARK)
+
+    def placed(pieces: Column, lengths: Column, starts: Column) -> Column:
+        def match(k: Column) -> Column:
+            inside = k % BLOCK
+            begin = F.element_at(starts, ((k - inside) / BLOCK).cast("int") + 1) + _sum(F.slice(lengths, k - inside + 1, inside))
+            left = F.right(F.element_at(pieces, k), F.lit(context)) if context else F.lit("")
+            end = begin + F.element_at(lengths, k + 1)
+            return F.struct(begin.alias("begin"), end.alias("end"), F.element_at(pieces, k + 1).alias("value"), left.alias("left"))
+
+        return F.transform(F.sequence(F.lit(1), F.size(pieces) - 1, F.lit(2)), match)
+
+    def found(pieces: Column) -> Column:
+        lengths = F.transform(pieces, F.char_length)
+        some = _bound(lengths, lambda n: _bound(_block_starts(n), lambda starts: placed(pieces, n, starts)))
+        none = F.array().cast("array<struct<begin:int,end:int,value:string,left:string>>")
+        return F.when(F.size(pieces) > 1, some).otherwise(none)
+
+    return _bound(marked, found)
 
 
 def _digits(value: Column) -> Column:
@@ -290,6 +319,36 @@ def report(docs: DataFrame) -> DataFrame:
     return rows.select("doc_id", *counts, F.sha2(_listed(F.col("base")), 256).alias("base_sha256"), spans.alias("spans"), whole)
 
 
+def _replaced(text: Column, order: Column) -> Column:
+    """``text`` with spans (begin, back, kind; at least one) replaced, by blocks: what is cut and joined is small each time."""
+    shape = "struct<at:int,parts:array<string>>"
+    none = F.array().cast("array<string>")
+
+    def block(state: Column, number: Column) -> Column:
+        spans = F.slice(order, number * BLOCK + 1, F.lit(BLOCK))
+        last = F.array_max(F.transform(spans, lambda s: -s["back"]))
+        # The stretch of text that this block of spans takes.
+        stretch = F.substring(text, state["at"] + 1, F.greatest(last - state["at"], F.lit(0)))
+
+        def within(cut: Column) -> Column:
+            def step(inner: Column, s: Column) -> Column:
+                between = F.substring(cut, inner["at"] - state["at"] + 1, s["begin"] - inner["at"])
+                named = F.concat(F.lit("["), s["kind"], F.lit("]"))
+                more = F.struct((-s["back"]).alias("at"), F.concat(inner["parts"], F.array(between, named)).alias("parts"))
+                return F.when(s["begin"] >= inner["at"], more.cast(shape)).otherwise(inner)
+
+            return F.aggregate(
+                spans, F.struct(state["at"].alias("at"), none.alias("parts")).cast(shape), step,
+                lambda inner: F.struct(inner["at"].alias("at"), F.concat(state["parts"], F.array(F.array_join(inner["parts"], ""))).alias("parts")),
+            )
+
+        return _bound(stretch, within)
+
+    start = F.struct(F.lit(0).alias("at"), none.alias("parts")).cast(shape)
+    rest = lambda state: F.substring(text, state["at"] + 1, F.char_length(text))
+    return F.aggregate(_blocks(order), start, block, lambda state: F.concat(F.array_join(state["parts"], ""), rest(state)))
+
+
 def mask(docs: DataFrame) -> DataFrame:
     """``docs`` with every span of the text replaced by its kind in brackets, and n_chars brought up to date if there.
 
@@ -304,18 +363,7 @@ def mask(docs: DataFrame) -> DataFrame:
     found = find(own).withColumn("_taken", taken)
     spans = all_of()
     order = F.array_sort(F.transform(spans, lambda s: F.struct(s["begin"].alias("begin"), (-s["end"]).alias("back"), s["kind"].alias("kind"))))
-    shape = "struct<at:int,parts:array<string>>"
-    start = F.struct(F.lit(0).alias("at"), F.array().alias("parts")).cast(shape)
-
-    def step(state: Column, s: Column) -> Column:
-        between = F.substring(F.col("text"), state["at"] + 1, s["begin"] - state["at"])
-        more = F.struct((-s["back"]).alias("at"), F.concat(state["parts"], F.array(between, F.concat(F.lit("["), s["kind"], F.lit("]")))).alias("parts"))
-        return F.when(s["begin"] >= state["at"], more.cast(shape)).otherwise(state)
-
-    masked = F.aggregate(
-        order, start, step,
-        lambda state: F.concat(F.array_join(state["parts"], ""), F.substring(F.col("text"), state["at"] + 1, F.char_length(F.col("text")))),
-    )
+    masked = _bound(order, lambda ordered: _replaced(F.col("text"), ordered))
     changed = F.when(F.size(spans) > 0, masked).otherwise(F.col("text"))
     result = found.select("row", changed.alias("_masked"))
     values = {"text": F.col("_masked"), "n_chars": F.when(F.col("_masked").isNull(), F.col("row")["n_chars"] if "n_chars" in columns else None).otherwise(F.char_length("_masked"))}

@@ -3,6 +3,7 @@ import random
 import re
 
 import pytest
+from pyspark.sql import functions as F
 
 from goldseam.llm import pii
 
@@ -97,3 +98,29 @@ def test_odd_rows(odd, none, by_doc):
 def test_no_python_on_the_executors(documents, plan):
     text = plan(pii.report(documents)) + plan(pii.mask(documents))
     assert "Python" not in text and "Arrow" not in text and "Pandas" not in text
+
+
+@pytest.mark.parametrize("n", [0, 1, 31, 32, 33, 64, 65, 1_000])
+def test_many_matches_in_one_text(spark, n):
+    """Places and masked text at and around the bounds of blocks, with characters of several bytes."""
+    text = "é " + " ü\n".join(f"u{k}@ex{k}.org" for k in range(n)) + " 𝒳 end"
+    plainly = re.compile(r"[A-Za-z0-9._%+-]+@[A-Za-z0-9-]+(\.[A-Za-z0-9-]+)+")
+    docs = spark.createDataFrame([(1, text)], "doc_id bigint, text string")
+    found = docs.select(pii.matches(pii.clean(F.col("text")), pii.EMAIL, 5).alias("m")).first().m
+    assert [(m.begin, m.end, m.value, m.left) for m in found] == [
+        (m.start(), m.end(), m[0], text[max(m.start() - 5, max([0, *(e.end() for e in plainly.finditer(text[: m.start()]))])) : m.start()])
+        for m in plainly.finditer(text)
+    ]
+    assert pii.mask(docs).first().text == plainly.sub("[email]", text)
+
+
+def test_overlapping_spans_are_replaced_once(spark):
+    """The span that begins first stays, of those the longest; spans that reach into a later block too."""
+    text = "".join(chr(97 + k % 26) for k in range(400))
+    spans = [(k, k + 2 if k % 2 else k + 3) for k in range(0, 390, 2)] + [(100, 300), (100, 120), (395, 400)]
+    rows = spark.createDataFrame([(text, [(b, -e, "x") for b, e in sorted(spans, key=lambda s: (s[0], -s[1]))])], "text string, o array<struct<begin:int,back:int,kind:string>>")
+    want, at = "", 0
+    for b, e in sorted(spans, key=lambda s: (s[0], -s[1])):
+        if b >= at:
+            want, at = want + text[at:b] + "[x]", e
+    assert rows.select(pii._replaced(F.col("text"), F.col("o")).alias("x")).first().x == want + text[at:]
