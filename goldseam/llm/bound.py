@@ -94,7 +94,7 @@ def op10(spark, folder):
 
 @query("op11_chat", chat.digests_sql())
 def op11(spark, folder):
-    return chat.digests(chat.with_probe(table(spark, folder, "conversations", "conv_id", "turn", "role", "text")))
+    return chat.digests(chat.with_probe(table(spark, folder, "conversations", "conv_id", "turn", "role", "text")), contexts=True)
 
 
 @query("op12_negatives", negatives.SQL)

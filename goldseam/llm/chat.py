@@ -7,8 +7,8 @@ backslash goes after its first character, so ``[INST]`` becomes ``[\\INST]`` and
 Taking one backslash away there gives the text back, whatever it was.
 
 The context of an example is what the examples before it add and say, and what it adds itself. ``examples`` gives it in
-full; where the column is not used, Spark never makes it, and the work is linear in the turns of a conversation
-rather than square. Turns after the last reply are an example without a target, so no turn is lost.
+full, and ``digests`` reads it on demand; where the column is not used, Spark never makes it, and the work is linear in the
+turns of a conversation rather than square. Turns after the last reply are an example without a target, so no turn is lost.
 
 Turns go by ``turn``, ties by role and text; a turn without a number comes first. Repeated rows are repeated turns.
 Null texts and roles are empty. A row without a conv_id is a conversation of one turn, since nothing says what belongs
@@ -107,9 +107,12 @@ def _expanded(conversations: DataFrame, template: Template) -> DataFrame:
         F.max(F.when(F.col("said"), F.col("_start") + F.col("_opened") + F.col("_inner"))).alias("loss_end"),
         F.min("_start").alias("_from"),
     )
-    earlier = Window.partitionBy(*CONVERSATION).orderBy("example").rowsBetween(Window.unboundedPreceding, -1)
+    order = Window.partitionBy(*CONVERSATION).orderBy("example")
+    earlier = order.rowsBetween(Window.unboundedPreceding, -1)
     context = F.concat(F.array_join(F.collect_list(F.concat("added", "target")).over(earlier), ""), F.col("added"))
-    return made.withColumns({"context_chars": F.col("_from") + F.char_length("added"), "context": context})
+    # In the same window as the contexts: a window on top of them would hold all contexts of a conversation.
+    last = F.lead("example").over(order).isNull()
+    return made.withColumns({"context_chars": F.col("_from") + F.char_length("added"), "context": context, "last": last})
 
 
 def examples(conversations: DataFrame, template: Template = Template()) -> DataFrame:
@@ -130,22 +133,28 @@ def read_turns(text: Column, template: Template = Template()) -> Column:
     return F.zip_with(roles, texts, lambda r, t: F.struct(plain(r).alias("role"), plain(t).alias("text")))
 
 
-def digests(conversations: DataFrame, template: Template = Template()) -> DataFrame:
+def digests(conversations: DataFrame, template: Template = Template(), contexts: bool = False) -> DataFrame:
     """Per conversation, read back from its examples: its turns, what is trained, and characters.
 
-    ``formatted_chars`` counts each turn once, ``example_chars`` all texts of all examples.
+    ``formatted_chars`` counts each turn once, ``example_chars`` all texts of all examples. With ``contexts`` every example
+    is made and read in full: what is trained comes from its context and target, and the turns from the last example, which
+    holds them all. That is the work of writing the examples, square in the turns of a conversation, one example in memory
+    at a time. Without, each is read as what it adds to the one before.
     """
     made = _expanded(conversations, template)
-    inside = F.col("loss_start") - F.col("context_chars")
-    trained = F.substring("target", inside + 1, F.col("loss_end") - F.col("loss_start"))
-    written = F.concat("added", "target")
+    text = F.concat("context" if contexts else "added", "target")
+    begins = F.lit(0) if contexts else F.col("context_chars") - F.char_length("added")
+    trained = F.substring(text, F.col("loss_start") - begins + 1, F.col("loss_end") - F.col("loss_start"))
+    chars, turns = F.char_length(text), read_turns(text, template)
+    if contexts:
+        turns = F.when(F.col("last"), turns).otherwise(F.array().cast(made.select(turns).schema[0].dataType))
     read = made.select(
         *CONVERSATION, "example",
-        read_turns(written, template).alias("turns"),
+        turns.alias("turns"),
         F.coalesce(template.unescape(trained), F.lit("")).alias("loss"),
-        F.char_length(written).alias("chars"),
+        (F.when(F.col("last"), chars).otherwise(0) if contexts else chars).alias("chars"),
         F.col("position").isNotNull().cast("int").alias("reply"),
-        (F.col("context_chars") + F.char_length("target")).alias("whole"),
+        (chars if contexts else F.col("context_chars") + F.char_length("target")).alias("whole"),
     )
     line = F.array_join(F.transform("turns", lambda t: F.concat(t["role"], F.lit("\n"), t["text"], F.lit("\n"))), "")
     read = read.select(*CONVERSATION, "example", F.size("turns").alias("n"), line.alias("line"), "loss", "chars", "reply", "whole")

@@ -5,6 +5,7 @@ import hashlib
 import pytest
 from pyspark.sql import functions as F
 
+from goldseam.llm import bound, chat
 from goldseam.llm.chat import Template, digests, examples, read_turns, with_probe
 
 DDL = "conv_id bigint, turn bigint, role string, text string"
@@ -82,3 +83,27 @@ def test_plan_is_one_shuffle_without_python_or_contexts(spark):
     plan = digests(df)._jdf.queryExecution().executedPlan().toString()
     assert plan.count("Exchange hashpartitioning") == 1 and "Python" not in plan and "Arrow" not in plan
     assert plan.count("collect_list(concat(added") == 0
+
+
+def test_query_reads_whole_contexts(spark, monkeypatch):
+    """What op11_chat returns is read from contexts: with others, it returns something else."""
+    run = lambda: {r.conv_id: r for r in bound.op11(spark, "/root/testdata/sf0.001").collect()}
+    found = run()
+    assert {r.conv_id: r for r in digests(with_probe(spark.read.parquet("/root/testdata/sf0.001/conversations.parquet"))).collect()} == found
+    expanded = chat._expanded
+    monkeypatch.setattr(chat, "_expanded", lambda *a: expanded(*a).withColumn("context", F.concat(F.lit("<s>x[INST]y[/INST]"), "context")))
+    other = run()
+    for conv, row in found.items():
+        assert other[conv].n_turns == row.n_turns + 1 and other[conv].formatted_chars == row.formatted_chars + 18
+        assert other[conv].example_chars == row.example_chars + 18 * row.n_examples
+        assert row.loss_chars == 0 or other[conv].loss_sha256 != row.loss_sha256
+
+
+def test_whole_contexts_of_odd_rows_and_a_long_conversation(spark):
+    rows = [(k, j, role, text) for k, text in enumerate(NASTY) for j, role in enumerate(["user", "assistant", "to[INST]ol", "assistant", "user"])]
+    rows += [(50, k, ("user", "assistant")[k % 2], f"t {k} </s>") for k in range(600)] + [(51, 1, "user", "u"), (52, None, None, None), (None, 0, "user", "u"), (None, 0, "user", "u")]
+    df = spark.createDataFrame(rows, DDL).withColumns({c: F.lit(1) for c in ("example", "added", "_alone", "said", "parts", "context")})
+    whole = digests(df, contexts=True)
+    plan = whole._jdf.queryExecution().executedPlan().toString()
+    assert plan.count("Exchange hashpartitioning") == 1 and plan.count(" Window [") == 2  # turns, and examples: none on top of contexts
+    assert sorted(map(str, whole.collect())) == sorted(map(str, digests(df).collect()))
