@@ -44,6 +44,8 @@ from goldseam.llm.common import by_bytes, salted_join, stored
 
 #: A shingle of more classes is common. A region of up to DIRECT classes is compared without pivots.
 LEAF, DIRECT = 32, 32
+#: Regions that rounds of pivots leave are compared directly up to LATER times that size, as sketches go first there.
+LATER = 16
 #: Distance up to which a document belongs to a region's pivot, and rounds of pivots before what is left is compared directly.
 BALL, ROUNDS = 0.4, 2
 SKETCH_BITS = 512
@@ -57,7 +59,7 @@ class _WordHashes(dict):
     """64-bit hash of each word met; emptied when full."""
 
     def __missing__(self, word: bytes) -> int:
-        if len(self) >= 400_000:
+        if len(self) >= 100_000:
             self.clear()
         self[word] = value = xxhash.xxh3_64_intdigest(word)
         return value
@@ -184,7 +186,7 @@ def _labelled(regions: DataFrame, labels: DataFrame | None) -> DataFrame:
     facts = regions.groupBy("region").agg(
         F.count("*").alias("size"), F.min("label").alias("_low"), F.max("label").alias("_high"), F.max(F.struct("central", "cid"))["cid"].alias("centre")
     )
-    facts = facts.where(F.col("_low") != F.col("_high")).drop("_low", "_high")
+    facts = stored(facts.where(F.col("_low") != F.col("_high")).drop("_low", "_high"), "jaccard-facts")
     return salted_join(regions, facts, "region", "size", F.xxhash64("cid"))
 
 
@@ -196,6 +198,21 @@ def _met_pairs(members: DataFrame, percent: int) -> DataFrame:
     return left.join(right, "region").where(meet).groupBy("a", "b").agg(F.count("*").alias("shared"))
 
 
+def _sketches_meet(percent: int) -> Column:
+    """Whether sketches and sizes (of sides a and b) leave a link possible: linked sets have at most this share of their
+    shingles in one of them only."""
+    differ = sum((F.bit_count(F.col(f"{c}_a").bitwiseXOR(F.col(f"{c}_b"))) for c in SKETCH), F.lit(0))
+    return (100 + percent) * differ <= (100 - percent) * (F.col("n_a") + F.col("n_b"))
+
+
+def _sketched(pairs: DataFrame, codes: DataFrame, percent: int) -> DataFrame:
+    """Pairs of classes whose sketches leave a link possible, before whole sets are moved for them."""
+    for side in "ab":
+        own = (F.col(c).alias(f"{c}_{side}") for c in SKETCH)
+        pairs = pairs.join(codes.select(F.col("cid").alias(side), F.size("codes").alias(f"n_{side}"), *own), side)
+    return stored(pairs.where(_sketches_meet(percent)).select("a", "b"), "jaccard-pairs")
+
+
 def _close_pairs(members: DataFrame, codes: DataFrame, percent: int) -> DataFrame:
     """a, b: pairs of members of a region that may still connect something, by size and sketch.
 
@@ -204,11 +221,9 @@ def _close_pairs(members: DataFrame, codes: DataFrame, percent: int) -> DataFram
     members = members.join(codes.select("cid", *SKETCH), "cid")
     columns = ["cid", "n", "label", *SKETCH]
     left, right = (members.select("region", *(F.col(c).alias(f"{c}_{side}") for c in columns)) for side in "ab")
-    differ = sum((F.bit_count(F.col(f"{c}_a").bitwiseXOR(F.col(f"{c}_b"))) for c in SKETCH), F.lit(0))
-    # Linked sets have at most this share of their shingles in one of them only.
     meet = (
         (F.col("cid_a") < F.col("cid_b")) & (F.col("label_a") != F.col("label_b")) & _compatible(F.col("n_a"), F.col("n_b"), percent)
-        & ((100 + percent) * differ <= (100 - percent) * (F.col("n_a") + F.col("n_b")))
+        & _sketches_meet(percent)
     )
     return left.join(right, "region").where(meet).select(F.col("cid_a").alias("a"), F.col("cid_b").alias("b")).distinct()
 
@@ -344,12 +359,9 @@ def links(docs: DataFrame, sets: DataFrame, percent: int) -> DataFrame:
         new = first.select("s").distinct().join(shared, "s", "left_anti")
         alone = posted.join(new, "s", "left_semi").join(heavy.where("deep").select("cid"), "cid", "left_anti").join(classes.select("cid", "n"), "cid")
         entries = entries.unionByName(alone.select("cid", "n", F.lit(0.0).alias("central"), F.col("s").alias("region")))
-    regions = stored(_labelled(entries.dropDuplicates(["region", "cid"]), None), "jaccard-regions")
-
-    def linked(pairs: DataFrame, codes: DataFrame) -> DataFrame:
-        found = compare(pairs, codes)
-        return found.where(100 * F.col("both") >= percent * _union()).select("a", "b")
-
+    # Stored, as all postings are behind it and it is read more than once. An entry that came twice takes the larger share.
+    entries = stored(entries.groupBy("region", "cid", "n").agg(F.max("central").alias("central")), "jaccard-entries")
+    regions = stored(_labelled(entries, None), "jaccard-regions")
     found = None
     large = regions.where(F.col("size") > DIRECT)
     if not large.isEmpty():
@@ -358,7 +370,8 @@ def links(docs: DataFrame, sets: DataFrame, percent: int) -> DataFrame:
             rest = rest.join(codes.select("cid"), "cid", "left_anti")
         more = _whole(docs, sets, rest, percent)
         found = _large_regions(large, more if codes is None else codes.union(more), percent)
-        regions = stored(_labelled(regions.where(F.col("size") <= DIRECT).drop("size", "centre"), connected(found)), "jaccard-regions")
+        regions = regions.where(F.col("size") <= DIRECT).drop("label").join(connected(found), "cid", "left")
+        regions = regions.withColumn("label", F.coalesce("label", "cid"))
     pairs = _met_pairs(regions, percent)
     # Of the class whose end comes first, every covered shingle that the other has is one where the two
     # meet; so they share at most those and what it does not cover. Two that also meet in a large region,
@@ -370,7 +383,8 @@ def links(docs: DataFrame, sets: DataFrame, percent: int) -> DataFrame:
     possible = (100 + percent) * most >= percent * (F.col("n_a") + F.col("n_b"))
     pairs = stored(pairs.where(possible).select("a", "b"), "jaccard-pairs")
     wanted = pairs.select(F.col("a").alias("cid")).union(pairs.select("b")).distinct()
-    close = _linked(compare(pairs, _whole(docs, sets, wanted, percent)), percent)
+    codes = _whole(docs, sets, wanted, percent)
+    close = _linked(compare(_sketched(pairs, codes, percent), codes), percent)
     return stored(close if found is None else found.union(close), "jaccard-links")
 
 
@@ -414,7 +428,7 @@ def _large_regions(large: DataFrame, codes: DataFrame, percent: int) -> DataFram
         if not more.isEmpty():
             labels = connected(found)
         large = stored(_labelled(left, labels), "jaccard-regions")
-        direct = F.lit(rounds + 1 >= ROUNDS) | (F.col("size") <= DIRECT)
+        direct = F.lit(rounds + 1 >= ROUNDS) | (F.col("size") <= LATER * DIRECT)
         pairs = stored(_close_pairs(large.where(direct), codes, percent), "jaccard-pairs")
         more = stored(_linked(compare(pairs, codes), percent), "jaccard-links")
         if not more.isEmpty():

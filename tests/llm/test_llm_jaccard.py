@@ -154,3 +154,16 @@ def test_sketches_never_differ_more_than_the_sets():
         differ = sum(int(x).bit_count() for x in (jaccard.sketch(a) ^ jaccard.sketch(b)).view(np.uint64))
         assert differ <= len(np.setxor1d(a, b))
     assert jaccard.sketch(np.zeros(0, np.int64)).tolist() == [0] * len(jaccard.SKETCH)
+
+
+def test_postings_are_joined_once_and_entries_are_repeatable(spark, monkeypatch):
+    """Entries of regions come from a stored table without repeats, so that neither sizes nor centres read all postings again."""
+    seen = []
+    labelled = jaccard._labelled
+    monkeypatch.setattr(jaccard, "_labelled", lambda regions, labels: seen.append(regions) or labelled(regions, labels))
+    draw = random.Random(5)
+    rows = list(enumerate([t for _ in range(4) for t in family(draw, 6, 40, 3, [f"p{k}" for k in range(12)])]))
+    assert run(spark, rows) == order(plain(rows))
+    plan = seen[0]._jdf.queryExecution().optimizedPlan().toString()
+    assert "Join" not in plan and "Generate" not in plan and "Aggregate" not in plan
+    assert seen[0].count() == seen[0].select("region", "cid").distinct().count()
