@@ -356,7 +356,7 @@ def links(docs: DataFrame, sets: DataFrame, percent: int) -> DataFrame:
         ends = ends.union(end.select("cid", "n", F.col("k").alias("covered"), "end.w", "end.s"))
         entries = entries.unionByName(first.select("cid", "n", "central", F.col("s").alias("region")))
         # Plain classes may hold these shingles as the only ones to post them.
-        new = first.select("s").distinct().join(shared, "s", "left_anti")
+        new = _few(stored(first.select("s").distinct().join(shared, "s", "left_anti"), "jaccard-new"))
         alone = posted.join(new, "s", "left_semi").join(heavy.where("deep").select("cid"), "cid", "left_anti").join(classes.select("cid", "n"), "cid")
         entries = entries.unionByName(alone.select("cid", "n", F.lit(0.0).alias("central"), F.col("s").alias("region")))
     # Stored, as all postings are behind it and it is read more than once. An entry that came twice takes the larger share.
@@ -438,6 +438,11 @@ def _large_regions(large: DataFrame, codes: DataFrame, percent: int) -> DataFram
             return found
 
 
+def _few(keys: DataFrame, broadcast_rows: int = 500_000) -> DataFrame:
+    """``keys`` (a stored column of 8 bytes), broadcast if there are at most ``broadcast_rows``."""
+    return F.broadcast(keys) if keys.limit(broadcast_rows + 1).count() <= broadcast_rows else keys
+
+
 def _whole(docs: DataFrame, sets: DataFrame, wanted: DataFrame, percent: int, broadcast_rows: int = 500_000) -> DataFrame:
     """cid, codes (all shingles) and sketch of the wanted classes, made again from one document of each.
 
@@ -445,9 +450,7 @@ def _whole(docs: DataFrame, sets: DataFrame, wanted: DataFrame, percent: int, br
     each); otherwise the texts are joined by a shuffle. Classes of documents without an id come from all of those.
     """
     one = wanted.select("cid").join(sets.groupBy("cid").agg(F.min("doc_id").alias("doc_id")), "cid")
-    ids = stored(one.select("doc_id").distinct(), "jaccard-chosen")
-    if ids.limit(broadcast_rows + 1).count() <= broadcast_rows:
-        ids = F.broadcast(ids)
+    ids = _few(stored(one.select("doc_id").distinct(), "jaccard-chosen"), broadcast_rows)
     chosen = docs.select("doc_id", "text").join(ids.withColumnRenamed("doc_id", "_id"), F.col("doc_id").eqNullSafe(F.col("_id")), "left_semi")
     kind = docs.schema["doc_id"].dataType.simpleString()
     sketches = ", ".join(f"{name} bigint" for name in SKETCH)
