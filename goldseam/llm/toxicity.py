@@ -23,7 +23,9 @@ import sys
 import unicodedata
 import zlib
 from array import array
+from collections.abc import Iterable
 from dataclasses import dataclass
+from itertools import pairwise
 
 import numpy as np
 import pyarrow as pa
@@ -41,6 +43,9 @@ PIECE, OVERLAP = 64, 16
 #: Blanks and punctuation beyond ASCII: no-break spaces, dashes, quotation marks, full-width punctuation.
 SEPARATORS = re.compile("[" + "".join(c for c in map(chr, range(128, sys.maxunicode + 1)) if unicodedata.category(c)[0] in "ZP") + "]+")
 
+#: Elements that a step of the fit looks at together.
+SLICE = 1 << 18
+
 
 def words_of(text: bytes | None) -> list[bytes]:
     if not text:
@@ -111,12 +116,36 @@ def window_logit(parts: np.ndarray, window: int) -> float:
     return float((sums[window:] - sums[:-window]).max() / window)
 
 
-def fit(texts: list[bytes], labels: np.ndarray, buckets: int = 1 << 17, dim: int = 8, least: int = 3, most: int = 7,
+def slices(bounds: np.ndarray) -> list[tuple[int, int]]:
+    """Ranges of consecutive entries, ``bounds`` being where each begins and the last ends, of about SLICE elements or one entry."""
+    cuts = [0]
+    while cuts[-1] < len(bounds) - 1:
+        cuts.append(max(cuts[-1] + 1, int(np.searchsorted(bounds, bounds[cuts[-1]] + SLICE, "right")) - 1))
+    return list(pairwise(cuts))
+
+
+def most_toxic(parts: np.ndarray, words: np.ndarray, window: int) -> np.ndarray:
+    """The window of that many of ``words`` with the largest sum of ``parts``; all words if there are fewer."""
+    if len(words) <= window:
+        return words
+    sums = np.concatenate(([0.0], np.cumsum(parts[words])))
+    at = int((sums[window:] - sums[:-window]).argmax())
+    return words[at : at + window]
+
+
+def descend(x: np.ndarray, seen: np.ndarray, slope: np.ndarray, rate: float) -> None:
+    """One step of Adagrad, in place."""
+    seen += slope**2
+    x -= (rate * slope / np.sqrt(seen)).astype(x.dtype)
+
+
+def fit(texts: Iterable[bytes], labels: np.ndarray, buckets: int = 1 << 17, dim: int = 8, least: int = 3, most: int = 7,
         window: int = 2, epochs: int = 80, rate: float = 0.3, seed: int = 5) -> ToxicityModel:
     """Train on whole texts: first on averages over a text's distinct words, then on its most toxic window.
 
     The loss is the class-balanced log loss; steps are Adagrad's over all texts at once, so that
-    the result does not depend on the order of rows.
+    the result does not depend on the order of rows. Texts are read once, one at a time; steps go
+    by slices, so that beyond words and n-grams the fit holds little.
     """
     rng = np.random.default_rng(seed)
     labels = np.asarray(labels, dtype=np.float64)
@@ -130,46 +159,55 @@ def fit(texts: list[bytes], labels: np.ndarray, buckets: int = 1 << 17, dim: int
         model.embeddings[:] = 0
         model.bias = np.array([np.log(1 - chance), np.log(chance)])
         return model
+    bags, windows = array("i"), array("i")  # compact: the driver holds every word of the sample, and every n-gram of its words
+    bag_ends, ends, flat, sizes = [0], [0], array("i"), array("i")
     ids: dict[bytes, int] = {}
-    docs = [np.array([ids.setdefault(w, len(ids)) for w in words_of(t)], dtype=np.int32) for t in texts]
-    flat, sizes = array("i"), array("i")  # compact: the driver holds every n-gram of the sample's words
-    for word in ids or {b"": 0}:
-        grams = subwords(word, buckets, least, most)
-        flat.extend(grams)
-        sizes.append(len(grams))
+    for text in texts:
+        for word in words_of(text):
+            at = ids.setdefault(word, len(ids))
+            if at == len(sizes):
+                grams = subwords(word, buckets, least, most)
+                flat.extend(grams)
+                sizes.append(len(grams))
+            windows.append(at)
+        bags.extend(sorted(set(windows[ends[-1] :])))
+        ends.append(len(windows))
+        bag_ends.append(len(bags))
     del ids
-    flat, sizes = np.frombuffer(flat, np.int32), np.frombuffer(sizes, np.int32)
-    starts = np.concatenate(([0], np.cumsum(sizes)[:-1]))
+    flat, sizes, bags, windows = (np.frombuffer(x, np.int32) if x else np.zeros(0, np.int32) for x in (flat, sizes, bags, windows))
+    starts = np.concatenate(([0], np.cumsum(sizes, dtype=np.int64)))
     weight = np.where(labels > 0, 0.5 / share, 0.5 / (1 - share)) / len(labels)
-    bags = [np.unique(d) for d in docs]
     seen_e, seen_s, seen_b = (np.full(x.shape, 1e-8) for x in (model.embeddings, model.softmax, model.bias))
+    word_slices = slices(starts)
     for epoch in range(epochs):
-        averages = epoch < epochs // 4
-        parts = np.add.reduceat(model.gram_logits().astype(np.float32)[flat], starts).astype(np.float64) / sizes
-        picked = []
-        for d, bag in zip(docs, bags):
-            if averages or len(d) <= window:
-                picked.append(bag if averages else d)
-            else:
-                sums = np.concatenate(([0.0], np.cumsum(parts[d])))
-                at = int((sums[window:] - sums[:-window]).argmax())
-                picked.append(d[at : at + window])
-        lengths = np.array([len(p) for p in picked])
-        which = np.repeat(np.arange(len(picked)), lengths)
-        used = np.concatenate(picked)
-        logit = np.bincount(which, parts[used] / lengths[which], len(picked)) + model.bias[1] - model.bias[0]
-        error = (1 / (1 + np.exp(-np.clip(logit, -40, 40))) - labels) * weight
-        by_word = np.bincount(used, (error / np.maximum(lengths, 1))[which], len(sizes))
-        by_gram = np.bincount(flat, np.repeat(by_word / sizes, sizes), buckets)
+        logits = model.gram_logits().astype(np.float32)
+        parts = np.zeros(len(sizes))
+        for i, j in word_slices:
+            parts[i:j] = np.add.reduceat(logits[flat[starts[i] : starts[j]]], starts[i:j] - starts[i])
+        parts /= sizes
+        if epoch < epochs // 4:
+            used, bounds = bags, np.array(bag_ends)
+        else:
+            picked = [most_toxic(parts, windows[i:j], window) for i, j in pairwise(ends)]
+            used, bounds = np.concatenate(picked), np.cumsum([0, *map(len, picked)])
+        error, by_word = np.zeros(len(labels)), np.zeros(len(sizes))
+        for i, j in slices(bounds):
+            lengths = np.diff(bounds[i : j + 1])
+            which, words = np.repeat(np.arange(j - i), lengths), used[bounds[i] : bounds[j]]
+            logit = np.bincount(which, parts[words] / lengths[which], j - i) + model.bias[1] - model.bias[0]
+            error[i:j] = (1 / (1 + np.exp(-np.clip(logit, -40, 40))) - labels[i:j]) * weight[i:j]
+            np.add.at(by_word, words, (error[i:j] / np.maximum(lengths, 1))[which])
+        by_word /= sizes
+        by_gram = np.zeros(buckets)
+        for i, j in word_slices:
+            np.add.at(by_gram, flat[starts[i] : starts[j]], np.repeat(by_word[i:j], sizes[i:j]))
         direction = model.softmax[:, 1] - model.softmax[:, 0]
         towards = by_gram @ model.embeddings
-        for x, seen, slope in (
-            (model.embeddings, seen_e, by_gram[:, None] * direction),
-            (model.softmax, seen_s, np.stack([-towards, towards], 1)),
-            (model.bias, seen_b, np.array([-error.sum(), error.sum()])),
-        ):
-            seen += slope**2
-            x -= (rate * slope / np.sqrt(seen)).astype(x.dtype)
+        for i in range(0, buckets, SLICE // dim):
+            rows = slice(i, i + SLICE // dim)
+            descend(model.embeddings[rows], seen_e[rows], by_gram[rows, None] * direction, rate)
+        descend(model.softmax, seen_s, np.stack([-towards, towards], 1), rate)
+        descend(model.bias, seen_b, np.array([-error.sum(), error.sum()]), rate)
     return model
 
 
@@ -184,7 +222,9 @@ def score_texts(texts: list[bytes | None], model: ToxicityModel, cache: _WordLog
 def train(docs: DataFrame, labels: DataFrame, per_class: int = 2_500, max_bytes: int = 200_000, **options) -> ToxicityModel:
     """Fit on about ``per_class`` learnable labelled texts of each class, of at most ``max_bytes`` each."""
     sample = by_id(labelled_sample(docs, labels, "toxic", per_class, max_bytes).toArrow(), "doc_id", "text")
-    return fit(sample["text"].to_pylist(), np.array(sample["label"].to_pylist(), dtype=np.float64), **options)
+    marks, texts = np.array(sample["label"].to_pylist(), dtype=np.float64), (text.as_py() for text in sample["text"])
+    del sample  # the generator alone holds the texts, until the last is read
+    return fit(texts, marks, **options)
 
 
 def score(docs: DataFrame, model: ToxicityModel) -> DataFrame:

@@ -1,4 +1,7 @@
+import tracemalloc
+
 import numpy as np
+import pytest
 
 from goldseam.llm import toxicity
 
@@ -75,3 +78,29 @@ def test_every_gram_of_a_long_word_is_in_a_piece():
 
 def test_separators_beyond_ascii():
     assert toxicity.words_of("You\u00a0are\u2014bad\uff01caf\u00e9 \u0e17\u0e35\u0e48".encode()) == [b"you", b"are", b"bad", "caf\u00e9".encode(), "\u0e17\u0e35\u0e48".encode()]
+
+
+def _random_texts(count, words):
+    rng = np.random.default_rng(8)
+    letters = np.array(list("abcdefghijklmnopqrstuvwxyz"))
+    return [" ".join("".join(w) for w in rng.choice(letters, (words, 10))).encode() for _ in range(count)]
+
+
+def test_fit_holds_words_and_grams_and_little_else(monkeypatch):
+    monkeypatch.setattr(toxicity, "SLICE", 1 << 12, raising=False)
+    texts, labels = _random_texts(100, 200), np.arange(100) % 4 == 0
+    grams = sum(len(toxicity.subwords(w, 64, 3, 7)) for t in texts for w in set(t.split()))
+    tracemalloc.start()
+    toxicity.fit(texts, labels, buckets=1 << 10, epochs=4)
+    peak = tracemalloc.get_traced_memory()[1]
+    tracemalloc.stop()
+    assert peak < 14 * grams  # 4 for each n-gram, and the words; copies of all n-grams as 8 bytes each were 24 more
+
+
+@pytest.mark.parametrize("texts", [_random_texts(40, 12) + [b"", b"one", b"\t"], [b"", b" ", b"."]])
+def test_slices_do_not_change_the_fit(monkeypatch, texts):
+    labels = np.arange(len(texts)) % 3 == 0
+    whole = toxicity.fit(texts, labels, buckets=1 << 10, epochs=8)
+    monkeypatch.setattr(toxicity, "SLICE", 50)
+    cut = toxicity.fit(iter(texts), labels, buckets=1 << 10, epochs=8)
+    assert (whole.embeddings == cut.embeddings).all() and np.allclose(whole.softmax, cut.softmax) and np.allclose(whole.bias, cut.bias)
