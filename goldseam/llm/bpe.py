@@ -18,6 +18,7 @@ vocabulary is a file on every machine, or its content; it is never copied.
 
 from __future__ import annotations
 
+import gc
 import hashlib
 import json
 import re
@@ -283,16 +284,10 @@ class Decoder:
         return b"".join(out)[:-1]
 
 
-_LOADED: dict[str, tuple[Encoder, Decoder]] = {}
-
-
 def coders(content: str) -> tuple[Encoder, Decoder]:
-    """Encoder and decoder of a vocabulary, built once per Python worker."""
-    key = hashlib.sha256(content.encode()).hexdigest()
-    if key not in _LOADED:
-        vocabulary = Vocabulary(content)
-        _LOADED[key] = Encoder(vocabulary), Decoder(vocabulary)
-    return _LOADED[key]
+    """Encoder and decoder of a vocabulary."""
+    vocabulary = Vocabulary(content)
+    return Encoder(vocabulary), Decoder(vocabulary)
 
 
 def _mapped(docs: DataFrame, column: str, path: str, schema: str, convert) -> DataFrame:
@@ -302,11 +297,15 @@ def _mapped(docs: DataFrame, column: str, path: str, schema: str, convert) -> Da
 
     def mapped(batches):
         encoder, decoder = coders(shared.value)
-        for batch in batches:
-            for begin in range(0, batch.num_rows, 500):
-                part = batch.slice(begin, 500)
-                found = [convert(encoder, decoder, value) for value in part[column].to_pylist()]
-                yield pa.RecordBatch.from_pydict({"doc_id": part["doc_id"], **{n: [f[k] for f in found] for k, n in enumerate(names)}}, arrow)
+        try:
+            for batch in batches:
+                for begin in range(0, batch.num_rows, 500):
+                    part = batch.slice(begin, 500)
+                    found = [convert(encoder, decoder, value) for value in part[column].to_pylist()]
+                    yield pa.RecordBatch.from_pydict({"doc_id": part["doc_id"], **{n: [f[k] for f in found] for k, n in enumerate(names)}}, arrow)
+        finally:  # Python workers go on to other stages, which need the memory that encoders fill
+            del encoder, decoder
+            gc.collect()  # an encoder refers to itself
 
     full = StructType.fromDDL(f"doc_id {docs.schema['doc_id'].dataType.simpleString()}, {schema}")
     arrow = to_arrow_schema(full)

@@ -2,6 +2,7 @@ import hashlib
 import random
 
 import public_tokenizers
+import pyarrow as pa
 import pytest
 from tokenizers import Tokenizer
 
@@ -66,3 +67,17 @@ def test_encode_then_decode(odd, none, by_doc, library):
 def test_other_vocabularies_are_refused():
     with pytest.raises(ValueError):
         bpe.Vocabulary(open(public_tokenizers.path("byte_bpe_50k.json"), encoding="utf-8").read())
+
+
+def test_encoders_do_not_outlive_their_tasks(spark, documents):
+    def held(batches):
+        import gc
+
+        for batch in batches:
+            count = sum(type(x).__name__ == "Encoder" and type(x).__module__ == bpe.__name__ for x in gc.get_objects())
+            yield pa.RecordBatch.from_pydict({"held": pa.array([count] * batch.num_rows, pa.int32())})
+
+    rows = documents.select("doc_id", "text").repartition(4)
+    assert rows.mapInArrow(held, "held int").agg({"held": "max"}).first()[0] == 0
+    bpe.tokens(rows, PATH).agg({"n_tokens": "sum"}).collect()
+    assert rows.mapInArrow(held, "held int").agg({"held": "max"}).first()[0] == 0
