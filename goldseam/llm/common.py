@@ -118,6 +118,30 @@ def lookup(rows: DataFrame, sides: DataFrame, on: str, count: str, spread: Colum
     return salted_join(rows, sides, on, count, spread, "left").drop(count)
 
 
+#: Words of 64 bits in a sieve at most; they are broadcast, with their places.
+SIEVE_WORDS = 1 << 19
+
+
+def sieved(rows: DataFrame, hashed: Column, keys: DataFrame, key: Column, how: str = "left_semi", words: int | None = None) -> DataFrame:
+    """The ``rows`` whose ``hashed`` may be a ``key`` of ``keys`` (``left_anti``: those for which it surely is none).
+
+    A broadcast bitmap of bounded size decides, so no row moves for it. Both columns are 64-bit hashes that are
+    never null. All rows with a key pass; of the others about one part in 64 * words / keys, which an exact join has to tell
+    apart afterwards. Beyond that many keys all rows pass.
+    """
+    words = words or SIEVE_WORDS
+
+    def bit(value: Column) -> Column:
+        return F.call_function("shiftleft", F.lit(1).cast("bigint"), value.bitwiseAND(F.lit(63)).cast("int"))
+
+    def word(value: Column) -> Column:
+        return F.pmod(F.shiftright(value, 6), F.lit(words)).cast("bigint")
+
+    bits = keys.groupBy(word(key).alias("__word")).agg(F.bit_or(bit(key)).alias("__bits"))
+    hit = (word(hashed) == bits["__word"]) & (bits["__bits"].bitwiseAND(bit(hashed)) != 0)
+    return rows.join(F.broadcast(bits), hit, how)
+
+
 def by_bytes(batches, column: str, most: int):
     """Record batches cut so that the texts of each hold at most ``most`` bytes, or are one row."""
     for batch in batches:

@@ -40,7 +40,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.window import Window
 
-from goldseam.llm.common import by_bytes, salted_join, stored
+from goldseam.llm.common import by_bytes, salted_join, sieved, stored
 
 #: A shingle of more classes is common. A region of up to DIRECT classes is compared without pivots.
 LEAF, DIRECT = 32, 32
@@ -491,13 +491,22 @@ def keep_one(docs: DataFrame, percent: int = 80) -> DataFrame:
     members = sets.where("n > 0").select("doc_id", "digest", "cid")
     named = salted_join(members, rooted.select("cid", "copies", "root"), "cid", "copies", F.xxhash64("doc_id", "digest"))
     first = named.groupBy("root").agg(F.min(F.struct(F.col("doc_id").isNull().alias("last"), "doc_id", "digest")).alias("first"))
+    # How many rows have an id and text, and whether one of them stays. Rows without words or id are not looked at: all stay.
+    counted = sets.where("n > 0 OR doc_id IS NOT NULL").select("doc_id", "digest", F.lit(1).alias("m"), (F.col("n") == 0).alias("stays"))
+    chosen = first.select("first.doc_id", "first.digest", F.lit(0).alias("m"), F.lit(True).alias("stays"))
+    keys = counted.union(chosen).groupBy("doc_id", "digest").agg(F.sum("m").alias("m"), F.max("stays").alias("__stays"))
+    keys = keys.where("m > 1 OR NOT __stays").select(F.col("doc_id").alias("__kept_id"), F.col("digest").alias("__kept_digest"), "__stays")
+    return _without_copies(docs, stored(keys, "jaccard-copies"))
 
-    def rows_of(keys: DataFrame) -> DataFrame:
-        keys = keys.toDF("__kept_id", "__kept_digest")
-        same = docs["doc_id"].eqNullSafe(keys["__kept_id"]) & (text_digest() == keys["__kept_digest"])
-        return docs.join(keys, same, "left_semi")
 
-    bare = rows_of(sets.where("n = 0").select("doc_id", "digest").distinct())
-    worded = rows_of(first.select("first.doc_id", "first.digest"))
-    single = worded.union(bare.where(F.col("doc_id").isNotNull())).dropDuplicates(["doc_id", "text"])
-    return single.union(bare.where(F.col("doc_id").isNull()))
+def _without_copies(docs: DataFrame, copies: DataFrame) -> DataFrame:
+    """``docs`` without the rows whose id and text are among ``copies``, but one row where that says ``__stays``.
+
+    Only rows that a sieve of ``copies`` lets through are joined exactly, so few texts move where few rows are copies.
+    """
+    found = F.xxhash64(docs["doc_id"], text_digest()), copies, F.xxhash64("__kept_id", "__kept_digest")
+    same = docs["doc_id"].eqNullSafe(copies["__kept_id"]) & (text_digest() == copies["__kept_digest"])
+    looked_at = sieved(docs, *found)
+    others = looked_at.join(copies, same, "left_anti")
+    once = looked_at.join(copies.where("__stays"), same, "left_semi").dropDuplicates(["doc_id", "text"])
+    return sieved(docs, *found, "left_anti").union(others).union(once)

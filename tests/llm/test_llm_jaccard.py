@@ -1,11 +1,13 @@
+import itertools
 import random
 import re
 from itertools import combinations
 
 import numpy as np
 import pytest
+from pyspark.sql import functions as F
 
-from goldseam.llm import jaccard
+from goldseam.llm import common, jaccard
 
 
 def plain(rows, percent=80):
@@ -167,3 +169,50 @@ def test_postings_are_joined_once_and_entries_are_repeatable(spark, monkeypatch)
     plan = seen[0]._jdf.queryExecution().optimizedPlan().toString()
     assert "Join" not in plan and "Generate" not in plan and "Aggregate" not in plan
     assert seen[0].count() == seen[0].select("region", "cid").distinct().count()
+
+
+@pytest.mark.parametrize("broadcast,words", [("-1", 1), ("-1", 1 << 19), ("10MB", 4)])
+def test_one_row_of_each_group_stays_whatever_the_sieve_lets_through(spark, monkeypatch, broadcast, words):
+    monkeypatch.setattr(common, "SIEVE_WORDS", words)
+    draw = random.Random(31)
+    texts = [t for _ in range(6) for t in family(draw, 5, 60, 4)] + [" ".join(f"u{k}-{j}" for j in range(20)) for k in range(60)] + ["", " ", None]
+    rows = list(enumerate(texts))
+    expected = sorted({c for _, _, c in plain(rows)})
+    rows += [*rows[::7], *rows[::7], rows[-1], rows[-3]]
+    draw.shuffle(rows)
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", broadcast)
+    try:
+        kept = jaccard.keep_one(spark.createDataFrame(rows, "doc_id bigint, text string"))
+        assert sorted(r.doc_id for r in kept.collect()) == expected
+    finally:
+        spark.conf.unset("spark.sql.autoBroadcastJoinThreshold")
+
+
+def test_texts_of_rows_without_copies_are_not_shuffled(spark):
+    """Every shuffle of texts is above the sieve, which lets only few rows through."""
+    rows = [(k, " ".join(f"u{k}-{j}" for j in range(20))) for k in range(300)] + [(1_000, "u1 u2 u3"), (1_001, "u1 u2 u3")]
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+    try:
+        kept = jaccard.keep_one(spark.createDataFrame(rows, "doc_id bigint, text string"))
+        lines = kept._jdf.queryExecution().executedPlan().toString().splitlines()
+    finally:
+        spark.conf.unset("spark.sql.autoBroadcastJoinThreshold")
+    depth = [len(line) - len(line.lstrip(" :+-")) for line in lines]
+    shuffled = 0
+    for at, line in enumerate(lines):
+        if "Exchange hashpartitioning" in line:
+            below = list(itertools.takewhile(lambda k: depth[k] > depth[at], range(at + 1, len(lines))))
+            if any("text#" in lines[k] for k in below):
+                shuffled += 1
+                assert any("BroadcastHashJoin" in lines[k] for k in below)
+    assert shuffled
+
+
+def test_a_sieve_lets_all_keys_and_few_others_through(spark):
+    rows = spark.range(20_000)
+    keys = spark.range(0, 20_000, 20).withColumnRenamed("id", "k")
+    hashes = F.xxhash64("id"), keys, F.xxhash64("k")
+    passed = {r.id for r in common.sieved(rows, *hashes, words=1_000).collect()}
+    assert passed >= set(range(0, 20_000, 20)) and len(passed) < 1_000 + 19_000 * 0.03
+    assert {r.id for r in common.sieved(rows, *hashes, "left_anti", 1_000).collect()} == set(range(20_000)) - passed
+    assert common.sieved(rows, F.xxhash64("id"), keys.limit(0), F.xxhash64("k")).count() == 0
