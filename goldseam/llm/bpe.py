@@ -34,6 +34,8 @@ from pyspark.sql.pandas.types import to_arrow_schema
 from pyspark.sql.types import StructType
 from tokenizers import Tokenizer
 
+from goldseam.llm.common import trimmed
+
 END = "\n"  # no byte letter
 LONG = 64  # longer words and chunks are not remembered
 CONTROLS = re.compile("[\x1c-\x1f]")
@@ -309,7 +311,7 @@ def _mapped(docs: DataFrame, column: str, path: str, schema: str, convert) -> Da
 
     full = StructType.fromDDL(f"doc_id {docs.schema['doc_id'].dataType.simpleString()}, {schema}")
     arrow = to_arrow_schema(full)
-    return docs.select("doc_id", column).mapInArrow(mapped, full)
+    return docs.select("doc_id", column).mapInArrow(trimmed(mapped), full)
 
 
 def encode(docs: DataFrame, path: str) -> DataFrame:

@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import numpy as np
+import pyarrow as pa
 import pyarrow.compute as pc
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -142,6 +143,17 @@ def sieved(rows: DataFrame, hashed: Column, keys: DataFrame, key: Column, how: s
     return rows.join(F.broadcast(bits), hit, how)
 
 
+def trimmed(mapped):
+    """``mapped`` for mapInArrow; at the end of a task its worker gives back the memory that Arrow keeps of freed batches,
+    which an idle worker would hold through later stages."""
+
+    def run(batches):
+        yield from mapped(batches)
+        pa.default_memory_pool().release_unused()
+
+    return run
+
+
 def by_bytes(batches, column: str, most: int):
     """Record batches cut so that the texts of each hold at most ``most`` bytes, or are one row."""
     for batch in batches:

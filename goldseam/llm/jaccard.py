@@ -40,7 +40,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.window import Window
 
-from goldseam.llm.common import by_bytes, salted_join, sieved, stored
+from goldseam.llm.common import by_bytes, salted_join, sieved, stored, trimmed
 
 #: A shingle of more classes is common. A region of up to DIRECT classes is compared without pivots.
 LEAF, DIRECT = 32, 32
@@ -121,7 +121,7 @@ def _sets(docs: DataFrame, schema: str, percent: int, whole: bool) -> DataFrame:
             yield pa.RecordBatch.from_pydict({n: columns[n] for n in names})
 
     digest = (text_digest() if "digest" in names else F.lit(None).cast("binary")).alias("digest")
-    return docs.select("doc_id", F.col("text").cast("binary").alias("text"), digest).mapInArrow(mapped, schema)
+    return docs.select("doc_id", F.col("text").cast("binary").alias("text"), digest).mapInArrow(trimmed(mapped), schema)
 
 
 def text_digest(text: str = "text") -> Column:

@@ -32,7 +32,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from goldseam.llm.common import by_bytes, by_id, held_out, labelled_sample
+from goldseam.llm.common import by_bytes, by_id, held_out, labelled_sample, trimmed
 
 WORD_BYTES = bytes(
     c + 32 if 65 <= c <= 90 else c if c >= 128 or 48 <= c <= 57 or 97 <= c <= 122 else 32 for c in range(256)
@@ -258,4 +258,4 @@ def reject(docs: DataFrame, labels: DataFrame, threshold: float = 0.7, **options
             scores = score_texts(batch["text"].cast(pa.binary()).to_pylist(), shared.value, cache)
             yield batch.filter(pa.array(scores < threshold))
 
-    return docs.mapInArrow(kept, docs.schema)
+    return docs.mapInArrow(trimmed(kept), docs.schema)

@@ -1,6 +1,7 @@
 import itertools
 import random
 import re
+import weakref
 from itertools import combinations
 
 import numpy as np
@@ -216,3 +217,21 @@ def test_a_sieve_lets_all_keys_and_few_others_through(spark):
     assert passed >= set(range(0, 20_000, 20)) and len(passed) < 1_000 + 19_000 * 0.03
     assert {r.id for r in common.sieved(rows, *hashes, "left_anti", 1_000).collect()} == set(range(20_000)) - passed
     assert common.sieved(rows, F.xxhash64("id"), keys.limit(0), F.xxhash64("k")).count() == 0
+
+
+def test_workers_give_back_freed_batches_after_their_last(spark, monkeypatch):
+    held, states = [], []
+
+    def doubled(batches):
+        for batch in batches:
+            mine = np.array(batch)
+            held.append(weakref.ref(mine))
+            yield mine * 2
+
+    class Pool:
+        def release_unused(self):
+            states.append([ref() is None for ref in held])
+
+    monkeypatch.setattr(common.pa, "default_memory_pool", Pool)
+    assert [x.tolist() for x in common.trimmed(doubled)([[1], [2]])] == [[2], [4]]
+    assert states == [[True, True]]
